@@ -20,59 +20,73 @@ BETA_STEPS = 1000
 
 def uniform(key: str, salt: str) -> Column:
     """A double in [0, 1)."""
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(":" + salt)))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(UNIT)
+    return F.expr(_uniform(key, salt))
 
 
 def normal(key: str, salt: str, mean: float = 0.0, sigma: float = 1.0) -> Column:
     """Box-Muller over two uniform draws."""
-    radius = F.sqrt(F.lit(-2.0) * F.ln(F.greatest(uniform(key, salt + "1"), F.lit(1e-300))))
-    z = radius * F.cos(F.lit(2.0 * math.pi) * uniform(key, salt + "2"))
-    return F.lit(float(mean)) + F.lit(float(sigma)) * z
+    return F.expr(_normal(key, salt, mean, sigma))
 
 
 def lognormal(key: str, salt: str, mean: float, sigma: float) -> Column:
-    return F.exp(normal(key, salt, mean, sigma))
+    return F.expr(f"exp({_normal(key, salt, mean, sigma)})")
 
 
 def int_range(key: str, salt: str, low: int, high: int) -> Column:
     """An integer in [low, high)."""
-    return (F.lit(low) + F.floor(uniform(key, salt) * F.lit(float(high - low)))).cast("int")
+    return F.expr(f"cast({low} + floor({_uniform(key, salt)} * {_double(high - low)}) as int)")
 
 
 def bernoulli(key: str, salt: str, p: float) -> Column:
-    return (uniform(key, salt) < F.lit(float(p))).cast("int")
+    return F.expr(f"cast({_uniform(key, salt)} < {_double(p)} as int)")
 
 
 def poisson(key: str, salt: str, lam: float) -> Column:
     """Inverse CDF: how many cumulative probabilities lie below the draw."""
-    u = uniform(key, salt)
-    return F.size(F.filter(_doubles(poisson_cdf(lam)), lambda c: c < u))
+    return F.expr(f"size(filter({_array(poisson_cdf(lam))}, c -> c < {_uniform(key, salt)}))")
 
 
 def beta(key: str, salt: str, a: float, b: float) -> Column:
     """Linear interpolation in a table of beta quantiles."""
-    table = _doubles(beta_quantiles(a, b))
-    position = uniform(key, salt) * F.lit(float(BETA_STEPS))
-    slot = F.floor(position).cast("int")
-    low, high = F.get(table, slot), F.get(table, slot + 1)
-    return low + (high - low) * (position - slot)
+    table, position = _array(beta_quantiles(a, b)), f"({_uniform(key, salt)} * {_double(BETA_STEPS)})"
+    slot = f"cast(floor({position}) as int)"
+    low, high = f"get({table}, {slot})", f"get({table}, {slot} + 1)"
+    return F.expr(f"{low} + ({high} - {low}) * ({position} - {slot})")
 
 
 def choice(key: str, salt: str, values: list[str]) -> Column:
     """One of ``values``, all equally likely."""
-    slot = F.floor(uniform(key, salt) * F.lit(float(len(values)))).cast("int")
-    return F.get(F.array(*[F.lit(v) for v in values]), slot)
+    return F.get(F.lit(list(values)), int_range(key, salt, 0, len(values)))
 
 
 def weighted_choice(key: str, salt: str, weights: dict[str, float]) -> Column:
+    """One of the given values, with the given weights."""
     u = uniform(key, salt)
     *steps, (last, _) = cumulative_weights(weights)
-    picked = None
-    for value, edge in steps:
-        hit = u < F.lit(edge)
-        picked = F.when(hit, F.lit(value)) if picked is None else picked.when(hit, F.lit(value))
-    return F.lit(last) if picked is None else picked.otherwise(F.lit(last))
+    options = [F.when(u < F.lit(edge), F.lit(value)) for value, edge in steps]
+    return F.coalesce(*options, F.lit(last))
+
+
+# The expressions are put together as SQL text: one call to the JVM per draw instead of one per function.
+
+
+def _uniform(key: str, salt: str) -> str:
+    digest = f"md5(cast(concat(cast(`{key}` as string), ':{salt}') as binary))"
+    return f"(cast(conv(substring({digest}, 1, 13), 16, 10) as double) / {_double(UNIT)})"
+
+
+def _normal(key: str, salt: str, mean: float, sigma: float) -> str:
+    radius = f"sqrt(-2D * ln(greatest({_uniform(key, salt + '1')}, 1e-300D)))"
+    z = f"{radius} * cos({_double(2.0 * math.pi)} * {_uniform(key, salt + '2')})"
+    return f"({_double(mean)} + {_double(sigma)} * ({z}))"
+
+
+def _double(value: float) -> str:
+    return f"{float(value)!r}D"
+
+
+def _array(values: tuple[float, ...]) -> str:
+    return "array(" + ", ".join(map(_double, values)) + ")"
 
 
 def cumulative_weights(weights: dict[str, float]) -> list[tuple[str, float]]:
@@ -105,7 +119,3 @@ def beta_quantiles(a: float, b: float) -> tuple[float, ...]:
     targets = np.arange(BETA_STEPS + 1) / BETA_STEPS
     edges = np.interp(targets, mass / mass[-1], np.arange(cells + 1) / cells)
     return tuple(float(round(v, 12)) for v in edges)
-
-
-def _doubles(values: tuple[float, ...]) -> Column:
-    return F.expr("array(" + ", ".join(f"{v!r}D" for v in values) + ")")

@@ -30,10 +30,8 @@ def ratio(numerator: Column, denominator: Column, empty: float | None = None) ->
 
 def linear_score(weights: dict[str, tuple[float, float]]) -> Column:
     """Sum of weight * (feature - centre)."""
-    score = F.lit(0.0)
-    for feature, (weight, centre) in weights.items():
-        score = score + F.lit(weight) * (F.col(feature) - F.lit(centre))
-    return score
+    terms = [f"{weight!r}D * (`{feature}` - {centre!r}D)" for feature, (weight, centre) in weights.items()]
+    return F.expr(" + ".join(["0D", *terms]))
 
 
 def grid_step(points: int) -> float:

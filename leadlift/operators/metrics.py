@@ -134,7 +134,7 @@ def grid_sweep(
     """tp, fp, tn, fn and F1 at every threshold of an even grid over [0, 1].
 
     Each row adds to the histogram cell of the highest grid threshold its score reaches; running sums over the (at
-    most ``grid_points``) cells then give every confusion matrix. Empty cells are filled in, so each threshold shows.
+    most ``grid_points``) cells then give every confusion matrix. One empty row per cell makes each threshold show.
     """
     points = max(2, int(grid_points))
     step = F.lit(grid_step(points))
@@ -152,16 +152,18 @@ def grid_sweep(
     )
     # scores below 0, and missing scores, reach no threshold: cell -1
     cell = F.when(s >= 0, cell).otherwise(F.lit(-1.0)).cast("int")
-    histogram = (
-        _pairs(scored, label, score)
-        .groupBy(cell.alias("cell"))
-        .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
+    rows = _pairs(scored, label, score).select(
+        cell.alias("cell"),
+        F.when(F.col("y") == 1, 1).otherwise(0).alias("pos"),
+        F.when(F.col("y") == 0, 1).otherwise(0).alias("neg"),
     )
-    grid = scored.sparkSession.range(-1, points, 1, 1).select(F.col("id").cast("int").alias("cell"))
+    empty = scored.sparkSession.range(-1, points, 1, 1).select(
+        F.col("id").cast("int").alias("cell"), F.lit(0).alias("pos"), F.lit(0).alias("neg")
+    )
+    histogram = rows.unionByName(empty).groupBy("cell").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     every = Window.partitionBy(F.lit(1))
     from_here = every.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = grid.join(histogram, "cell", "left").fillna(0, ["pos", "neg"])
-    swept = filled.select(
+    swept = histogram.select(
         "cell",
         F.sum("pos").over(from_here).alias("tp"),
         F.sum("neg").over(from_here).alias("fp"),

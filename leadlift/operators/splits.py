@@ -27,14 +27,16 @@ def held_out_sizes(counts: dict, share: float) -> dict:
     return {c: counts[c] - sizes[c] for c in sizes}
 
 
-def held_out_condition(df: DataFrame, share: float, salt: str, label: str, key: str, **tuning) -> Column:
+def held_out_condition(
+    df: DataFrame, share: float, salt: str, label: str, key: str, counts: dict | None = None, **tuning
+) -> Column:
     """Which rows of ``df`` a stratified split holds out, as a condition on the draw and the key.
 
     Finds, per class, the draw at the class's cut-off rank; telling the rows apart is then a comparison in place,
-    with no shuffle of the rows themselves.
+    with no shuffle of the rows themselves. ``counts`` (rows per class) saves a pass where they are known.
     """
-    drawn = with_draw_key(df.select(label, key), key).withColumn(DRAW, draws.uniform(DRAW_KEY, salt))
-    counts = group_counts(drawn, label)
+    counts = group_counts(df, label) if counts is None else counts
+    drawn = with_draw(df.select(label, key), salt, key)
     sizes = {c: n for c, n in held_out_sizes(counts, share).items() if n > 0}
     cuts = keys_at_ranks(
         drawn, DRAW, key, {c: [n] for c, n in sizes.items()}, by=label, rows=sum(counts.values()), **tuning
@@ -45,6 +47,10 @@ def held_out_condition(df: DataFrame, share: float, salt: str, label: str, key:
     return condition
 
 
+def with_draw(df: DataFrame, salt: str, key: str = KEY) -> DataFrame:
+    return with_draw_key(df, key).withColumn(DRAW, draws.uniform(DRAW_KEY, salt)).drop(DRAW_KEY)
+
+
 def add_stratified_split(
     df: DataFrame,
     share: float = TEST_SHARE,
@@ -53,24 +59,46 @@ def add_stratified_split(
     rest: str = "train",
     label: str = LABEL,
     key: str = KEY,
+    counts: dict | None = None,
     **tuning,
 ) -> DataFrame:
     """Add ``split``: exact class shares, chosen by keyed draws. Reads ``df`` more than once; pass a staged table."""
-    condition = held_out_condition(df, share, salt, label, key, **tuning)
-    drawn = with_draw_key(df, key).withColumn(DRAW, draws.uniform(DRAW_KEY, salt))
-    return drawn.withColumn(SPLIT, F.when(condition, held_out).otherwise(rest)).drop(DRAW, DRAW_KEY)
+    condition = held_out_condition(df, share, salt, label, key, counts, **tuning)
+    chosen = F.when(condition, held_out).otherwise(rest)
+    return with_draw(df, salt, key).withColumn(SPLIT, chosen).drop(DRAW)
 
 
 def add_valid_split(
-    df: DataFrame, share: float = VALID_SHARE, salt: str = "valid", label: str = LABEL, key: str = KEY, **tuning
+    df: DataFrame,
+    share: float = VALID_SHARE,
+    salt: str = "valid",
+    label: str = LABEL,
+    key: str = KEY,
+    counts: dict | None = None,
+    **tuning,
 ) -> DataFrame:
     """Move a stratified share of the ``train`` rows to ``valid``. The split column is carried from here on, so
     restricting the features later cannot change which rows are in which part."""
-    train = df.where(F.col(SPLIT) == "train")
-    condition = held_out_condition(train, share, salt, label, key, **tuning)
-    drawn = with_draw_key(df, key).withColumn(DRAW, draws.uniform(DRAW_KEY, salt))
+    train = part(df, "train")
+    condition = held_out_condition(train, share, salt, label, key, counts, **tuning)
     moved = F.when((F.col(SPLIT) == "train") & condition, "valid").otherwise(F.col(SPLIT))
-    return drawn.withColumn(SPLIT, moved).drop(DRAW, DRAW_KEY)
+    return with_draw(df, salt, key).withColumn(SPLIT, moved).drop(DRAW)
+
+
+def add_three_way_split(
+    df: DataFrame,
+    test_share: float = TEST_SHARE,
+    valid_share: float = VALID_SHARE,
+    label: str = LABEL,
+    key: str = KEY,
+    **tuning,
+) -> DataFrame:
+    """``test``, then ``valid`` out of the rest; the classes are counted once for both."""
+    counts = group_counts(df, label)
+    held_out = held_out_sizes(counts, test_share)
+    rest = {c: counts[c] - held_out[c] for c in counts}
+    split = add_stratified_split(df, test_share, label=label, key=key, counts=counts, **tuning)
+    return add_valid_split(split, valid_share, label=label, key=key, counts=rest, **tuning)
 
 
 def add_bernoulli_split(
@@ -82,8 +110,8 @@ def add_bernoulli_split(
     key: str = KEY,
 ) -> DataFrame:
     """Unstratified split by a keyed draw: map-only, shares hold on average."""
-    drawn = with_draw_key(df, key).withColumn(DRAW, draws.uniform(DRAW_KEY, salt))
-    return drawn.withColumn(SPLIT, F.when(F.col(DRAW) < share, held_out).otherwise(rest)).drop(DRAW, DRAW_KEY)
+    chosen = F.when(F.col(DRAW) < share, held_out).otherwise(rest)
+    return with_draw(df, salt, key).withColumn(SPLIT, chosen).drop(DRAW)
 
 
 def part(df: DataFrame, name: str) -> DataFrame:

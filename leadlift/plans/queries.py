@@ -177,7 +177,7 @@ def stratified_split(spark, folder):
 
 @query
 def train_valid_split(spark, folder):
-    return splits.add_valid_split(splits.add_stratified_split(staged_labels(spark, folder)))
+    return splits.add_three_way_split(staged_labels(spark, folder))
 
 
 @query

@@ -37,35 +37,58 @@ def customer_table(
     places = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         "n_nationkey", F.lower("r_name").alias("region")
     )
-    base = (
-        customer.join(places, customer.c_nationkey == F.col("n_nationkey"), "left")
+    returned_share = F.coalesce(F.try_divide(F.col("returned_lines"), F.col("lines")), F.lit(0.0))
+    # mean of o_totalprice / 1000 to two digits, in exact integer cents
+    spend = F.floor(F.try_divide(F.col("recent_cents"), F.lit(1000.0) * F.col("recent_orders")) + 0.5) / 100
+    months = F.floor(F.col("first_order_age") / 30)
+
+    joined = (
+        own_columns(customer)
+        .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(order_history(orders, lineitem), F.col("c_custkey") == F.col("o_custkey"), "left")
         .join(latest_channel(events), F.col("c_custkey") == F.col("user_id"), "left")
     )
+    return joined.select(
+        "customer_id",
+        "age",
+        "annual_income",
+        "credit_score",
+        clip(returned_share, 0.01, 0.99).alias("utilization_rate"),
+        F.coalesce(months, F.lit(0)).cast("int").alias("tenure_months"),
+        F.least(F.coalesce(F.col("recent_orders"), F.lit(0)), F.lit(120)).cast("int").alias("txn_count_3m"),
+        clip(F.coalesce(spend, F.lit(0.0)), 1.0, 600.0).alias("avg_txn_amount_3m"),
+        F.least(F.coalesce(F.col("late_orders"), F.lit(0)), F.lit(10)).cast("int").alias("late_payments_12m"),
+        "savings_balance",
+        "region",
+        "is_premium",
+        "has_mortgage",
+        F.coalesce(F.col("channel"), F.lit("NA")).alias("channel"),
+        "email",
+        "phone",
+    )
+
 
+def own_columns(customer: DataFrame) -> DataFrame:
+    """The columns that need the customer row alone.
+
+    They are computed in the scan's stage, ahead of the shuffle joins: together with the joined columns and the label
+    they would make one generated method longer than the JVM is willing to compile.
+    """
     income = 65000 + F.lit(22000.0) * (F.col("c_acctbal") - 4500) / 3175
-    returned_share = F.coalesce(F.try_divide(F.col("returned_lines"), F.col("lines")), F.lit(0.0))
-    # mean of o_totalprice / 1000 to two digits, in exact integer cents
-    spend = F.floor(F.try_divide(F.col("recent_cents"), F.lit(1000.0) * F.col("recent_orders")) + 0.5) / 100
+    number = (F.col("c_custkey") + 100000).cast("bigint")
     area = draws.int_range("c_custkey", "area", 100, 999)
     suffix = draws.int_range("c_custkey", "suffix", 1000, 9999)
-
-    return base.select(
-        (F.col("c_custkey") + 100000).cast("bigint").alias("customer_id"),
+    return customer.select(
+        "c_custkey",
+        "c_nationkey",
+        number.alias("customer_id"),
         draws.int_range("c_custkey", "age", 21, 75).alias("age"),
         F.round(clip(income, 15000.0, 250000.0)).alias("annual_income"),
         F.round(clip(draws.normal("c_custkey", "credit", 690, 55), 450.0, 850.0)).alias("credit_score"),
-        clip(returned_share, 0.01, 0.99).alias("utilization_rate"),
-        F.coalesce(F.floor(F.col("first_order_age") / 30).cast("int"), F.lit(0)).alias("tenure_months"),
-        F.least(F.coalesce(F.col("recent_orders"), F.lit(0)), F.lit(120)).cast("int").alias("txn_count_3m"),
-        clip(F.coalesce(spend, F.lit(0.0)), 1.0, 600.0).alias("avg_txn_amount_3m"),
-        F.least(F.coalesce(F.col("late_orders"), F.lit(0)), F.lit(10)).cast("int").alias("late_payments_12m"),
         F.round(clip(F.col("c_acctbal"), 0.0, 250000.0)).alias("savings_balance"),
-        F.col("region"),
         (F.col("c_mktsegment") == "BUILDING").cast("int").alias("is_premium"),
         draws.bernoulli("c_custkey", "mortgage", 0.45).alias("has_mortgage"),
-        F.coalesce(F.col("channel"), F.lit("NA")).alias("channel"),
-        F.concat(F.lit("cust"), (F.col("c_custkey") + 100000).cast("string"), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("cust"), number.cast("string"), F.lit("@example.com")).alias("email"),
         F.concat(
             F.lit("+1-555-"),
             F.lpad(area.cast("string"), 3, "0"),

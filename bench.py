@@ -29,6 +29,8 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cpus)
+        # HotSpot does not compile methods above 8000 bytes of bytecode; let Spark split those instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

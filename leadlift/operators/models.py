@@ -123,9 +123,16 @@ def score_part(
     return stage(restrict_features(scored, [*selected, SCORE], ids, keep=(label,)), "scored")
 
 
-def with_auc(scored: DataFrame, label: str = LABEL, score: str = SCORE, column: str = "auc_on_test") -> DataFrame:
-    """Repeat the scored table's ROC AUC on every row, as a scalar subquery."""
-    return scored.withColumn(column, roc_auc(scored, label, score).scalar())
+def with_auc(
+    scored: DataFrame,
+    auc: float | None = None,
+    label: str = LABEL,
+    score: str = SCORE,
+    column: str = "auc_on_test",
+) -> DataFrame:
+    """Repeat the scored table's ROC AUC on every row: a known value, else a scalar subquery."""
+    value = roc_auc(scored, label, score).scalar() if auc is None else F.lit(float(auc))
+    return scored.withColumn(column, value)
 
 
 def feature_importance(

@@ -54,8 +54,7 @@ def prepare(
     customers: DataFrame, test_share: float = TEST_SHARE, valid_share: float = VALID_SHARE, label: str = LABEL
 ) -> DataFrame:
     """Labelled customers with their ``split``, staged by split part: a fit reads only the files of its part."""
-    customers = stage(customers, "customers")
-    labelled = customers if label in customers.columns else add_label(customers)
+    labelled = stage(customers if label in customers.columns else add_label(customers), "labelled")
     split = add_three_way_split(labelled, test_share, valid_share, label)
     return stage(split, "prepared", partition_by=[SPLIT])
 
@@ -130,27 +129,27 @@ def full_flow(
     model, selected = out["model"], out["selected_features"]
     scored = score_part(model, out["restricted"], selected)
     final = metrics.metrics_report(scored, final_prefix, thresholds, grid_points)
-    with_deciles = ranking.add_deciles(with_auc(scored))
-    top = ranking.leads(with_deciles, min_decile)
-    explained = top_contributions(add_tree_contributions(top, model, selected), selected, explain_top_n)
-    performance = metrics.concat_reports(out["baseline_metrics"], final)
-    reference = add_tree_contributions(scored, model, selected)
+    performance = stage(metrics.concat_reports(out["baseline_metrics"], final), "performance")
+    with_deciles = ranking.add_deciles(with_auc(scored, metrics.roc_auc(scored).first()[0]))
+    # one pass of the trees over the test rows serves both the leads and the overall importance
+    explained = stage(add_tree_contributions(with_deciles, model, selected), "explained")
+    lead_rows = top_contributions(ranking.leads(explained, min_decile), selected, explain_top_n)
     results = {
         **out,
-        "scored_test": with_auc(scored),
+        "scored_test": with_deciles.drop(ranking.DECILE),
         "scored_test_with_deciles": with_deciles,
         "decile_table": ranking.decile_table(with_deciles),
-        "leads": top,
-        "leads_explained": explained,
-        "leads_export": lead_export(explained, selected),
-        "mean_abs_contributions": mean_abs_contributions(reference, selected),
+        "leads": ranking.leads(with_deciles, min_decile),
+        "leads_explained": lead_rows,
+        "leads_export": lead_export(lead_rows, selected),
+        "mean_abs_contributions": mean_abs_contributions(explained, selected),
         "final_metrics": final,
         "performance_metrics": performance,
     }
     if model_path:
         results["model_path"] = save_model(model, model_path)
     if leads_path:
-        results["leads_path"] = export_leads(explained, selected, leads_path)
+        results["leads_path"] = export_leads(lead_rows, selected, leads_path)
     if metrics_path:
         results["metrics_path"] = export_metrics(performance, metrics_path)
     return results

@@ -36,7 +36,7 @@ from leadlift.settings import (
     SCORECARD,
     TOP_K,
 )
-from leadlift.sources.customers import latest_channel, load_customers, order_history
+from leadlift.sources.customers import latest_channel, load_customers, order_history, read_input
 from leadlift.sources.model_store import load_model, save_model
 from leadlift.sources.staging import stage, staging_path
 from leadlift.sources.tables import read_csv, read_parquet, write_csv, write_parquet
@@ -89,9 +89,7 @@ def customer_features(spark, folder):
 
 @query
 def order_aggregates(spark, folder):
-    history = order_history(
-        read_parquet(spark, f"{folder}/orders.parquet"), read_parquet(spark, f"{folder}/lineitem.parquet")
-    )
+    history = order_history(read_input(spark, folder, "orders"), read_input(spark, folder, "lineitem"))
     return history.select(
         "o_custkey",
         F.col("first_order_age").cast("bigint").alias("first_order_age"),
@@ -105,7 +103,7 @@ def order_aggregates(spark, folder):
 
 @query
 def latest_channel_per_user(spark, folder):
-    return latest_channel(read_parquet(spark, f"{folder}/events.parquet"))
+    return latest_channel(read_input(spark, folder, "events"))
 
 
 DRAWN_REGIONS = ["north", "south", "east", "west"]
@@ -114,7 +112,7 @@ DRAWN_CHANNELS = {"branch": 0.18, "app": 0.44, "web": 0.30, "call_center": 0.08}
 
 @query
 def keyed_draws(spark, folder):
-    customer = read_parquet(spark, f"{folder}/customer.parquet")
+    customer = read_input(spark, folder, "customer")
     key = "c_custkey"
     drawn = customer.select(
         key,
@@ -157,8 +155,8 @@ def restricted_features(spark, folder):
 
 @query
 def normalized_categoricals(spark, folder):
-    customer = read_parquet(spark, f"{folder}/customer.parquet").select("c_custkey")
-    channel = latest_channel(read_parquet(spark, f"{folder}/events.parquet"))
+    customer = read_input(spark, folder, "customer").select("c_custkey")
+    channel = latest_channel(read_input(spark, folder, "events"))
     joined = customer.join(channel, customer.c_custkey == channel.user_id, "left")
     return normalise_categories(joined.select("c_custkey", "channel"), CATEGORICAL)
 

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leadlift.functions import draws
 from leadlift.functions.numeric import clip
 from leadlift.sources.tables import read_parquet
 
 INPUTS = ["region", "nation", "customer", "orders", "lineitem", "events"]
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
+def read_input(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """An input table. Inputs do not change while an application runs, so each schema is looked up only once."""
+    path = f"{folder}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _schemas:
+        _schemas[known] = read_parquet(spark, path).schema
+    return spark.read.schema(_schemas[known]).parquet(path)
 
 
 def read_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: read_parquet(spark, f"{folder}/{name}.parquet") for name in INPUTS}
+    return {name: read_input(spark, folder, name) for name in INPUTS}
 
 
 def load_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,6 +38,7 @@ def customer_table(
     orders: DataFrame,
     lineitem: DataFrame,
     events: DataFrame,
+    as_of: Column | None = None,
 ) -> DataFrame:
     """One row per customer with ids, the 13 features, and contact columns.
 
@@ -45,7 +57,7 @@ def customer_table(
     joined = (
         own_columns(customer)
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(order_history(orders, lineitem), F.col("c_custkey") == F.col("o_custkey"), "left")
+        .join(order_history(orders, lineitem, as_of), F.col("c_custkey") == F.col("o_custkey"), "left")
         .join(latest_channel(events), F.col("c_custkey") == F.col("user_id"), "left")
     )
     return joined.select(
@@ -98,8 +110,8 @@ def own_columns(customer: DataFrame) -> DataFrame:
     )
 
 
-def order_history(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Order and line-item aggregates per customer.
+def order_history(orders: DataFrame, lineitem: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Order and line-item aggregates per customer, as of a day: by default that of the newest order.
 
     Line items shrink to two counts per order before they meet the orders, so the big table crosses the network as
     partial counts, already partitioned on the join key; a second partial aggregate keyed by customer follows. Both
@@ -109,11 +121,11 @@ def order_history(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("order_lines"),
         F.count_if(F.col("l_returnflag") == "R").alias("order_returned"),
     )
-    as_of = orders.select(F.max("o_orderdate")).scalar()
+    day = orders.select(F.max("o_orderdate")).scalar() if as_of is None else as_of
     age = F.col("order_age")
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     return (
-        orders.withColumn("order_age", F.datediff(as_of, F.col("o_orderdate")))
+        orders.withColumn("order_age", F.datediff(day, F.col("o_orderdate")))
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .groupBy("o_custkey")
         .agg(

@@ -25,11 +25,11 @@ def slots_name(column: str) -> str:
 
 
 def index_stages(categorical: list[str], order: str = BY_FREQUENCY) -> list:
-    """Category -> number; values not seen in training share one extra number."""
-    return [
-        StringIndexer(inputCol=c, outputCol=index_name(c), handleInvalid="keep", stringOrderType=order)
-        for c in categorical
-    ]
+    """Category -> number; values not seen in training share one extra number. One stage, so one counting job."""
+    if not categorical:
+        return []
+    outputs = [index_name(c) for c in categorical]
+    return [StringIndexer(inputCols=categorical, outputCols=outputs, handleInvalid="keep", stringOrderType=order)]
 
 
 def one_hot_stages(categorical: list[str]) -> list:

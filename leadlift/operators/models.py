@@ -65,6 +65,14 @@ def fit_baseline(df: DataFrame, features: list[str], label: str = LABEL, strengt
     return Pipeline(stages=stages).fit(train)
 
 
+def fit_encoder(df: DataFrame, features: list[str]) -> PipelineModel:
+    """Numerics, then nominal category numbers learnt from the ``train`` part, in one vector."""
+    train = normalise_categories(part(df, "train"))
+    numeric, cats = by_kind(train, features)
+    assembler = VectorAssembler(inputCols=[*numeric, *map(index_name, cats)], outputCol=VECTOR)
+    return Pipeline(stages=[*index_stages(cats), assembler]).fit(train)
+
+
 def fit_trees(
     df: DataFrame,
     features: list[str],
@@ -72,20 +80,18 @@ def fit_trees(
     label: str = LABEL,
     seed: int = SEED,
     early_stop: bool = True,
+    encoder: PipelineModel | None = None,
 ) -> PipelineModel:
     """Gradient-boosted trees on the ``train`` part; categoricals enter as nominal indexes.
 
     With ``early_stop`` the ``valid`` part decides how many trees are kept: boosting ends, and the best prefix stays,
-    once another tree no longer lowers the validation loss.
+    once another tree no longer lowers the validation loss. A fitted ``encoder`` can be shared by several fits.
     """
     chosen = {**GBT_DEFAULTS, **(params or {})}
     enable_checkpoints(df.sparkSession)
     rows = df.where(F.col(SPLIT).isin("train", "valid")) if early_stop else part(df, "train")
     rows = normalise_categories(rows).withColumn(IS_VALID, F.col(SPLIT) == "valid")
-    numeric, cats = by_kind(rows, features)
-    # categories are learnt from the training rows only
-    indexer = Pipeline(stages=index_stages(cats)).fit(part(rows, "train"))
-    assembler = VectorAssembler(inputCols=[*numeric, *map(index_name, cats)], outputCol=VECTOR)
+    encoder = fit_encoder(df, features) if encoder is None else encoder
     trees = GBTClassifier(
         featuresCol=VECTOR,
         labelCol=label,
@@ -99,8 +105,7 @@ def fit_trees(
     )
     if early_stop:
         trees.setValidationIndicatorCol(IS_VALID)
-    fitted = trees.fit(assembler.transform(indexer.transform(rows)))
-    return PipelineModel(stages=[*indexer.stages, assembler, fitted])
+    return PipelineModel(stages=[*encoder.stages, trees.fit(encoder.transform(rows))])
 
 
 def add_probability(model: PipelineModel, df: DataFrame, column: str = SCORE) -> DataFrame:
@@ -192,9 +197,10 @@ def tune_trees(
     """
     spark = df.sparkSession
     draws = draw_params(trials, seed, space)
+    encoder = fit_encoder(df, features)
 
     def run(params: dict) -> tuple[PipelineModel, float | None]:
-        model = fit_trees(df, features, params, label, seed)
+        model = fit_trees(df, features, params, label, seed, encoder=encoder)
         scored = stage(add_probability(model, part(df, "valid")).select(label, SCORE), "trial")
         return model, roc_auc(scored, label).first()["auc_roc"]
 

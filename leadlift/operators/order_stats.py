@@ -47,18 +47,24 @@ def is_ranked(value: str) -> Column:
     return F.col(value).isNotNull() & ~F.isnan(F.col(value))
 
 
+def even_buckets(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> Buckets:
+    """Equal slices of [0, 1), for values known to be uniform; needs no pass."""
+    parts = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
+    return Buckets(tuple(i / parts for i in range(1, parts)))
+
+
 def plan_buckets(
     df: DataFrame, value: str, key: str | None, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> Buckets:
     """One pass over two columns; none at all when everything fits in a single bucket."""
-    parts = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
-    if parts <= 1:
+    shares = even_buckets(rows, rows_per_bucket).value_edges
+    if not shares:
         return Buckets()
-    shares = [i / parts for i in range(1, parts)]
+    parts = len(shares) + 1
     accuracy = 10 * parts
-    aggregates = [F.percentile_approx(F.col(value).cast("double"), shares, accuracy)]
+    aggregates = [F.percentile_approx(F.col(value).cast("double"), list(shares), accuracy)]
     if key:
-        aggregates.append(F.percentile_approx(F.col(key).cast("double"), shares, accuracy))
+        aggregates.append(F.percentile_approx(F.col(key).cast("double"), list(shares), accuracy))
     found = df.agg(*aggregates).first()
     counts = Counter(found[0])
     repeats = sorted(v for v, times in counts.items() if times > 1) if key else []
@@ -145,17 +151,22 @@ def keys_at_ranks(
     by: str | None = None,
     rows: int | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    uniform: bool = False,
 ) -> dict:
     """The (value, key) pairs found at given ranks: ``{group: [rank, ..]}`` -> ``{(group, rank): (value, key)}``.
 
-    Only the buckets that contain a wanted rank are sorted; the rest of the table is just counted.
+    Only the buckets that contain a wanted rank are sorted; the rest of the table is just counted. ``uniform`` says
+    that the values spread evenly over [0, 1), which saves the pass that looks for bucket edges.
     """
     wanted = [(group, rank) for group, group_ranks in ranks.items() for rank in sorted(set(group_ranks))]
     if not wanted:
         return {}
     grouped = _grouped(df, value, by).select(GROUP, value, key)
     total = grouped.count() if rows is None else rows
-    buckets = plan_buckets(grouped, value, key, total, rows_per_bucket)
+    if uniform:
+        buckets = even_buckets(total, rows_per_bucket)
+    else:
+        buckets = plan_buckets(grouped, value, key, total, rows_per_bucket)
     tagged = tag_buckets(grouped, buckets, value, key)
 
     spots = {}

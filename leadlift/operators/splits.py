@@ -13,7 +13,6 @@ from leadlift.operators.order_stats import at_or_before, group_counts, keys_at_r
 from leadlift.settings import KEY, LABEL, TEST_SHARE, VALID_SHARE
 
 SPLIT = "split"
-DRAW = "_draw"
 
 
 def held_out_sizes(counts: dict, share: float) -> dict:
@@ -36,19 +35,35 @@ def held_out_condition(
     with no shuffle of the rows themselves. ``counts`` (rows per class) saves a pass where they are known.
     """
     counts = group_counts(df, label) if counts is None else counts
-    drawn = with_draw(df.select(label, key), salt, key)
+    draw = draw_column(salt)
+    drawn = with_draw(df, salt, key).select(label, key, draw)
     sizes = {c: n for c, n in held_out_sizes(counts, share).items() if n > 0}
     cuts = keys_at_ranks(
-        drawn, DRAW, key, {c: [n] for c, n in sizes.items()}, by=label, rows=sum(counts.values()), **tuning
+        drawn,
+        draw,
+        key,
+        {c: [n] for c, n in sizes.items()},
+        by=label,
+        rows=sum(counts.values()),
+        uniform=True,
+        **tuning,
     )
     condition = F.lit(False)
     for (group, _), cut in sorted(cuts.items()):
-        condition = condition | ((F.col(label) == F.lit(group)) & at_or_before(DRAW, key, cut))
+        condition = condition | ((F.col(label) == F.lit(group)) & at_or_before(draw, key, cut))
     return condition
 
 
+def draw_column(salt: str) -> str:
+    return f"_draw_{salt}"
+
+
 def with_draw(df: DataFrame, salt: str, key: str = KEY) -> DataFrame:
-    return with_draw_key(df, key).withColumn(DRAW, draws.uniform(DRAW_KEY, salt)).drop(DRAW_KEY)
+    """Add the keyed draw that a split sorts by, unless the table brings it along."""
+    name = draw_column(salt)
+    if name in df.columns:
+        return df
+    return with_draw_key(df, key).withColumn(name, draws.uniform(DRAW_KEY, salt)).drop(DRAW_KEY)
 
 
 def add_stratified_split(
@@ -65,7 +80,7 @@ def add_stratified_split(
     """Add ``split``: exact class shares, chosen by keyed draws. Reads ``df`` more than once; pass a staged table."""
     condition = held_out_condition(df, share, salt, label, key, counts, **tuning)
     chosen = F.when(condition, held_out).otherwise(rest)
-    return with_draw(df, salt, key).withColumn(SPLIT, chosen).drop(DRAW)
+    return with_draw(df, salt, key).withColumn(SPLIT, chosen).drop(draw_column(salt))
 
 
 def add_valid_split(
@@ -82,7 +97,7 @@ def add_valid_split(
     train = part(df, "train")
     condition = held_out_condition(train, share, salt, label, key, counts, **tuning)
     moved = F.when((F.col(SPLIT) == "train") & condition, "valid").otherwise(F.col(SPLIT))
-    return with_draw(df, salt, key).withColumn(SPLIT, moved).drop(DRAW)
+    return with_draw(df, salt, key).withColumn(SPLIT, moved).drop(draw_column(salt))
 
 
 def add_three_way_split(
@@ -93,7 +108,10 @@ def add_three_way_split(
     key: str = KEY,
     **tuning,
 ) -> DataFrame:
-    """``test``, then ``valid`` out of the rest; the classes are counted once for both."""
+    """``test``, then ``valid`` out of the rest; the classes are counted once for both.
+
+    Stage ``df`` with the draws of both salts (``with_draw``) to have them computed only once.
+    """
     counts = group_counts(df, label)
     held_out = held_out_sizes(counts, test_share)
     rest = {c: counts[c] - held_out[c] for c in counts}
@@ -110,8 +128,8 @@ def add_bernoulli_split(
     key: str = KEY,
 ) -> DataFrame:
     """Unstratified split by a keyed draw: map-only, shares hold on average."""
-    chosen = F.when(F.col(DRAW) < share, held_out).otherwise(rest)
-    return with_draw(df, salt, key).withColumn(SPLIT, chosen).drop(DRAW)
+    chosen = F.when(F.col(draw_column(salt)) < share, held_out).otherwise(rest)
+    return with_draw(df, salt, key).withColumn(SPLIT, chosen).drop(draw_column(salt))
 
 
 def part(df: DataFrame, name: str) -> DataFrame:

@@ -26,7 +26,7 @@ from leadlift.operators.models import (
     tune_trees,
     with_auc,
 )
-from leadlift.operators.splits import SPLIT, add_three_way_split, part
+from leadlift.operators.splits import SPLIT, add_three_way_split, part, with_draw
 from leadlift.operators.tree_contributions import add_tree_contributions
 from leadlift.settings import (
     BASELINE_LABEL,
@@ -54,7 +54,8 @@ def prepare(
     customers: DataFrame, test_share: float = TEST_SHARE, valid_share: float = VALID_SHARE, label: str = LABEL
 ) -> DataFrame:
     """Labelled customers with their ``split``, staged by split part: a fit reads only the files of its part."""
-    labelled = stage(customers if label in customers.columns else add_label(customers), "labelled")
+    labelled = customers if label in customers.columns else add_label(customers)
+    labelled = stage(with_draw(with_draw(labelled, "split"), "valid"), "labelled")
     split = add_three_way_split(labelled, test_share, valid_share, label)
     return stage(split, "prepared", partition_by=[SPLIT])
 

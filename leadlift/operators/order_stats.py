@@ -107,8 +107,8 @@ def _bucket_counts(tagged: DataFrame) -> dict:
     return {(r[GROUP], r[BUCKET]): r["count"] for r in rows}
 
 
-def _grouped(df: DataFrame, value: str, by: str | None) -> DataFrame:
-    return df.where(is_ranked(value)).withColumn(GROUP, F.lit(0) if by is None else F.col(by))
+def _grouped(df: DataFrame, by: str | None) -> DataFrame:
+    return df.withColumn(GROUP, F.lit(0) if by is None else F.col(by))
 
 
 def rank_rows(
@@ -120,7 +120,7 @@ def rank_rows(
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Unique ascending rank 1..n by (value, key) within each group; rows without a value are left out."""
-    grouped = _grouped(df, value, by)
+    grouped = _grouped(df.where(is_ranked(value)), by)
     buckets = plan_buckets(grouped, value, key, grouped.count(), rows_per_bucket)
     tagged = tag_buckets(grouped, buckets, value, key)
     window = Window.partitionBy(GROUP, BUCKET).orderBy(value, key)
@@ -156,12 +156,12 @@ def keys_at_ranks(
     """The (value, key) pairs found at given ranks: ``{group: [rank, ..]}`` -> ``{(group, rank): (value, key)}``.
 
     Only the buckets that contain a wanted rank are sorted; the rest of the table is just counted. ``uniform`` says
-    that the values spread evenly over [0, 1), which saves the pass that looks for bucket edges.
+    that every row has a value and that values spread evenly over [0, 1), which saves the search for bucket edges.
     """
     wanted = [(group, rank) for group, group_ranks in ranks.items() for rank in sorted(set(group_ranks))]
     if not wanted:
         return {}
-    grouped = _grouped(df, value, by).select(GROUP, value, key)
+    grouped = _grouped(df if uniform else df.where(is_ranked(value)), by).select(GROUP, value, key)
     total = grouped.count() if rows is None else rows
     if uniform:
         buckets = even_buckets(total, rows_per_bucket)

@@ -7,6 +7,7 @@ queries. Computed doubles are rounded to six digits, so that summation order doe
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,8 +165,10 @@ def normalized_categoricals(spark, folder):
 # ---- splits and joins ---------------------------------------------------------------------------------------------
 
 
-def staged_labels(spark: SparkSession, folder: str, *more: str) -> DataFrame:
-    return stage(add_label(load_customers(spark, folder)).select(KEY, LABEL, *more), "labels")
+def staged_labels(spark: SparkSession, folder: str, *more: str, salts: tuple[str, ...] = ("split",)) -> DataFrame:
+    """Key, label, further columns and the draws of the splits to come, computed once."""
+    labelled = add_label(load_customers(spark, folder)).select(KEY, LABEL, *more)
+    return stage(reduce(splits.with_draw, salts, labelled), "labels")
 
 
 @query
@@ -175,7 +178,7 @@ def stratified_split(spark, folder):
 
 @query
 def train_valid_split(spark, folder):
-    return splits.add_three_way_split(staged_labels(spark, folder))
+    return splits.add_three_way_split(staged_labels(spark, folder, salts=("split", "valid")))
 
 
 @query
@@ -186,7 +189,8 @@ def bernoulli_split(spark, folder):
 @query
 def split_shares(spark, folder):
     """Rows and positives per part, after the features were restricted: the split column keeps the parts the same."""
-    split = splits.add_valid_split(splits.add_stratified_split(staged_labels(spark, folder, *SCORECARD_FEATURES)))
+    labelled = staged_labels(spark, folder, *SCORECARD_FEATURES, salts=("split", "valid"))
+    split = splits.add_valid_split(splits.add_stratified_split(labelled))
     narrow = restrict_features(split, SCORECARD_FEATURES[:3], keep=(LABEL, splits.SPLIT))
     shares = narrow.groupBy(splits.SPLIT).agg(
         F.count(F.lit(1)).alias("n"),
@@ -207,7 +211,7 @@ def features_left_join(spark, folder):
 def test_rows_semi_join(spark, folder):
     labelled = staged_labels(spark, folder, "email", "phone")
     test = splits.part(splits.add_stratified_split(labelled), "test")
-    return rows_of(labelled, test, KEY)
+    return rows_of(labelled.select(*ID_COLUMNS, LABEL), test, KEY)
 
 
 @query

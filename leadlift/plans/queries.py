@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadlift.functions import draws
@@ -473,7 +473,7 @@ def one_hot(spark, folder):
     )
 
 
-# ---- fitted models (no SQL counterpart) ---------------------------------------------------------------------------
+# ---- fitted models (SQL checks only what does not depend on the fit) ----------------------------------------------
 
 
 def prepared(spark: SparkSession, folder: str) -> DataFrame:
@@ -527,11 +527,44 @@ def gbt_mean_abs_contribution(spark, folder):
     return explain.mean_abs_contributions(explained, FEATURES)
 
 
+@query
+def lr_report_totals(spark, folder):
+    """What a report of fitted scores must count whatever the fit: rows and positives of the validation part."""
+    report = flows.baseline_flow(load_customers(spark, folder))["baseline_metrics"]
+    totals = report.select(
+        "label", "n", "pos_rate", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives")
+    )
+    return rounded(totals)
+
+
+@query
+def gbt_decile_sizes(spark, folder):
+    """Customers per decile of the fitted scores, and the responders of all deciles together."""
+    data, model = quick_trees(spark, folder)
+    table = ranking.decile_table(ranking.add_deciles(models.score_part(model, data, [])))
+    everyone = Window.partitionBy(F.lit(1))
+    return table.select(ranking.DECILE, "customers", F.sum("responders").over(everyone).alias("all_responders"))
+
+
+@query
+def gbt_contributions_add_up(spark, folder):
+    """Whether expected value plus contributions equal the log-odds of every test row's score."""
+    data, model = quick_trees(spark, folder)
+    explained = add_tree_contributions(models.score_part(model, data, FEATURES), model, FEATURES)
+    odds = reduce(lambda a, f: a + F.col(contribution_column(f)), FEATURES, F.col(explain.EXPECTED))
+    gap = F.abs(odds - F.ln(F.col(SCORE) / (1 - F.col(SCORE))))
+    return explained.select(KEY, (gap < 1e-9).cast("int").alias("adds_up"))
+
+
 @query
 def model_reload_scores(spark, folder):
+    """Whether a saved and reloaded model gives every test row the score it had before."""
     data = prepared(spark, folder)
-    path = save_model(models.fit_baseline(data, FEATURES), staging_path(spark, "model"))
-    return models.score_part(load_model(path), data, []).select(KEY, LABEL, SCORE)
+    model = models.fit_baseline(data, FEATURES)
+    loaded = load_model(save_model(model, staging_path(spark, "model")))
+    test = splits.part(data, "test")
+    both = models.add_probability(loaded, models.add_probability(model, test, "score_before"), "score_after")
+    return both.select(KEY, LABEL, (F.col("score_before") == F.col("score_after")).cast("int").alias("same_score"))
 
 
 @query

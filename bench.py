@@ -15,6 +15,7 @@ import time
 from pyspark.sql import SparkSession
 
 from leadlift.plans.queries import QUERIES
+from leadlift.sources.staging import drop_staged
 
 # Model queries that repeat the same fits with another report at the end are left out.
 REPEATED_FITS = {
@@ -53,6 +54,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        drop_staged(spark)
     scale = re.search(r"sf([\d.]+)", folder)
     line = {
         "metric": "total_query_time",

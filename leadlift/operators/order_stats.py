@@ -5,8 +5,9 @@ quantiles of the value. A value that repeats so often that it fills a bucket on
 of the key, so even one value shared by a third of all rows spreads over many buckets. Approximation only decides how
 even the buckets are: counts per bucket are exact, so ranks are exact.
 
-Bucket edges and counts are the only things that reach the driver; both are bounded by MAX_BUCKETS. They enter later
-passes as literals, so every pass, and every retried task, uses the same buckets.
+Bucket edges and counts are the only things that reach the driver: at most MAX_BUCKETS edges per column, and per group
+one count for each of at most MAX_BUCKETS * (2 + SLICES_PER_EDGE) buckets. They enter later passes as literals, so every
+pass, and every retried task, uses the same buckets.
 
 Callers pass a staged (or otherwise cheap to re-read) table: the passes read it two to four times.
 """
@@ -24,6 +25,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 4096
+# A repeated value gets this many key slices for every bucket it would fill. Its keys may crowd into a narrow range of
+# all keys; more slices than buckets keep the fullest slice small even then.
+SLICES_PER_EDGE = 16
 
 BUCKET = "_bucket"
 GROUP = "_group"
@@ -31,11 +35,11 @@ GROUP = "_group"
 
 @dataclass(frozen=True)
 class Buckets:
-    """Edges of the value, the bucket numbers that hold one repeated value, and edges of the key inside those."""
+    """Edges of the value; where values repeat, edges of the key and the number of key slices per value bucket."""
 
     value_edges: tuple[float, ...] = ()
-    repeated: tuple[int, ...] = ()
     key_edges: tuple[float, ...] = ()
+    slices: tuple[int, ...] = ()
 
     @property
     def single(self) -> bool:
@@ -66,12 +70,16 @@ def plan_buckets(
     if key:
         aggregates.append(F.percentile_approx(F.col(key).cast("double"), list(shares), accuracy))
     found = df.agg(*aggregates).first()
-    counts = Counter(found[0])
-    repeats = sorted(v for v, times in counts.items() if times > 1) if key else []
+    filled = Counter(found[0])
+    repeats = [v for v, times in filled.items() if times > 1] if key else []
     # a repeated value gets a bucket of its own: an edge at the value and one right above it
-    edges = sorted(set(counts) | {math.nextafter(v, math.inf) for v in repeats})
-    own = tuple(edges.index(v) + 1 for v in repeats)
-    return Buckets(tuple(edges), own, tuple(sorted(set(found[1]))) if repeats else ())
+    edges = sorted(set(filled) | {math.nextafter(v, math.inf) for v in repeats})
+    if not repeats:
+        return Buckets(tuple(edges))
+    slices = [0] * (len(edges) + 1)
+    for v in repeats:
+        slices[edges.index(v) + 1] = min(parts, SLICES_PER_EDGE * filled[v])
+    return Buckets(tuple(edges), tuple(sorted(set(found[1]))), tuple(slices))
 
 
 def tag_buckets(df: DataFrame, buckets: Buckets, value: str, key: str | None) -> DataFrame:
@@ -80,10 +88,11 @@ def tag_buckets(df: DataFrame, buckets: Buckets, value: str, key: str | None) ->
         return df.withColumn(BUCKET, F.lit(0).cast("bigint"))
     out = _bucketize(df, value, buckets.value_edges, "_value_bucket")
     number = F.col("_value_bucket")
-    if buckets.repeated:
+    if buckets.slices:
         out = _bucketize(out, key, buckets.key_edges, "_key_bucket")
-        inner = F.when(F.col("_value_bucket").isin(list(buckets.repeated)), F.col("_key_bucket")).otherwise(0)
-        number = number * (len(buckets.key_edges) + 1) + inner
+        slices = F.get(F.expr(f"array({', '.join(map(str, buckets.slices))})"), number.cast("int"))
+        inner = F.floor(F.col("_key_bucket") * slices / F.lit(len(buckets.key_edges) + 1))
+        number = number * (max(buckets.slices) + 1) + inner
     return out.withColumn(BUCKET, number.cast("bigint")).drop("_value_bucket", "_key_bucket")
 
 

@@ -24,6 +24,9 @@ def spark(tmp_path_factory):
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from leadlift.sources.staging import drop_staged
+
+    drop_staged(session)
     session.stop()
 
 

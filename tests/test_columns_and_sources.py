@@ -125,6 +125,23 @@ def test_staged_tables(spark):
     assert f"{staging.shared_folder(spark)}/leadlift/" in staged.inputFiles()[0]
 
 
+def test_shared_folder_comes_from_the_session(spark, tmp_path, monkeypatch):
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.checkpoint.dir": "hdfs://name/shared/"}.get(name, default)
+
+    class Context:
+        master, applicationId = "yarn", "app"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    assert staging.shared_folder(Session()) == "hdfs://name/shared"
+    monkeypatch.setattr(Conf, "get", lambda self, name, default=None: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session())
+
+
 def test_no_customer_is_lost(spark, small):
     inputs = read_inputs(spark, small)
     no_history = {n: inputs[n].limit(0) for n in ("orders", "lineitem", "events", "region")}
@@ -134,6 +151,15 @@ def test_no_customer_is_lost(spark, small):
     assert [tuple(r) for r in row] == [(0, 0, 1.0, 0.01, "NA", None)]
 
 
+def test_as_of_day(spark, small):
+    inputs = read_inputs(spark, small)
+    newest = inputs["orders"].agg(F.max("o_orderdate").cast("date").cast("string")).first()[0]
+    fixed_day = customer_table(**inputs, as_of=F.lit(newest).cast("date"))
+    assert sorted(fixed_day.collect()) == sorted(customer_table(**inputs).collect())
+    years_later = customer_table(**inputs, as_of=F.date_add(F.lit(newest).cast("date"), 3000))
+    assert years_later.agg(F.max("txn_count_3m")).first()[0] == 0
+
+
 def test_newest_event_wins(spark):
     rows = [(1, "2020-01-01", 7, "view"), (2, "2020-01-02", 7, "click"), (3, "2020-01-02", 7, "buy"), (4, "2019-01-01", 8, "view")]
     events = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string").withColumn("ts", F.col("ts").cast("timestamp"))

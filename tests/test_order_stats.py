@@ -37,13 +37,34 @@ def test_rank_rows_matches_sorting(spark, rows_per_bucket):
     assert got == {key: i for i, (key, _) in enumerate(in_order(pairs), 1)}
 
 
+def sizes(df, buckets):
+    tagged = tag_buckets(df, buckets, "p_apply", "customer_id")
+    return [r["count"] for r in tagged.groupBy("_bucket").count().collect()]
+
+
 def test_repeated_values_do_not_fill_a_bucket(spark):
-    pairs = skewed(3000)
+    df = make(spark, skewed(3000))
+    buckets = plan_buckets(df, "p_apply", "customer_id", 3000, rows_per_bucket=100)
+    assert buckets.slices
+    assert max(sizes(df, buckets)) <= 300
+
+
+def test_repeated_value_with_crowded_keys(spark):
+    """The third of the rows that share one score also have neighbouring keys."""
+    pairs = [(100 + i, 0.25 if i < 1000 else (i * 7919 % 3000) / 3000) for i in range(3000)]
     df = make(spark, pairs)
     buckets = plan_buckets(df, "p_apply", "customer_id", 3000, rows_per_bucket=100)
-    assert buckets.repeated
-    sizes = [r["count"] for r in tag_buckets(df, buckets, "p_apply", "customer_id").groupBy("_bucket").count().collect()]
-    assert max(sizes) <= 300
+    assert max(sizes(df, buckets)) <= 300
+
+
+def test_few_distinct_values_keep_the_bucket_count_bounded(spark):
+    pairs = [(100 + i, (i * 7919 % 40) / 40) for i in range(6000)]
+    df = make(spark, pairs)
+    buckets = plan_buckets(df, "p_apply", "customer_id", 6000, rows_per_bucket=30)
+    counts = sizes(df, buckets)
+    assert len(counts) <= 200 * (2 + order_stats.SLICES_PER_EDGE) and max(counts) <= 90
+    got = {r["customer_id"]: r["rank"] for r in rank_rows(df, "p_apply", "customer_id", rows_per_bucket=30).collect()}
+    assert got == {key: i for i, (key, _) in enumerate(in_order(pairs), 1)}
 
 
 @pytest.mark.parametrize("rows_per_bucket", [11, 10_000])

@@ -43,7 +43,9 @@ def bernoulli(key: str, salt: str, p: float) -> Column:
 
 def poisson(key: str, salt: str, lam: float) -> Column:
     """Inverse CDF: how many cumulative probabilities lie below the draw."""
-    return F.expr(f"size(filter({_array(poisson_cdf(lam))}, c -> c < {_uniform(key, salt)}))")
+    below = f"size(filter({_array(poisson_cdf(lam))}, c -> c < u))"
+    # bound once, outside the inner lambda: the digest is not taken again for every step
+    return F.expr(f"get(transform(array({_uniform(key, salt)}), u -> {below}), 0)")
 
 
 def beta(key: str, salt: str, a: float, b: float) -> Column:

@@ -7,72 +7,50 @@ j's splits. The leaf's contribution to feature i is then
     value * (meets[i] - share[i]) * sum over subsets S of D without i of
         |S|! (|D| - |S| - 1)! / |D|! * prod(meets[j], j in S) * prod(share[j], j not in S)
 
-The subset sums are the coefficients of ``prod_j (share[j] + meets[j] * t)`` grouped by degree. Rows of a batch that
-meet the same conditions share one evaluation. The leaves are a small table, at most trees * 2^depth entries, sent to
-the executors once; rows never leave their partition.
+The leaves are a small table, at most trees * 2^depth entries whatever the data, sent to the executors once; rows never
+leave their partition. The numpy part is ``functions/shapley.py``; it is shipped with the job by value, so executors
+need no installed copy of this package.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
-
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadlift.functions import shapley
 from leadlift.functions.numeric import contribution_column
+from leadlift.functions.shapley import ANYTHING, batch_contributions, expected_value
 from leadlift.operators.columns import normalise_categories
 from leadlift.operators.explain import EXPECTED, free_name
 from leadlift.operators.models import by_kind
 from leadlift.sources.staging import staging_path
 
+cloudpickle.register_pickle_by_value(shapley)
+
 # Spark's tree margin m gives the probability 1 / (1 + exp(-2m)): the log-odds are twice the margin.
 LOG_ODDS_PER_MARGIN = 2.0
 
 
-@dataclass
-class Condition:
-    """What a path asks of one feature: above ``low``, up to ``high``, or one of ``allowed`` category numbers."""
-
-    low: float = -math.inf
-    high: float = math.inf
-    allowed: frozenset | None = None
-    share: float = 1.0
-
-    def narrowed(self, split, left: bool, share: float) -> Condition:
-        low, high, allowed = self.low, self.high, self.allowed
-        if split.numCategories > 0:
-            lefts = frozenset(split.leftCategoriesOrThreshold)
-            side = lefts if left else frozenset(float(c) for c in range(split.numCategories)) - lefts
-            allowed = side if allowed is None else allowed & side
-        elif left:
-            high = min(high, split.leftCategoriesOrThreshold[0])
-        else:
-            low = max(low, split.leftCategoriesOrThreshold[0])
-        return Condition(low, high, allowed, self.share * share)
-
-    def met_by(self, x: np.ndarray) -> np.ndarray:
-        if self.allowed is not None:
-            return np.isin(x, list(self.allowed))
-        met = ~(x <= self.low)  # NaN goes right at every split, as in Spark
-        return met if math.isinf(self.high) else met & (x <= self.high)
+def narrowed(condition: tuple, split, left: bool, share: float) -> tuple:
+    """The condition after also passing ``split`` to the left or right, followed by ``share`` of the rows."""
+    low, high, allowed, before = condition
+    if split.numCategories > 0:
+        lefts = set(split.leftCategoriesOrThreshold)
+        side = lefts if left else {float(c) for c in range(split.numCategories)} - lefts
+        allowed = tuple(sorted(side if allowed is None else side & set(allowed)))
+    elif left:
+        high = min(high, split.leftCategoriesOrThreshold[0])
+    else:
+        low = max(low, split.leftCategoriesOrThreshold[0])
+    return low, high, allowed, before * share
 
 
-@dataclass
-class Leaf:
-    value: float
-    path: dict[int, Condition] = field(default_factory=dict)
-
-    @property
-    def expected(self) -> float:
-        return self.value * math.prod(c.share for c in self.path.values())
-
-
-def read_leaves(spark: SparkSession, model: PipelineModel) -> list[Leaf]:
+def read_leaves(spark: SparkSession, model: PipelineModel) -> list[tuple]:
     """All leaves with their values in log-odds, from the node table of the saved trees."""
     trees = model.stages[-1]
     path = staging_path(spark, "trees")
@@ -86,46 +64,17 @@ def read_leaves(spark: SparkSession, model: PipelineModel) -> list[Leaf]:
         while pending:
             node, path_so_far = pending.pop()
             if node.leftChild < 0:
-                leaves.append(Leaf(LOG_ODDS_PER_MARGIN * weight * node.prediction, path_so_far))
+                leaves.append((LOG_ODDS_PER_MARGIN * weight * node.prediction, path_so_far))
                 continue
             feature = node.split.featureIndex
             for child_id, left in ((node.leftChild, True), (node.rightChild, False)):
                 child = nodes[tree][child_id]
-                known = path_so_far.get(feature, Condition())
-                step = known.narrowed(node.split, left, child.rawCount / node.rawCount)
+                known = path_so_far.get(feature, ANYTHING)
+                step = narrowed(known, node.split, left, child.rawCount / node.rawCount)
                 pending.append((child, {**path_so_far, feature: step}))
     return leaves
 
 
-def leaf_contributions(leaf: Leaf, meets: np.ndarray) -> np.ndarray:
-    """Contributions of one leaf for each row of ``meets`` (rows x path features)."""
-    shares = np.array([c.share for c in leaf.path.values()])
-    rows, size = meets.shape
-    degree_weight = [math.factorial(k) * math.factorial(size - 1 - k) / math.factorial(size) for k in range(size)]
-    out = np.empty((rows, size))
-    for i in range(size):
-        by_degree = np.zeros((rows, size))
-        by_degree[:, 0] = 1.0
-        for j in range(size):
-            if j != i:
-                shifted = np.roll(by_degree, 1, axis=1) * meets[:, [j]]
-                shifted[:, 0] = 0.0
-                by_degree = by_degree * shares[j] + shifted
-        out[:, i] = (meets[:, i] - shares[i]) * (by_degree @ degree_weight)
-    return leaf.value * out
-
-
-def batch_contributions(leaves: list[Leaf], x: np.ndarray) -> np.ndarray:
-    """Contributions (rows x features) of all leaves for a batch of feature rows."""
-    out = np.zeros(x.shape)
-    for leaf in leaves:
-        if leaf.path:
-            meets = np.column_stack([condition.met_by(x[:, j]) for j, condition in leaf.path.items()])
-            patterns, which = np.unique(meets, axis=0, return_inverse=True)
-            out[:, list(leaf.path)] += leaf_contributions(leaf, patterns.astype(float))[which.reshape(-1)]
-    return out
-
-
 def add_tree_contributions(df: DataFrame, model: PipelineModel, features: list[str]) -> DataFrame:
     """Add ``exp_expected_value`` and one contribution column per feature, in log-odds.
 
@@ -146,7 +95,8 @@ def add_tree_contributions(df: DataFrame, model: PipelineModel, features: list[s
     prepared = normalise_categories(df)
     for stage_model in model.stages[:-1]:
         prepared = stage_model.transform(prepared)
-    explained = prepared.withColumn("_contributions", contributions(vector_to_array(F.col(model.stages[-1].getFeaturesCol()))))
+    vector = vector_to_array(F.col(model.stages[-1].getFeaturesCol()))
+    explained = prepared.withColumn("_contributions", contributions(vector))
     columns = {free_name(contribution_column(f), df): F.get("_contributions", F.lit(position[f])) for f in features}
-    expected = float(sum(leaf.expected for leaf in leaves))
+    expected = float(sum(map(expected_value, leaves)))
     return explained.withColumns({EXPECTED: F.lit(expected), **columns}).select(*df.columns, EXPECTED, *columns)

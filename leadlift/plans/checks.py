@@ -399,6 +399,10 @@ def queries_sql() -> dict[str, str]:
         "metrics_report": f"{test_table}{train_ctes}{test_ctes} {train_rows} UNION ALL {test_rows}",
         "metrics_csv_round_trip": f"{CUSTOMERS}{all_ctes} {all_rows}",
         "rank_first": f"{RANKED} SELECT customer_id, score_rank AS \"rank\" FROM ranked",
+        "rank_within_class": f"""{CUSTOMERS}
+            SELECT customer_id, applied_cc,
+                   row_number() OVER (PARTITION BY applied_cc ORDER BY {u('split')}, customer_id) AS "rank"
+            FROM scored""",
         "deciles_qcut": f"{RANKED} SELECT customer_id, decile FROM with_deciles",
         "deciles_ntile": f"""{CUSTOMERS}
             SELECT customer_id, (ntile(10) OVER (ORDER BY p_apply, customer_id))::INTEGER AS decile FROM scored""",

@@ -23,6 +23,7 @@ from leadlift.operators.columns import (
     rows_of,
 )
 from leadlift.operators.labels import add_label, add_score, add_scorecard_probability
+from leadlift.operators.order_stats import rank_rows
 from leadlift.operators.tree_contributions import add_tree_contributions
 from leadlift.plans import flows
 from leadlift.settings import (
@@ -307,6 +308,13 @@ def rank_first(spark, folder):
     return ranking.rank_first(staged_scores(spark, folder)).select(KEY, "rank")
 
 
+@query
+def rank_within_class(spark, folder):
+    """Rank of every customer's split draw among the customers with the same label."""
+    drawn = staged_labels(spark, folder)
+    return rank_rows(drawn, splits.draw_column("split"), KEY, by=LABEL).select(KEY, LABEL, "rank")
+
+
 @query
 def deciles_qcut(spark, folder):
     return ranking.add_deciles(staged_scores(spark, folder)).select(KEY, ranking.DECILE)

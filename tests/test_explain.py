@@ -2,6 +2,8 @@
 
 import itertools
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -15,21 +17,16 @@ from leadlift.functions.numeric import contribution_column
 from leadlift.operators import explain
 from leadlift.operators.exports import lead_columns
 from leadlift.operators.models import add_probability
-from leadlift.operators.tree_contributions import (
-    Condition,
-    Leaf,
-    add_tree_contributions,
-    batch_contributions,
-    read_leaves,
-)
+from leadlift.functions.shapley import batch_contributions, expected_value, met
+from leadlift.operators.tree_contributions import add_tree_contributions, read_leaves
 
 
 def brute_shapley(leaf, x, size):
     """Path-dependent Shapley values of one leaf from their definition."""
     def value(known):
-        v = leaf.value
-        for j, condition in leaf.path.items():
-            v *= float(condition.met_by(np.array([x[j]]))[0]) if j in known else condition.share
+        v, path = leaf
+        for j, condition in path.items():
+            v *= float(met(condition, np.array([x[j]]))[0]) if j in known else condition[3]
         return v
 
     phi = np.zeros(size)
@@ -50,20 +47,38 @@ def test_batch_matches_definition():
         path = {}
         for j in rng.choice(4, size=rng.integers(1, 5), replace=False):
             low, high = sorted(rng.normal(size=2))
-            path[int(j)] = Condition(low, high, None, float(rng.uniform(0.1, 0.9)))
-        leaves.append(Leaf(float(rng.normal()), path))
-    leaves.append(Leaf(0.7, {2: Condition(allowed=frozenset({0.0, 2.0}), share=0.4)}))
-    leaves.append(Leaf(0.3, {}))
+            path[int(j)] = (low, high, None, float(rng.uniform(0.1, 0.9)))
+        leaves.append((float(rng.normal()), path))
+    leaves.append((0.7, {2: (-math.inf, math.inf, (0.0, 2.0), 0.4)}))
+    leaves.append((0.3, {}))
     x = rng.normal(size=(25, 4))
     x[:5, 2] = [0, 1, 2, 0, 3]
     expected = [sum(brute_shapley(leaf, row, 4) for leaf in leaves) for row in x]
     assert batch_contributions(leaves, x) == pytest.approx(np.array(expected), abs=1e-12)
 
 
+def test_long_paths():
+    """More path features than the evaluation tabulates at once."""
+    rng = np.random.default_rng(8)
+    leaf = (1.5, {j: (-0.5, 1.0, None, 0.3 + 0.05 * j) for j in range(9)})
+    x = rng.normal(size=(6, 9))
+    assert batch_contributions([leaf], x) == pytest.approx(np.array([brute_shapley(leaf, row, 9) for row in x]), abs=1e-12)
+
+
+def test_runs_where_the_package_is_not_installed():
+    from pyspark import cloudpickle
+
+    code = "import pickle, sys, numpy; print(pickle.load(sys.stdin.buffer)([(2.0, {0: (0.0, 9.0, None, 0.5)})], numpy.array([[1.0]])))"
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(batch_contributions), capture_output=True, cwd="/"
+    )
+    assert done.stdout.decode().strip() == "[[1.]]", done.stderr.decode()
+
+
 def test_missing_values_go_right():
     nan = np.array([np.nan])
-    assert Condition(low=1.0).met_by(nan)[0]
-    assert not Condition(high=1.0).met_by(nan)[0]
+    assert met((1.0, math.inf, None, 1.0), nan)[0]
+    assert not met((-math.inf, 1.0, None, 1.0), nan)[0]
 
 
 @pytest.fixture(scope="module")
@@ -107,7 +122,7 @@ def test_tree_contributions_add_up(tiny_model):
 def test_expected_value_is_the_training_mean(spark, tiny_model):
     df, model = tiny_model
     mean = model.transform(df).select(F.avg(2 * vector_to_array("rawPrediction")[1])).first()[0]
-    assert sum(leaf.expected for leaf in read_leaves(spark, model)) == pytest.approx(mean, abs=1e-9)
+    assert sum(map(expected_value, read_leaves(spark, model))) == pytest.approx(mean, abs=1e-9)
 
 
 def test_single_leaf_trees(spark):

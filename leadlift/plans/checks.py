@@ -326,6 +326,11 @@ def slots(column: str) -> str:
     )
 
 
+def scaled(column: str) -> str:
+    mean, deviation = f"(SELECT avg({column}) FROM train)", f"(SELECT stddev_pop({column}) FROM train)"
+    return r6(f"coalesce(({column} - {mean}) / nullif({deviation}, 0), 0)", column)
+
+
 def queries_sql() -> dict[str, str]:
     train_ctes, train_rows = full_report("train", "train")
     test_ctes, test_rows = full_report("test", "test")
@@ -453,9 +458,7 @@ def queries_sql() -> dict[str, str]:
             for c in NUMERIC
         ),
         "standard_scaled": f"""{SPLIT}
-            SELECT customer_id, {', '.join(
-                r6(f"coalesce(({c} - (SELECT avg({c}) FROM train)) / nullif((SELECT stddev_pop({c}) FROM train), 0), 0)", c)
-                for c in NUMERIC)}
+            SELECT customer_id, {', '.join(map(scaled, NUMERIC))}
             FROM splitted""",
         "category_dictionary": f"{SPLIT} "
         + " UNION ALL ".join(

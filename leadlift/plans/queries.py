@@ -539,9 +539,8 @@ def gbt_mean_abs_contribution(spark, folder):
 def lr_report_totals(spark, folder):
     """What a report of fitted scores must count whatever the fit: rows and positives of the validation part."""
     report = flows.baseline_flow(load_customers(spark, folder))["baseline_metrics"]
-    totals = report.select(
-        "label", "n", "pos_rate", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives")
-    )
+    positives, negatives = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
+    totals = report.select("label", "n", "pos_rate", positives.alias("positives"), negatives.alias("negatives"))
     return rounded(totals)
 
 

@@ -115,10 +115,8 @@ def score(kind: Kind, text: Column, start: Column, end: Column) -> Column:
 
 def proposed(kind: Kind, text: Column, matches: Column) -> Column:
     """(match, start) for each match: what lies between matches gives their places."""
-    between = F.split(text, kind.pattern, -1)
-    steps = F.transform(matches, lambda m, i: F.length(F.get(between, i)) + F.length(m))
     return let(
-        between,
+        F.split(text, kind.pattern, -1),
         lambda b: let(
             F.transform(matches, lambda m, i: F.length(F.get(b, i)) + F.length(m)),
             lambda s: F.zip_with(
@@ -155,14 +153,14 @@ def spans_of(kind: Kind, text: Column) -> Column:
     return F.when(text.rlike(kind.hint), found).otherwise(nothing).cast(f"array<{SPAN}>")
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs(doc_id, text, ..)`` and ``pii_spans``: confirmed spans by kind as listed, then start.
+def find_personal_data(docs: DataFrame, column: str = "pii_spans") -> DataFrame:
+    """All columns of ``docs(doc_id, text, ..)`` and ``column``: confirmed spans by kind as listed, then start.
 
     Starts and ends are code points, ends exclusive. A null or empty text has no spans; repeated rows repeat theirs.
-    A column of ``docs`` that is already named pii_spans is replaced.
+    If ``docs`` has a column of that name already, it is replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumn("pii_spans", F.concat(*(spans_of(kind, text) for kind in KINDS)))
+    return docs.withColumn(column, F.concat(*(spans_of(kind, text) for kind in KINDS)))
 
 
 def span_list(spans: Column) -> Column:
@@ -189,7 +187,10 @@ def mask(text: Column, spans: Column) -> Column:
         last = F.array_max(F.transform(s, lambda x: x["end"]))
         return F.concat(F.array_join(kept, ""), F.substring(text, last + 1, F.length(text)))
 
-    by_start = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"], x["end"], x["kind"])))
+    # of spans that start together the longest comes first
+    by_start = F.array_sort(
+        F.transform(spans, lambda x: F.struct(x["start"], (-x["end"]).alias("longest"), x["kind"], x["end"]))
+    )
     masked = let(
         by_start,
         lambda s: let(
@@ -205,9 +206,11 @@ def mask_personal_data(docs: DataFrame) -> DataFrame:
 
     A null text stays null, and its n_chars as it is.
     """
-    found = find_personal_data(docs)
-    out = found.withColumn("text", mask(F.col("text"), F.col("pii_spans")))
+    spans = "pii_spans"
+    while spans in docs.columns:
+        spans += "_"
+    out = find_personal_data(docs, spans).withColumn("text", mask(F.col("text"), F.col(spans)))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.size("pii_spans") > 0, length).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, length).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

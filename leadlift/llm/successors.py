@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from leadlift.sources.staging import stage
 
-WIDTH = 1024
+BITS = 10
+WIDTH = 1 << BITS
 
 
 def lower_heads(heads: DataFrame, levels: int) -> DataFrame:
     """(number, lower): for each ``heads(number, head)`` the head of the next lower number, null for the lowest."""
-    group = F.floor(F.col("number") / WIDTH)
+    group = F.shiftright("number", BITS)
     inside = heads.withColumn("group", group if levels else F.lit(0).cast("bigint"))
     w = Window.partitionBy("group").orderBy(F.desc("number"))
     inside = inside.withColumn("lower", F.lead("head").over(w))
@@ -41,15 +42,15 @@ def with_successor(rows: DataFrame, key: str, ties: list[Column], wanted: dict[s
     spark = rows.sparkSession
     keys = rows.select(F.col(key).alias("_key")).where("_key is not null")
     low, high = keys.agg(F.min("_key"), F.max("_key")).first()
-    block = F.floor(F.col(key) / WIDTH)
+    block = F.shiftright(F.col(key), BITS)
     if low is None:
         table = spark.createDataFrame([], "_key bigint, _before bigint")
     else:
-        # levels until one group holds all numbers
+        # levels until one group can hold all numbers
         levels, first, last = 0, low // WIDTH, high // WIDTH
-        while first // WIDTH != last // WIDTH:
+        while last - first >= WIDTH:
             levels, first, last = levels + 1, first // WIDTH, last // WIDTH
-        heads = keys.groupBy(F.floor(F.col("_key") / WIDTH).alias("number")).agg(F.max("_key").alias("head"))
+        heads = keys.groupBy(F.shiftright("_key", BITS).alias("number")).agg(F.max("_key").alias("head"))
         lower = lower_heads(heads, levels)
         table = lower.select(F.coalesce("lower", F.lit(high).cast("bigint")).alias("_key"), F.col("number").alias("_before"))
     # written first: its size is then known, and a join with it needs no shuffle of the texts while it is small
@@ -64,9 +65,8 @@ def with_successor(rows: DataFrame, key: str, ties: list[Column], wanted: dict[s
     # rows without a key are spread over windows of their own
     spread = F.when(F.col("_block").isNull(), F.xxhash64(*[F.col(c) for c in rows.columns if c != key])).otherwise(0)
     w = Window.partitionBy("_block", "_spread").orderBy("_copy", F.desc(key), *ties)
-    following = placed.withColumn("_spread", spread).withColumn("_next", F.lead(F.struct(*(
-        e.alias(n) for n, e in wanted.items()
-    ))).over(w))
+    next_row = F.lead(F.struct(*(e.alias(n) for n, e in wanted.items()))).over(w)
+    following = placed.withColumn("_spread", spread).withColumn("_next", next_row)
     return following.where(~F.col("_copy")).select(
         *rows.columns, *(F.when(F.col(key).isNotNull(), F.col(f"_next.{n}")).alias(n) for n in wanted)
     )

@@ -13,13 +13,16 @@ def sigmoid(x: Column) -> Column:
 
 
 def clip(x: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), x))
+    """``x`` within the bounds; NULL and NaN stay what they are."""
+    number = x.cast("double")
+    return F.when(number < low, F.lit(low)).when((number > high) & ~F.isnan(number), F.lit(high)).otherwise(x)
 
 
 def fixed(x: Column, digits: int = 6) -> Column:
     """Round half up with plain arithmetic, so that other engines get the same double."""
     scale = float(10**digits)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    rounded = F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    return F.when(F.isnan(x), F.lit(float("nan"))).otherwise(rounded)
 
 
 def ratio(numerator: Column, denominator: Column, empty: float | None = None) -> Column:

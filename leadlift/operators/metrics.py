@@ -3,6 +3,9 @@
 Everything a metrics row needs is an aggregate: one pass counts the confusion cells of all thresholds, one pass builds
 the score curve behind ROC AUC and average precision, and the best-F1 sweep is a histogram over its threshold grid.
 Scalars travel as scalar subqueries, not through the driver. Pass a staged table: a full report reads it a few times.
+
+One rule for missing values holds everywhere: a row counts if its label is 0 or 1 and its score is neither NULL nor
+NaN. ``n`` is the number of rows that count, and ``left_out`` tells how many do not.
 """
 
 from __future__ import annotations
@@ -10,21 +13,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from leadlift.functions.numeric import clip, grid_step, ratio, threshold_label
 from leadlift.operators.columns import require_scored
-from leadlift.operators.order_stats import BUCKET, ROWS_PER_BUCKET, plan_buckets, tag_buckets
+from leadlift.operators.order_stats import BUCKET, ROWS_PER_BUCKET, in_buckets, is_ranked
 from leadlift.settings import F1_GRID_POINTS, LABEL, METRIC_COLUMNS, REPORT_THRESHOLDS, SCORE
 
 LOG_LOSS_EPS = 2.220446049250313e-16
+METRIC_TYPES = {"label": "string", "n": "bigint", "tp": "bigint", "fp": "bigint", "tn": "bigint", "fn": "bigint"}
 
 
 def _pairs(scored: DataFrame, label: str, score: str) -> DataFrame:
     require_scored(scored, label, score)
-    return scored.select(F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("s"))
+    pairs = scored.select(F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("s"))
+    return pairs.where(F.col("y").isin(0, 1) & is_ranked("s"))
+
+
+def left_out(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
+    """Rows without a label or a score, which no metric counts; one row."""
+    counted = F.col("_y").isin(0, 1) & is_ranked("_s")
+    pairs = scored.select(F.col(label).cast("int").alias("_y"), F.col(score).cast("double").alias("_s"))
+    return pairs.agg(F.count_if(~F.coalesce(counted, F.lit(False))).alias("left_out"))
 
 
 def add_predictions(scored: DataFrame, threshold: float, score: str = SCORE, column: str = "y_pred") -> DataFrame:
@@ -41,29 +52,30 @@ def score_curve(
     """One row per distinct score: positives and negatives at it, and at or above it (``tp``, ``fp``).
 
     Rows are first aggregated per score, so copies of one score never meet in one task. The running sums are taken in
-    score buckets of bounded size, on top of exact totals of the buckets above.
+    score ranges of bounded size, on top of exact totals of the ranges above.
     """
     pairs = _pairs(scored, label, score)
-    buckets = plan_buckets(pairs, "s", None, pairs.count(), rows_per_bucket)
     per_score = pairs.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    tagged = tag_buckets(per_score, buckets, "s", None)
+    tagged = in_buckets(per_score, [F.desc("s")], rows_per_bucket)
+    totals = tagged.groupBy(BUCKET).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    # one row per range
+    ranges = Window.partitionBy(F.lit(1)).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        BUCKET, *(F.coalesce(F.sum(c).over(ranges), F.lit(0)).alias(f"{c}_above") for c in ("_pos", "_neg"))
+    )
     above = Window.partitionBy(BUCKET).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    curve = tagged.withColumn("tp", F.sum("pos").over(above)).withColumn("fp", F.sum("neg").over(above))
-    if not buckets.single:
-        totals = tag_buckets(pairs, buckets, "s", None).groupBy(BUCKET)
-        sums = totals.agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).collect()
-        tp_above, fp_above, rows = 0, 0, []
-        for row in sorted(sums, key=lambda r: -r[BUCKET]):
-            rows.append((row[BUCKET], tp_above, fp_above))
-            tp_above, fp_above = tp_above + row["pos"], fp_above + row["neg"]
-        schema = StructType([StructField(n, LongType()) for n in (BUCKET, "_tp_above", "_fp_above")])
-        offsets = scored.sparkSession.createDataFrame(rows, schema)  # one row per bucket
-        curve = (
-            curve.join(F.broadcast(offsets), BUCKET)
-            .withColumn("tp", F.col("tp") + F.col("_tp_above"))
-            .withColumn("fp", F.col("fp") + F.col("_fp_above"))
+    return (
+        tagged.withColumn("tp", F.sum("pos").over(above))
+        .withColumn("fp", F.sum("neg").over(above))
+        .join(offsets, BUCKET)
+        .select(
+            F.col("s").alias("score"),
+            "pos",
+            "neg",
+            (F.col("tp") + F.col("_pos_above")).alias("tp"),
+            (F.col("fp") + F.col("_neg_above")).alias("fp"),
         )
-    return curve.select(F.col("s").alias("score"), "pos", "neg", "tp", "fp")
+    )
 
 
 def curve_scores(curve: DataFrame) -> DataFrame:
@@ -112,6 +124,9 @@ def confusion_at(
     y, s = F.col("y"), F.col("s")
     counts = [F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")]
     cells = []
+    nothing = "label string, threshold double, tp bigint, fp bigint, tn bigint, fn bigint"
+    if not thresholds:
+        return scored.sparkSession.createDataFrame([], nothing)
     for i, threshold in enumerate(thresholds):
         reached = s >= F.lit(float(threshold))
         counts += [F.count_if(reached & (y == 1)).alias(f"tp{i}"), F.count_if(reached & (y == 0)).alias(f"fp{i}")]
@@ -150,7 +165,7 @@ def grid_sweep(
         .when((guess < points - 1) & (threshold(guess + 1) <= s), guess + 1)
         .otherwise(guess)
     )
-    # scores below 0, and missing scores, reach no threshold: cell -1
+    # scores below 0 reach no threshold: cell -1
     cell = F.when(s >= 0, cell).otherwise(F.lit(-1.0)).cast("int")
     rows = _pairs(scored, label, score).select(
         cell.alias("cell"),
@@ -272,7 +287,13 @@ def metrics_report(
     return _complete(confusion, scored, label, score, **tuning)
 
 
-def concat_reports(*reports: DataFrame | None) -> DataFrame | None:
-    """All rows of the given reports; missing reports are skipped, missing columns become NULL."""
+def concat_reports(*reports: DataFrame | None, spark: SparkSession | None = None) -> DataFrame:
+    """All rows of the given reports; missing reports are skipped, missing columns become NULL.
+
+    Without any report the result is an empty metrics table.
+    """
     given = [r for r in reports if r is not None]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), given) if given else None
+    if not given:
+        session = spark or SparkSession.active()
+        return session.createDataFrame([], ", ".join(f"`{c}` {METRIC_TYPES.get(c, 'double')}" for c in METRIC_COLUMNS))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), given)

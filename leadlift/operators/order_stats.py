@@ -1,119 +1,53 @@
 """Exact global ranks and rank cut-offs without a single-task window.
 
-Rows are ordered by (value, key); the key breaks ties. The order is cut into buckets of bounded size by approximate
-quantiles of the value. A value that repeats so often that it fills a bucket on its own is split further by quantiles
-of the key, so even one value shared by a third of all rows spreads over many buckets. Approximation only decides how
-even the buckets are: counts per bucket are exact, so ranks are exact.
-
-Bucket edges and counts are the only things that reach the driver: at most MAX_BUCKETS edges per column, and per group
-one count for each of at most MAX_BUCKETS * (2 + SLICES_PER_EDGE) buckets. They enter later passes as literals, so every
-pass, and every retried task, uses the same buckets.
-
-Callers pass a staged (or otherwise cheap to re-read) table: the passes read it two to four times.
+Rows are ordered by (value, key); the key breaks ties. Spark range-partitions the rows by that pair, from a sample of
+pairs, so a value that a third of all rows share is cut further by its keys, whatever their type. The partition's number
+is staged with the rows, so every later pass and every retried task sees the same buckets. Sampling only decides how
+even the buckets are: counts per bucket are exact, so ranks are exact. The number of buckets follows the number of rows;
+it is never less than the session's shuffle partitions, so small tables run the same code as large ones.
+
+A look-up of single ranks first counts the rows in fixed cells of the value, which is a partial aggregate with a
+bounded result, and orders only the rows of the cells that hold a wanted rank.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+
+from leadlift.sources.staging import stage
 
 ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 4096
-# A repeated value gets this many key slices for every bucket it would fill. Its keys may crowd into a narrow range of
-# all keys; more slices than buckets keep the fullest slice small even then.
-SLICES_PER_EDGE = 16
+CELLS = 4096  # of [0, 1]; what lies outside shares the first or the last
+MAX_GROUPS = 1000
 
 BUCKET = "_bucket"
 GROUP = "_group"
 
 
-@dataclass(frozen=True)
-class Buckets:
-    """Edges of the value; where values repeat, edges of the key and the number of key slices per value bucket."""
-
-    value_edges: tuple[float, ...] = ()
-    key_edges: tuple[float, ...] = ()
-    slices: tuple[int, ...] = ()
-
-    @property
-    def single(self) -> bool:
-        return not self.value_edges
-
-
 def is_ranked(value: str) -> Column:
     """Rows that take part in an order: a value that is neither NULL nor NaN."""
     return F.col(value).isNotNull() & ~F.isnan(F.col(value))
 
 
-def even_buckets(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> Buckets:
-    """Equal slices of [0, 1), for values known to be uniform; needs no pass."""
-    parts = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
-    return Buckets(tuple(i / parts for i in range(1, parts)))
-
-
-def plan_buckets(
-    df: DataFrame, value: str, key: str | None, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> Buckets:
-    """One pass over two columns; none at all when everything fits in a single bucket."""
-    shares = even_buckets(rows, rows_per_bucket).value_edges
-    if not shares:
-        return Buckets()
-    parts = len(shares) + 1
-    accuracy = 10 * parts
-    aggregates = [F.percentile_approx(F.col(value).cast("double"), list(shares), accuracy)]
-    if key:
-        aggregates.append(F.percentile_approx(F.col(key).cast("double"), list(shares), accuracy))
-    found = df.agg(*aggregates).first()
-    filled = Counter(found[0])
-    repeats = [v for v, times in filled.items() if times > 1] if key else []
-    # a repeated value gets a bucket of its own: an edge at the value and one right above it
-    edges = sorted(set(filled) | {math.nextafter(v, math.inf) for v in repeats})
-    if not repeats:
-        return Buckets(tuple(edges))
-    slices = [0] * (len(edges) + 1)
-    for v in repeats:
-        slices[edges.index(v) + 1] = min(parts, SLICES_PER_EDGE * filled[v])
-    return Buckets(tuple(edges), tuple(sorted(set(found[1]))), tuple(slices))
-
-
-def tag_buckets(df: DataFrame, buckets: Buckets, value: str, key: str | None) -> DataFrame:
-    """Add the bucket number; a larger number always means later in the order."""
-    if buckets.single:
-        return df.withColumn(BUCKET, F.lit(0).cast("bigint"))
-    out = _bucketize(df, value, buckets.value_edges, "_value_bucket")
-    number = F.col("_value_bucket")
-    if buckets.slices:
-        out = _bucketize(out, key, buckets.key_edges, "_key_bucket")
-        slices = F.get(F.expr(f"array({', '.join(map(str, buckets.slices))})"), number.cast("int"))
-        inner = F.floor(F.col("_key_bucket") * slices / F.lit(len(buckets.key_edges) + 1))
-        number = number * (max(buckets.slices) + 1) + inner
-    return out.withColumn(BUCKET, number.cast("bigint")).drop("_value_bucket", "_key_bucket")
-
-
-def _bucketize(df: DataFrame, column: str, edges: tuple[float, ...], name: str) -> DataFrame:
-    splits = [-math.inf, *edges, math.inf]
-    binned = Bucketizer(splits=splits, inputCol="_edge_input", outputCol=name).transform(
-        df.withColumn("_edge_input", F.col(column).cast("double"))
-    )
-    return binned.drop("_edge_input").withColumn(name, F.col(name).cast("bigint"))
+def in_buckets(df: DataFrame, order: list[Column], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``df`` staged in the given order: a larger bucket number always means later in the order."""
+    rows = df.count()
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / rows_per_bucket))
+    ranged = df.repartitionByRange(parts, *order)
+    return stage(ranged.withColumn(BUCKET, F.spark_partition_id().cast("bigint")), "buckets")
 
 
 def group_counts(df: DataFrame, by: str | None) -> dict:
-    """Rows per group; the groups are the few classes of a label."""
+    """Rows per group; the groups are the few classes of a label, more than ``MAX_GROUPS`` are refused."""
     if by is None:
         return {0: df.count()}
-    return {row[by]: row["count"] for row in df.groupBy(by).count().collect()}
-
-
-def _bucket_counts(tagged: DataFrame) -> dict:
-    rows = tagged.groupBy(GROUP, BUCKET).count().collect()
-    return {(r[GROUP], r[BUCKET]): r["count"] for r in rows}
+    rows = df.groupBy(by).count().limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"{by} has more than {MAX_GROUPS} values; it is no class label")
+    return {row[by]: row["count"] for row in rows}
 
 
 def _grouped(df: DataFrame, by: str | None) -> DataFrame:
@@ -128,28 +62,29 @@ def rank_rows(
     column: str = "rank",
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Unique ascending rank 1..n by (value, key) within each group; rows without a value are left out."""
-    grouped = _grouped(df.where(is_ranked(value)), by)
-    buckets = plan_buckets(grouped, value, key, grouped.count(), rows_per_bucket)
-    tagged = tag_buckets(grouped, buckets, value, key)
-    window = Window.partitionBy(GROUP, BUCKET).orderBy(value, key)
-    ranked = tagged.withColumn(column, F.row_number().over(window).cast("bigint"))
-    if not buckets.single:
-        counts = _bucket_counts(tagged)
-        before, running = [], Counter()
-        for group, bucket in sorted(counts):
-            before.append((group, bucket, running[group]))
-            running[group] += counts[group, bucket]
-        schema = StructType(
-            [
-                StructField(GROUP, tagged.schema[GROUP].dataType),
-                StructField(BUCKET, LongType()),
-                StructField("_before", LongType()),
-            ]
-        )
-        offsets = df.sparkSession.createDataFrame(before, schema)  # at most one row per group and bucket
-        ranked = ranked.join(F.broadcast(offsets), [GROUP, BUCKET]).withColumn(column, F.col(column) + F.col("_before"))
-    return ranked.select(*df.columns, column)
+    """Unique ascending rank 1..n by (value, key) within each group; rows without a value are left out.
+
+    Offsets of buckets stay a table: a group has one row per bucket, and there may be any number of groups.
+    """
+    order = [F.col(GROUP), F.col(value), F.col(key)]
+    tagged = in_buckets(_grouped(df.where(is_ranked(value)), by), order, rows_per_bucket)
+    counts = tagged.groupBy(GROUP, BUCKET).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(GROUP).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(GROUP, BUCKET, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(GROUP, BUCKET).orderBy(value, key)
+    # null is a group like any other, hence the null-safe comparison
+    ranked = tagged.withColumn(column, F.row_number().over(inside).cast("bigint")).alias("r")
+    same = F.col(f"r.{GROUP}").eqNullSafe(F.col(f"o.{GROUP}")) & (F.col(f"r.{BUCKET}") == F.col(f"o.{BUCKET}"))
+    joined = ranked.join(offsets.alias("o"), same)
+    names = [F.col(f"r.`{c}`") for c in df.columns if c != column]
+    out = joined.select(*names, (F.col(f"r.{column}") + F.col("o._before")).alias(column))
+    return out.select(*[c for c in df.columns if c != column], column)
+
+
+def cell_of(value: str) -> Column:
+    """The value's cell; a larger cell always means larger values."""
+    inside = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(value).cast("double")))
+    return F.floor(inside * F.lit(float(CELLS))).cast("int")
 
 
 def keys_at_ranks(
@@ -158,49 +93,42 @@ def keys_at_ranks(
     key: str,
     ranks: dict,
     by: str | None = None,
-    rows: int | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    uniform: bool = False,
 ) -> dict:
     """The (value, key) pairs found at given ranks: ``{group: [rank, ..]}`` -> ``{(group, rank): (value, key)}``.
 
-    Only the buckets that contain a wanted rank are sorted; the rest of the table is just counted. ``uniform`` says
-    that every row has a value and that values spread evenly over [0, 1), which saves the search for bucket edges.
+    One pass counts cells; a second one orders the rows of the few cells that contain a wanted rank.
     """
     wanted = [(group, rank) for group, group_ranks in ranks.items() for rank in sorted(set(group_ranks))]
     if not wanted:
         return {}
-    grouped = _grouped(df if uniform else df.where(is_ranked(value)), by).select(GROUP, value, key)
-    total = grouped.count() if rows is None else rows
-    if uniform:
-        buckets = even_buckets(total, rows_per_bucket)
-    else:
-        buckets = plan_buckets(grouped, value, key, total, rows_per_bucket)
-    tagged = tag_buckets(grouped, buckets, value, key)
-
-    spots = {}
-    if buckets.single:
-        spots = {(group, 0, rank): (group, rank) for group, rank in wanted}
-    else:
-        counts = _bucket_counts(tagged)
-        for group, rank in wanted:
-            before = 0
-            for bucket in sorted(b for g, b in counts if g == group):
-                if rank <= before + counts[group, bucket]:
-                    spots[group, bucket, rank - before] = (group, rank)
-                    break
-                before += counts[group, bucket]
-        tagged = tagged.where(F.col(BUCKET).isin(sorted({bucket for _, bucket, _ in spots})))
-
-    window = Window.partitionBy(GROUP, BUCKET).orderBy(value, key)
-    positions = sorted({position for _, _, position in spots})
-    hits = tagged.withColumn("_position", F.row_number().over(window)).where(F.col("_position").isin(positions))
-    found = {}
-    for row in hits.collect():
-        spot = spots.get((row[GROUP], row[BUCKET], row["_position"]))
-        if spot is not None:
-            found[spot] = (row[value], row[key])
-    return found
+    celled = _grouped(df.where(is_ranked(value)), by).select(GROUP, value, key, cell_of(value).alias("_cell"))
+    if by is not None:
+        celled = celled.where(F.col(GROUP).isin(list(ranks)))
+    # at most CELLS + 1 rows for each of the asked groups
+    counts = {(r[GROUP], r["_cell"]): r["count"] for r in celled.groupBy(GROUP, "_cell").count().collect()}
+    spots: dict[tuple, dict[int, tuple]] = {}
+    for group, rank in wanted:
+        before = 0
+        for cell in sorted(c for g, c in counts if g == group):
+            if rank <= before + counts[group, cell]:
+                spots.setdefault((group, cell), {})[rank - before] = (group, rank)
+                break
+            before += counts[group, cell]
+    if not spots:
+        return {}
+    places = list(spots)
+    place = F.lit(None).cast("int")
+    for i, (group, cell) in enumerate(places):
+        place = F.when((F.col(GROUP) == F.lit(group)) & (F.col("_cell") == cell), i).otherwise(place)
+    narrow = celled.withColumn("_place", place).where("_place is not null").select("_place", value, key)
+    ranked = rank_rows(narrow, value, key, by="_place", column="_position", rows_per_bucket=rows_per_bucket)
+    hit = F.lit(False)
+    for i, spot in enumerate(places):
+        hit = hit | ((F.col("_place") == i) & F.col("_position").isin(sorted(spots[spot])))
+    return {
+        spots[places[row["_place"]]][row["_position"]]: (row[value], row[key]) for row in ranked.where(hit).collect()
+    }
 
 
 def at_or_before(value: str, key: str, cut: tuple) -> Column:

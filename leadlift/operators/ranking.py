@@ -43,7 +43,7 @@ def add_deciles(
     if total == 0:
         return scored.withColumn(DECILE, F.lit(None).cast("int"))
     ranks = last_ranks(total, method)
-    cuts = keys_at_ranks(scored, score, key, {0: ranks}, rows=total, **tuning)
+    cuts = keys_at_ranks(scored, score, key, {0: ranks}, **tuning)
     decile = F.lit(1)
     for rank in ranks:
         decile = decile + F.when(at_or_before(score, key, cuts[0, rank]), 0).otherwise(1)

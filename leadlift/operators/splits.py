@@ -38,16 +38,7 @@ def held_out_condition(
     draw = draw_column(salt)
     drawn = with_draw(df, salt, key).select(label, key, draw)
     sizes = {c: n for c, n in held_out_sizes(counts, share).items() if n > 0}
-    cuts = keys_at_ranks(
-        drawn,
-        draw,
-        key,
-        {c: [n] for c, n in sizes.items()},
-        by=label,
-        rows=sum(counts.values()),
-        uniform=True,
-        **tuning,
-    )
+    cuts = keys_at_ranks(drawn, draw, key, {c: [n] for c, n in sizes.items()}, by=label, **tuning)
     condition = F.lit(False)
     for (group, _), cut in sorted(cuts.items()):
         condition = condition | ((F.col(label) == F.lit(group)) & at_or_before(draw, key, cut))

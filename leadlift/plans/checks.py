@@ -53,7 +53,8 @@ def z(salt: str, key: str = "c_custkey") -> str:
 
 
 def clip(x: str, low: float, high: float) -> str:
-    return f"greatest({num(low)}, least({num(high)}, {x}))"
+    """Plain comparisons: a missing value passes neither and stays missing."""
+    return f"(CASE WHEN ({x}) < {num(low)} THEN {num(low)} WHEN ({x}) > {num(high)} THEN {num(high)} ELSE ({x}) END)"
 
 
 def sigmoid(x: str) -> str:

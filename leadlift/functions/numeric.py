@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,3 +50,18 @@ def threshold_label(prefix: str, threshold: float) -> str:
 def contribution_column(feature: str) -> str:
     """Export-safe name of a feature's contribution column."""
     return "shap__" + re.sub(r"_+", "_", re.sub(r"[^\w]", "_", feature)).strip("_")
+
+
+def contribution_names(features: Sequence[str], taken: Iterable[str] = ()) -> dict[str, str]:
+    """One column name per feature, none of them taken (in any case) or given twice: a clash gets a suffix."""
+    used = {name.lower() for name in taken}
+    names = {}
+    for feature in features:
+        base = name = contribution_column(feature)
+        number = 1
+        while name.lower() in used:
+            name = f"{base}_contribution" if number == 1 else f"{base}_contribution_{number}"
+            number += 1
+        used.add(name.lower())
+        names[feature] = name
+    return names

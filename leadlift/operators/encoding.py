@@ -5,7 +5,15 @@ from __future__ import annotations
 import math
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    ElementwiseProduct,
+    Imputer,
+    OneHotEncoder,
+    SQLTransformer,
+    StandardScaler,
+    StringIndexer,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -24,6 +32,22 @@ def slots_name(column: str) -> str:
     return f"{column}__slots"
 
 
+def filled(numeric: list[str]) -> list[str]:
+    """Names of the numeric columns with missing values filled."""
+    return [f"{c}__filled" for c in numeric]
+
+
+def filling_stages(numeric: list[str]) -> list:
+    """Missing numbers (NULL or NaN) as the median of the training rows. One stage, so one pass for all columns."""
+    if not numeric:
+        return []
+    casts = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}__number`" for c in numeric)
+    return [
+        SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"),
+        Imputer(strategy="median", inputCols=[f"{c}__number" for c in numeric], outputCols=filled(numeric)),
+    ]
+
+
 def index_stages(categorical: list[str], order: str = BY_FREQUENCY) -> list:
     """Category -> number; values not seen in training share one extra number. One stage, so one counting job."""
     if not categorical:

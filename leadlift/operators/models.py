@@ -10,25 +10,32 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from leadlift.operators.columns import normalise_categories, present, restrict_features
-from leadlift.operators.encoding import index_name, index_stages, one_hot_stages, scaling_stages, slots_name
+from leadlift.operators.encoding import (
+    filled,
+    filling_stages,
+    index_name,
+    index_stages,
+    one_hot_stages,
+    scaling_stages,
+    slots_name,
+)
 from leadlift.operators.metrics import roc_auc
-from leadlift.operators.splits import SPLIT, part
+from leadlift.operators.splits import part
 from leadlift.settings import CATEGORICAL, GBT_DEFAULTS, ID_COLUMNS, LABEL, SCORE, SEED, TUNE_SPACE
-from leadlift.sources.staging import enable_checkpoints, stage
+from leadlift.sources.staging import enable_checkpoints, scope, stage
 from leadlift.sources.tables import rows_to_table
 
 VECTOR = "features"
-IS_VALID = "_is_valid"
 
 IMPORTANCE_SCHEMA = StructType([StructField("feature", StringType()), StructField("importance", DoubleType())])
 
@@ -50,7 +57,7 @@ def fit_baseline(df: DataFrame, features: list[str], label: str = LABEL, strengt
     train = normalise_categories(part(df, "train"))
     rows = train.count()
     numeric, cats = by_kind(train, features)
-    stages = scaling_stages(numeric, rows) + one_hot_stages(cats)
+    stages = filling_stages(numeric) + scaling_stages(filled(numeric), rows) + one_hot_stages(cats)
     stages.append(VectorAssembler(inputCols=["scaled", *map(slots_name, cats)], outputCol=VECTOR))
     stages.append(
         LogisticRegression(
@@ -66,11 +73,25 @@ def fit_baseline(df: DataFrame, features: list[str], label: str = LABEL, strengt
 
 
 def fit_encoder(df: DataFrame, features: list[str]) -> PipelineModel:
-    """Numerics, then nominal category numbers learnt from the ``train`` part, in one vector."""
+    """Numerics (missing ones as the median), then nominal category numbers, learnt from ``train``, in one vector."""
     train = normalise_categories(part(df, "train"))
     numeric, cats = by_kind(train, features)
-    assembler = VectorAssembler(inputCols=[*numeric, *map(index_name, cats)], outputCol=VECTOR)
-    return Pipeline(stages=[*index_stages(cats), assembler]).fit(train)
+    assembler = VectorAssembler(inputCols=[*filled(numeric), *map(index_name, cats)], outputCol=VECTOR)
+    return Pipeline(stages=[*filling_stages(numeric), *index_stages(cats), assembler]).fit(train)
+
+
+def category_slots(encoder: PipelineModel) -> int:
+    """The largest number of categories of one feature, unseen values included."""
+    found = [len(labels) for s in encoder.stages if isinstance(s, StringIndexerModel) for labels in s.labelsArray]
+    return max(found, default=0) + 1
+
+
+def tree_params(params: Mapping | None) -> dict:
+    """The defaults with the given values; names that no tree has are refused."""
+    unknown = sorted(set(params or {}) - set(GBT_DEFAULTS))
+    if unknown:
+        raise ValueError(f"unknown tree parameters {unknown}; known are {sorted(GBT_DEFAULTS)}")
+    return {**GBT_DEFAULTS, **(params or {})}
 
 
 def fit_trees(
@@ -84,13 +105,13 @@ def fit_trees(
 ) -> PipelineModel:
     """Gradient-boosted trees on the ``train`` part; categoricals enter as nominal indexes.
 
-    With ``early_stop`` the ``valid`` part decides how many trees are kept: boosting ends, and the best prefix stays,
-    once another tree no longer lowers the validation loss. A fitted ``encoder`` can be shared by several fits.
+    With ``early_stop`` the ``valid`` part decides how many trees are kept: of the rounds up to the first ``patience``
+    rounds in a row that bring no lower validation loss, the prefix with the lowest one. The returned model holds only
+    that prefix. A fitted ``encoder`` can be shared by several fits. Features with more categories than ``maxBins`` get
+    as many bins as they need.
     """
-    chosen = {**GBT_DEFAULTS, **(params or {})}
+    chosen = tree_params(params)
     enable_checkpoints(df.sparkSession)
-    rows = df.where(F.col(SPLIT).isin("train", "valid")) if early_stop else part(df, "train")
-    rows = normalise_categories(rows).withColumn(IS_VALID, F.col(SPLIT) == "valid")
     encoder = fit_encoder(df, features) if encoder is None else encoder
     trees = GBTClassifier(
         featuresCol=VECTOR,
@@ -100,12 +121,46 @@ def fit_trees(
         maxDepth=int(chosen["maxDepth"]),
         stepSize=float(chosen["stepSize"]),
         subsamplingRate=float(chosen["subsamplingRate"]),
-        maxBins=int(chosen["maxBins"]),
-        validationTol=0.0,
+        maxBins=max(int(chosen["maxBins"]), category_slots(encoder)),
+        minInstancesPerNode=int(chosen["minInstancesPerNode"]),
+        minInfoGain=float(chosen["minInfoGain"]),
     )
+
+    def encoded(name: str) -> DataFrame:
+        return encoder.transform(normalise_categories(part(df, name))).select(VECTOR, label)
+
+    model = trees.fit(encoded("train"))
     if early_stop:
-        trees.setValidationIndicatorCol(IS_VALID)
-    return PipelineModel(stages=[*encoder.stages, trees.fit(encoder.transform(rows))])
+        losses = model.evaluateEachIteration(encoded("valid"))
+        model = tree_prefix(model, rounds_to_keep(losses, int(chosen["patience"])))
+    return PipelineModel(stages=[*encoder.stages, model])
+
+
+def rounds_to_keep(losses: list[float], patience: int) -> int:
+    """Rounds up to the lowest loss before ``patience`` rounds in a row brought no lower one; all without losses."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def tree_prefix(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """A model of the first ``rounds`` trees."""
+    if rounds >= model.getNumTrees:
+        return model
+    context = SparkContext._active_spark_context
+    jvm, own = context._jvm, model._java_obj
+    trees = context._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = own.trees()[i], own.treeWeights()[i]
+    shorter = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        own.uid(), trees, weights, own.numFeatures(), own.numClasses()
+    )
+    return model._copyValues(GBTClassificationModel(shorter))
 
 
 def add_probability(model: PipelineModel, df: DataFrame, column: str = SCORE) -> DataFrame:
@@ -201,8 +256,9 @@ def tune_trees(
 
     def run(params: dict) -> tuple[PipelineModel, float | None]:
         model = fit_trees(df, features, params, label, seed, encoder=encoder)
-        scored = stage(add_probability(model, part(df, "valid")).select(label, SCORE), "trial")
-        return model, roc_auc(scored, label).first()["auc_roc"]
+        with scope(spark):
+            scored = stage(add_probability(model, part(df, "valid")).select(label, SCORE), "trial")
+            return model, roc_auc(scored, label).first()["auc_roc"]
 
     with ThreadPoolExecutor(max_workers=max(1, int(parallelism))) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(run), draws))

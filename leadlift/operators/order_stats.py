@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlift.sources.staging import stage
+from leadlift.sources.staging import scope, stage
 
 ROWS_PER_BUCKET = 200_000
 CELLS = 4096  # of [0, 1]; what lies outside shares the first or the last
@@ -122,13 +122,13 @@ def keys_at_ranks(
     for i, (group, cell) in enumerate(places):
         place = F.when((F.col(GROUP) == F.lit(group)) & (F.col("_cell") == cell), i).otherwise(place)
     narrow = celled.withColumn("_place", place).where("_place is not null").select("_place", value, key)
-    ranked = rank_rows(narrow, value, key, by="_place", column="_position", rows_per_bucket=rows_per_bucket)
     hit = F.lit(False)
     for i, spot in enumerate(places):
         hit = hit | ((F.col("_place") == i) & F.col("_position").isin(sorted(spots[spot])))
-    return {
-        spots[places[row["_place"]]][row["_position"]]: (row[value], row[key]) for row in ranked.where(hit).collect()
-    }
+    with scope(df.sparkSession):
+        ranked = rank_rows(narrow, value, key, by="_place", column="_position", rows_per_bucket=rows_per_bucket)
+        rows = ranked.where(hit).collect()  # one row per wanted rank
+    return {spots[places[row["_place"]]][row["_position"]]: (row[value], row[key]) for row in rows}
 
 
 def at_or_before(value: str, key: str, cut: tuple) -> Column:

@@ -7,13 +7,15 @@ j's splits. The leaf's contribution to feature i is then
     value * (meets[i] - share[i]) * sum over subsets S of D without i of
         |S|! (|D| - |S| - 1)! / |D|! * prod(meets[j], j in S) * prod(share[j], j not in S)
 
-The leaves are a small table, at most trees * 2^depth entries whatever the data, sent to the executors once; rows never
-leave their partition. The numpy part is ``functions/shapley.py``; it is shipped with the job by value, so executors
+The leaves are a small table, at most trees * 2^depth entries whatever the data, sent to the executors once and turned
+into look-up tables once per task; rows never leave their partition. The numpy part is ``functions/shapley.py``; it is shipped with the job by value, so executors
 need no installed copy of this package.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
@@ -23,10 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlift.functions import shapley
-from leadlift.functions.numeric import contribution_column
-from leadlift.functions.shapley import ANYTHING, batch_contributions, expected_value
+from leadlift.functions.shapley import ANYTHING, LeafTables, expected_value
 from leadlift.operators.columns import normalise_categories
-from leadlift.operators.explain import EXPECTED, free_name
+from leadlift.operators.explain import EXPECTED, contribution_columns
 from leadlift.operators.models import by_kind
 from leadlift.sources.staging import staging_path
 
@@ -34,6 +35,8 @@ cloudpickle.register_pickle_by_value(shapley)
 
 # Spark's tree margin m gives the probability 1 / (1 + exp(-2m)): the log-odds are twice the margin.
 LOG_ODDS_PER_MARGIN = 2.0
+# 1000 trees of depth 8; each leaf is a few hundred bytes
+MAX_LEAVES = 256_000
 
 
 def narrowed(condition: tuple, split, left: bool, share: float) -> tuple:
@@ -82,13 +85,18 @@ def add_tree_contributions(df: DataFrame, model: PipelineModel, features: list[s
     """
     spark = df.sparkSession
     leaves = read_leaves(spark, model)
-    shared = spark.sparkContext.broadcast(leaves)
+    if len(leaves) > MAX_LEAVES:
+        raise ValueError(f"{len(leaves)} leaves are more than the {MAX_LEAVES} that are sent to executors")
+    shared = spark.sparkContext.broadcast(leaves)  # Spark drops it once nothing refers to it
 
     @F.pandas_udf("array<double>")
-    def contributions(vectors: pd.Series) -> pd.Series:
-        if vectors.empty:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(batch_contributions(shared.value, np.stack(vectors.to_list()))))
+    def contributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tables = LeafTables(shared.value)
+        for vectors in batches:
+            if vectors.empty:
+                yield pd.Series([], dtype=object)
+            else:
+                yield pd.Series(list(tables.contributions(np.stack(vectors.to_list()))))
 
     numeric, cats = by_kind(df, features)
     position = {f: i for i, f in enumerate([*numeric, *cats])}
@@ -97,6 +105,8 @@ def add_tree_contributions(df: DataFrame, model: PipelineModel, features: list[s
         prepared = stage_model.transform(prepared)
     vector = vector_to_array(F.col(model.stages[-1].getFeaturesCol()))
     explained = prepared.withColumn("_contributions", contributions(vector))
-    columns = {free_name(contribution_column(f), df): F.get("_contributions", F.lit(position[f])) for f in features}
+    values = {f: F.get("_contributions", F.lit(position[f])) for f in features}
+    columns = contribution_columns(values, df.columns)
     expected = float(sum(map(expected_value, leaves)))
-    return explained.withColumns({EXPECTED: F.lit(expected), **columns}).select(*df.columns, EXPECTED, *columns)
+    kept = [F.col(f"`{c}`") for c in df.columns if c != EXPECTED]
+    return explained.select(*kept, F.lit(expected).alias(EXPECTED), *columns.values())

@@ -45,7 +45,7 @@ from leadlift.settings import (
     VALID_SHARE,
 )
 from leadlift.sources.model_store import save_model
-from leadlift.sources.staging import stage
+from leadlift.sources.staging import scope, stage
 
 Results = dict[str, Any]
 
@@ -55,9 +55,10 @@ def prepare(
 ) -> DataFrame:
     """Labelled customers with their ``split``, staged by split part: a fit reads only the files of its part."""
     labelled = customers if label in customers.columns else add_label(customers)
-    labelled = stage(with_draw(with_draw(labelled, "split"), "valid"), "labelled")
-    split = add_three_way_split(labelled, test_share, valid_share, label)
-    return stage(split, "prepared", partition_by=[SPLIT])
+    with scope(customers.sparkSession):
+        labelled = stage(with_draw(with_draw(labelled, "split"), "valid"), "labelled")
+        split = add_three_way_split(labelled, test_share, valid_share, label)
+        return stage(split, "prepared", partition_by=[SPLIT], keep=True)
 
 
 def baseline_flow(

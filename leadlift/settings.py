@@ -49,13 +49,25 @@ BASELINE_LABEL = "baseline_valid"
 FINAL_LABEL = "final_test"
 
 # Boosting defaults and the random-search ranges (low inclusive, high exclusive).
-GBT_DEFAULTS = {"maxIter": 80, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "maxBins": 32}
+GBT_DEFAULTS = {
+    "maxIter": 80,
+    "maxDepth": 6,
+    "stepSize": 0.1,
+    "subsamplingRate": 0.8,
+    "maxBins": 32,
+    "minInstancesPerNode": 1,
+    "minInfoGain": 0.0,
+    "patience": 40,
+}
 TUNE_SPACE = {
     "maxIter": (40, 160),
     "maxDepth": (3, 8),
     "stepSize": (0.03, 0.2),
     "subsamplingRate": (0.7, 1.0),
     "maxBins": (16, 64),
+    "minInstancesPerNode": (1, 60),
+    "minInfoGain": (0.0, 0.01),
+    "patience": (20, 60),
 }
 
 # Column order of a metrics report.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -11,6 +11,7 @@ from leadlift.functions.numeric import clip
 from leadlift.sources.tables import read_parquet
 
 INPUTS = ["region", "nation", "customer", "orders", "lineitem", "events"]
+FIRST_MICROS = 62_135_596_800_000_000  # from year 1 to 1970: makes every timestamp a positive number
 _schemas: dict[tuple[str, str], StructType] = {}
 
 
@@ -90,6 +91,7 @@ def own_columns(customer: DataFrame) -> DataFrame:
     number = (F.col("c_custkey") + 100000).cast("bigint")
     area = draws.int_range("c_custkey", "area", 100, 999)
     suffix = draws.int_range("c_custkey", "suffix", 1000, 9999)
+    # fixed values: the formats of email and phone
     return customer.select(
         "c_custkey",
         "c_nationkey",
@@ -140,6 +142,17 @@ def order_history(orders: DataFrame, lineitem: DataFrame, as_of: Column | None =
 
 
 def latest_channel(events: DataFrame) -> DataFrame:
-    """The type of each user's newest event: a partial aggregate, not a per-user window."""
-    newest = F.max_by("event_type", F.struct("ts", "event_id"))
-    return events.groupBy("user_id").agg(newest.alias("channel"))
+    """The type of each user's newest event, the larger event id among events of one time.
+
+    Time and id are packed in one fixed-width number, so the large table shrinks to one row per user and type in a
+    hash aggregate; what is then ordered per user is as many rows as there are types. Events without a time come
+    first. Of equal events the type that comes first in the alphabet counts.
+    """
+    packed = F.expr(
+        f"CAST(coalesce(unix_micros(CAST(ts AS TIMESTAMP)) + {FIRST_MICROS}L, 0L) AS DECIMAL(18, 0))"
+        " * 10000000000000000000BD + CAST(coalesce(event_id, 0L) AS DECIMAL(19, 0))"
+    )
+    per_type = events.groupBy("user_id", "event_type").agg(F.max(packed).alias("_newest"))
+    newest_first = Window.partitionBy("user_id").orderBy(F.desc("_newest"), "event_type")
+    first = per_type.withColumn("_place", F.row_number().over(newest_first)).where("_place = 1")
+    return first.select("user_id", F.col("event_type").alias("channel"))

@@ -1,30 +1,42 @@
 """Staged tables: intermediate results that several passes read.
 
 A staged table is written once as Parquet below the shared folder the cluster names in ``spark.checkpoint.dir``.
-It cuts the lineage, survives lost executors, and later passes read only the columns they need.
+It cuts the lineage, survives lost executors, and later passes read only the columns they need. Tables staged inside a
+``scope`` are deleted at its end, except those that were staged to be kept.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local_folder: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("staged paths of the current scope", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a scratch folder only for a local master with none set."""
+    """The cluster's checkpoint folder; a scratch folder, removed at exit, only for a local master with none set."""
     folder = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    local = context.master.startswith("local")
     if folder:
+        if folder.startswith("file:") and not local:
+            raise ValueError(f"{SETTING} is {folder}; executors on other machines cannot reach it")
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not local:
         raise ValueError(f"set {SETTING} to a folder that every executor can reach")
     if context.applicationId not in _local_folder:
-        _local_folder[context.applicationId] = tempfile.mkdtemp(prefix="leadlift-")
+        made = tempfile.mkdtemp(prefix="leadlift-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _local_folder[context.applicationId] = made
     return _local_folder[context.applicationId]
 
 
@@ -39,19 +51,41 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/leadlift/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None, keep: bool = False) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads it back, columns in the same order.
 
-    With ``partition_by``, later filters on those columns read only the matching folders.
+    With ``partition_by``, later filters on those columns read only the matching folders. Inside a scope the table goes
+    when the scope ends, unless it is to be kept; then it belongs to the application, as do tables outside of scopes.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.partitionBy(*(partition_by or [])).parquet(path)
+    if not keep and _scope.get() is not None:
+        _scope.get().append(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, what was staged inside (by this thread) and not kept; nothing else is touched.
+
+    Only for steps whose results no longer read those tables: values on the driver, or tables staged with ``keep``.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            _delete(spark, path)
+
+
 def drop_staged(spark: SparkSession) -> None:
-    """Delete this application's staged tables; call it when their readers are done."""
-    path = f"{shared_folder(spark)}/leadlift/{spark.sparkContext.applicationId}"
+    """Delete all of this application's staged tables; call it when nothing reads them any more."""
+    _delete(spark, f"{shared_folder(spark)}/leadlift/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

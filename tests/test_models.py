@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadlift.operators import metrics, models, ranking
+from leadlift.operators.explain import contribution_map
 from leadlift.operators.splits import SPLIT, part
+from leadlift.operators.tree_contributions import add_tree_contributions
 from leadlift.plans import flows
 from leadlift.settings import FEATURES, KEY, LABEL, SCORE, TUNE_SPACE
 from leadlift.sources.customers import load_customers
@@ -59,10 +61,50 @@ def test_trees(prepared, trees):
     assert percent.select(F.sum("importance")).first()[0] == pytest.approx(100.0)
 
 
-def test_early_stop_keeps_fewer_trees(prepared):
+def test_early_stop_keeps_the_best_prefix(spark, prepared, tmp_path):
     eager = {"maxIter": 12, "maxDepth": 5, "stepSize": 1.0, "subsamplingRate": 1.0}
     stopped = models.fit_trees(prepared, FEATURES, eager)
-    assert 1 <= stopped.stages[-1].getNumTrees < 12
+    whole = models.fit_trees(prepared, FEATURES, eager, early_stop=False)
+    kept = stopped.stages[-1].getNumTrees
+    assert 1 <= kept < 12 == whole.stages[-1].getNumTrees
+    valid = whole.transform(models.normalise_categories(part(prepared, "valid"))).select("features", LABEL)
+    losses = whole.stages[-1].evaluateEachIteration(valid)
+    assert losses[kept - 1] == min(losses)
+    assert stopped.stages[-1].treeWeights == whole.stages[-1].treeWeights[:kept]
+    loaded = load_model(save_model(stopped, str(tmp_path / "prefix")))
+    assert loaded.stages[-1].getNumTrees == kept
+    assert auc(loaded, part(prepared, "test")) == auc(stopped, part(prepared, "test"))
+
+
+def test_patience():
+    losses = [0.9, 0.8, 0.85, 0.84, 0.7, 0.71, 0.72, 0.73, 0.6]
+    assert models.rounds_to_keep(losses, 1) == 2
+    assert models.rounds_to_keep(losses, 3) == 5
+    assert models.rounds_to_keep(losses, 40) == 9
+
+
+def test_tree_parameters_are_known_and_used(prepared):
+    with pytest.raises(ValueError):
+        models.fit_trees(prepared, FEATURES, {"max_depth": 3})
+    large = models.fit_trees(prepared, FEATURES, {"maxIter": 1, "minInstancesPerNode": 700}, early_stop=False)
+    assert large.stages[-1].totalNumNodes == 1
+
+
+def test_missing_numbers_and_many_categories(spark, prepared):
+    """A table with NULL and NaN numerics and 100 regions can be fitted, scored and explained."""
+    hole = F.pmod(F.xxhash64(KEY), F.lit(4))
+    holed = prepared.withColumn("credit_score", F.when(hole == 1, None).when(hole == 2, float("nan")).otherwise(F.col("credit_score")))
+    holed = holed.withColumn("age", F.when(hole == 3, None).otherwise(F.col("age")))
+    holed = stage(holed.withColumn("region", F.concat(F.lit("r"), F.pmod(F.xxhash64(KEY, F.lit(1)), F.lit(100)).cast("string"))))
+    features = ["credit_score", "age", "utilization_rate", "region"]
+    baseline = models.fit_baseline(holed, features)
+    model = models.fit_trees(holed, features, {"maxIter": 3, "maxDepth": 3, "maxBins": 16})
+    test = part(holed, "test")
+    for fitted in (baseline, model):
+        assert models.add_probability(fitted, test).where("p_apply between 0 and 1").count() == test.count()
+    explained = add_tree_contributions(models.add_probability(model, test), model, features)
+    odds = F.col("exp_expected_value") + sum(F.col(c) for c in contribution_map(explained, features).values())
+    assert explained.select(F.max(F.abs(1 / (1 + F.exp(-odds)) - F.col(SCORE)))).first()[0] < 1e-12
 
 
 def test_unseen_category_is_scored(prepared, baseline, trees):

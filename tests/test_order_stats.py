@@ -8,8 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from leadlift.operators import order_stats, ranking, splits
-from leadlift.operators.order_stats import keys_at_ranks, plan_buckets, rank_rows, tag_buckets
+from leadlift.operators import metrics, ranking, splits
+from leadlift.operators.order_stats import BUCKET, MAX_GROUPS, group_counts, in_buckets, keys_at_ranks, rank_rows
 
 
 def make(spark, pairs):
@@ -37,34 +37,76 @@ def test_rank_rows_matches_sorting(spark, rows_per_bucket):
     assert got == {key: i for i, (key, _) in enumerate(in_order(pairs), 1)}
 
 
-def sizes(df, buckets):
-    tagged = tag_buckets(df, buckets, "p_apply", "customer_id")
-    return [r["count"] for r in tagged.groupBy("_bucket").count().collect()]
+def sizes(df, rows_per_bucket):
+    tagged = in_buckets(df, [F.col("p_apply"), F.col("customer_id")], rows_per_bucket)
+    return [r["count"] for r in tagged.groupBy(BUCKET).count().collect()]
 
 
 def test_repeated_values_do_not_fill_a_bucket(spark):
-    df = make(spark, skewed(3000))
-    buckets = plan_buckets(df, "p_apply", "customer_id", 3000, rows_per_bucket=100)
-    assert buckets.slices
-    assert max(sizes(df, buckets)) <= 300
+    assert max(sizes(make(spark, skewed(3000)), 100)) <= 300
 
 
 def test_repeated_value_with_crowded_keys(spark):
     """The third of the rows that share one score also have neighbouring keys."""
     pairs = [(100 + i, 0.25 if i < 1000 else (i * 7919 % 3000) / 3000) for i in range(3000)]
-    df = make(spark, pairs)
-    buckets = plan_buckets(df, "p_apply", "customer_id", 3000, rows_per_bucket=100)
-    assert max(sizes(df, buckets)) <= 300
-
-
-def test_few_distinct_values_keep_the_bucket_count_bounded(spark):
-    pairs = [(100 + i, (i * 7919 % 40) / 40) for i in range(6000)]
-    df = make(spark, pairs)
-    buckets = plan_buckets(df, "p_apply", "customer_id", 6000, rows_per_bucket=30)
-    counts = sizes(df, buckets)
-    assert len(counts) <= 200 * (2 + order_stats.SLICES_PER_EDGE) and max(counts) <= 90
-    got = {r["customer_id"]: r["rank"] for r in rank_rows(df, "p_apply", "customer_id", rows_per_bucket=30).collect()}
-    assert got == {key: i for i, (key, _) in enumerate(in_order(pairs), 1)}
+    assert max(sizes(make(spark, pairs), 100)) <= 300
+
+
+def test_crowded_keys_in_thousands_of_buckets(spark):
+    """As above, in 4096 buckets; the grid of scores has few distinct values besides."""
+    n = 12288
+    pairs = [(100 + i, 0.25 if i < n // 3 else (i * 7919 % 40) / 40) for i in range(n)]
+    df = make(spark, pairs).coalesce(1)
+    counts = sizes(df, 3)
+    assert len(counts) > 2000 and max(counts) <= 60
+
+
+def test_small_tables_run_in_many_buckets(spark):
+    assert len(sizes(make(spark, skewed(900)), 200_000)) > 4
+
+
+def test_string_keys(spark):
+    pairs = [(f"k{key:05d}", score) for key, score in skewed(300)]
+    df = spark.createDataFrame(pairs, "customer_id string, p_apply double")
+    for rows_per_bucket in (7, 10_000):
+        ranked = rank_rows(df, "p_apply", "customer_id", rows_per_bucket=rows_per_bucket).collect()
+        assert {r["customer_id"]: r["rank"] for r in ranked} == {k: i for i, (k, _) in enumerate(in_order(pairs), 1)}
+        deciles = ranking.add_deciles(df, rows_per_bucket=rows_per_bucket).collect()
+        cuts = ranking.last_ranks(300)
+        expected = {k: 1 + sum(r > c for c in cuts) for r, (k, _) in enumerate(in_order(pairs), 1)}
+        assert {r["customer_id"]: r["decile"] for r in deciles} == expected
+
+
+@pytest.mark.parametrize("rows_per_bucket", [2, 10_000])
+def test_missing_scores_do_not_change_the_curve(spark, rows_per_bucket):
+    rows = [(i % 2, i / 20) for i in range(20)]
+    holes = [(0, None), (1, None), (1, float("nan")), (None, 0.5), (0, float("nan"))]
+    kinds = "applied_cc int, p_apply double"
+    whole, holed = spark.createDataFrame(rows, kinds), spark.createDataFrame(rows + holes, kinds)
+    expected = sorted(metrics.score_curve(whole).collect())
+    assert sorted(metrics.score_curve(holed, rows_per_bucket=rows_per_bucket).collect()) == expected
+    report = metrics.metrics_report(holed, "x").collect()
+    assert sorted(report) == sorted(metrics.metrics_report(whole, "x").collect())
+    assert all(r["n"] == r["tp"] + r["fp"] + r["tn"] + r["fn"] == 20 for r in report)
+    assert metrics.left_out(holed).first()[0] == 5
+    swept = {r["threshold"]: r for r in metrics.grid_sweep(holed).collect()}
+    cell = metrics.confusion_at(holed, [0.3]).first()
+    near = swept[min(swept, key=lambda t: abs(t - 0.3))]
+    assert [cell[c] for c in ("tp", "fp", "tn", "fn")] == [near[c] for c in ("tp", "fp", "tn", "fn")]
+
+
+def test_ranks_per_group_with_a_missing_group(spark):
+    rows = [(key, score, [0, 1, None][key % 3]) for key, score in skewed(120)]
+    df = spark.createDataFrame(rows, "customer_id bigint, p_apply double, y int")
+    got = {r["customer_id"]: r["rank"] for r in rank_rows(df, "p_apply", "customer_id", by="y", rows_per_bucket=9).collect()}
+    for group in (0, 1, None):
+        ordered = in_order([(k, s) for k, s, y in rows if y == group])
+        assert [got[k] for k, _ in ordered] == list(range(1, len(ordered) + 1))
+
+
+def test_many_groups_are_no_class_label(spark):
+    with pytest.raises(ValueError):
+        group_counts(spark.range(MAX_GROUPS + 5), "id")
 
 
 @pytest.mark.parametrize("rows_per_bucket", [11, 10_000])
@@ -165,7 +207,3 @@ def test_bernoulli_split_is_map_only(spark):
     result = splits.add_bernoulli_split(df, 0.25)
     assert 190 <= result.where("split = 'test'").count() <= 310
     assert "Exchange" not in result._jdf.queryExecution().executedPlan().toString()
-
-
-def test_max_buckets_bounds_driver_state():
-    assert order_stats.MAX_BUCKETS <= 10_000

@@ -198,7 +198,7 @@ def test_quality_of_odd_rows(spark):
 
 
 PAGE = (
-    "<!DOCTYPE html><html><head><title>T &amp; t</title><script>var a='</p>';</script><style>p{}</style></head><body>"
+    "<!DOCTYPE html><html><head><title>T &amp; t</title><script>var a='</p>';</script><style>p{{}}</style></head><body>"
     "<nav><ul><li><a href='/'>Home</a></li></ul></nav><!-- x --><div class=\"ad\">Buy</div><div class='{box}'>{same}</div>"
     "<article><h1>Head  {n}</h1><p><b>First\n {n}.<br><p>Second &lt;b&gt; &eacute;&nbsp;x.</p></article>"
     "<div id=comments><p>nice</p></div><form><p>Mail</p></form><footer>&copy; all</footer></body></html>"

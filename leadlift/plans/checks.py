@@ -7,10 +7,10 @@ and a threshold grid joined to every row.
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
-from leadlift.functions.draws import BETA_STEPS, UNIT, beta_quantiles, cumulative_weights, poisson_cdf
-from leadlift.functions.numeric import contribution_column, grid_step, threshold_label
-from leadlift.operators.metrics import LOG_LOSS_EPS
+# the table of beta quantiles is shared; a test integrates the density on its own
+from leadlift.functions.draws import beta_quantiles
 from leadlift.plans.queries import DRAWN_CHANNELS, DRAWN_REGIONS, NUMERIC, SCORECARD_FEATURES
 from leadlift.settings import (
     BASELINE_LABEL,
@@ -18,16 +18,36 @@ from leadlift.settings import (
     EXPLAIN_TOP_N,
     F1_GRID_POINTS,
     FEATURES,
+    FINAL_LABEL,
     LABEL_NOISE,
     METRIC_COLUMNS,
     REPORT_THRESHOLDS,
     SCORECARD,
     TEST_SHARE,
     TOP_K,
+    TUNE_TRIALS,
     VALID_SHARE,
 )
 
 
+# Definitions of the checks, not taken from the code they check
+UNIT = 2.0**52
+BETA_STEPS = 1000
+LOG_LOSS_EPS = 2.220446049250313e-16
+
+
+def contribution_column(feature: str) -> str:
+    return f"shap__{feature}"
+
+
+def threshold_label(prefix: str, threshold: float) -> str:
+    return f"{prefix}@{threshold:g}"
+
+
+def grid_step(points: int) -> float:
+    return 1 / (points - 1)
+
+
 def num(x: float) -> str:
     """A double literal; without an exponent DuckDB would read a decimal."""
     text = repr(float(x))
@@ -307,12 +327,15 @@ def beta_draw(salt: str) -> str:
 
 
 def weighted(salt: str) -> str:
-    cases = " ".join(f"WHEN {u(salt)} < {num(e)} THEN '{v}'" for v, e in cumulative_weights(DRAWN_CHANNELS))
+    edges = accumulate(DRAWN_CHANNELS.values())
+    cases = " ".join(f"WHEN {u(salt)} < {num(e)} THEN '{v}'" for v, e in zip(list(DRAWN_CHANNELS)[:-1], edges))
     return f"CASE {cases} ELSE '{list(DRAWN_CHANNELS)[-1]}' END"
 
 
 def poisson(salt: str, lam: float) -> str:
-    return f"len(list_filter({doubles(poisson_cdf(lam))}, lambda x: x < {u(salt)}))::INTEGER"
+    terms = f"exp(k * ln({num(lam)}) - {num(lam)} - lgamma(k + 1))"
+    cdf = f"SELECT k, sum({terms}) OVER (ORDER BY k) AS c FROM generate_series(0, 200) AS g(k)"
+    return f"len(list_filter((SELECT list(c ORDER BY k) FROM ({cdf}) AS t), lambda x: x < {u(salt)}))::INTEGER"
 
 
 def frequency_number(column: str) -> str:
@@ -489,6 +512,39 @@ def queries_sql() -> dict[str, str]:
             GROUP BY decile""",
         "gbt_contributions_add_up": f"{test_table} SELECT customer_id, 1 AS adds_up FROM test",
         "model_reload_scores": f"{test_table} SELECT customer_id, applied_cc, 1 AS same_score FROM test",
+        "lr_gradient": "SELECT * FROM (VALUES "
+        + ", ".join(f"('{f}', 1)" for f in [*NUMERIC, "(intercept)"])
+        + ") AS v(feature, vanishes)",
+        "gbt_importance_totals": "SELECT * FROM (VALUES "
+        + ", ".join(f"('{f}', 1, 1)" for f in FEATURES)
+        + ") AS v(feature, not_negative, all_add_up)",
+        "gbt_scored_rows": f"{test_table} SELECT customer_id, applied_cc, 1 AS auc_agrees, 1 AS is_share FROM test",
+        "gbt_lead_rows": f"""{test_table}
+            SELECT decile, count(*) AS leads, 1 AS ranks_agree FROM (
+              SELECT CASE WHEN n = 1 THEN 1 ELSE ((n - 1) * 10 + total - 2) // (total - 1) END::INTEGER AS decile
+              FROM (SELECT row_number() OVER (ORDER BY customer_id) AS n, count(*) OVER () AS total FROM test) AS numbered
+            ) AS placed WHERE decile >= 9 GROUP BY decile""",
+        "gbt_trial_choice": f"SELECT {TUNE_TRIALS}::BIGINT AS trials, 1 AS chosen_is_best, 1 AS chosen_is_first, "
+        "1 AS in_order",
+        "gbt_mean_abs_totals": f"SELECT {TOP_K}::BIGINT AS features, 1 AS not_negative, 1 AS in_order, 1 AS agrees",
+        "flow_report_totals": f"""{THREE_WAY}
+            SELECT label, count(*) AS n, {r6('avg(applied_cc)', 'pos_rate')}, 1 AS cells_add_up
+            FROM three_way JOIN (
+              SELECT label, 'valid' AS part FROM {report_thresholds(BASELINE_LABEL)} AS t
+              UNION ALL SELECT '{BASELINE_LABEL}_best_f1', 'valid'
+              UNION ALL SELECT label, 'test' FROM {report_thresholds(FINAL_LABEL)} AS t
+              UNION ALL SELECT '{FINAL_LABEL}_best_f1', 'test'
+            ) AS labels ON split = part GROUP BY label""",
+        "clipped_with_missing": f"""
+            WITH seen AS (SELECT user_id, max(value) AS top, avg(value) AS mean FROM events GROUP BY user_id)
+            SELECT c_custkey, {r6(clip('top', 40, 60), 'top_value')}, {r6(clip('mean', 45, 55), 'mean_value')}
+            FROM customer LEFT JOIN seen ON c_custkey = user_id""",
+        "metrics_with_missing_scores": f"""{CUSTOMERS},
+            seen AS (SELECT user_id, avg(value) AS mean FROM events GROUP BY user_id),
+            mixed AS (
+              SELECT applied_cc, least(greatest(mean / 100e0, 0e0), 1e0) AS p_apply
+              FROM scored JOIN seen ON customer_id - 100000 = user_id WHERE mean IS NOT NULL
+            ){full_report("mixed", "mixed")[0]} {full_report("mixed", "mixed")[1]}""",
         "one_hot": f"{SPLIT} SELECT customer_id, {', '.join(map(slots, CATEGORICAL))} FROM splitted",
     }
     return sql

@@ -142,6 +142,7 @@ def full_flow(
         "scored_test_with_deciles": with_deciles,
         "decile_table": ranking.decile_table(with_deciles),
         "leads": ranking.leads(with_deciles, min_decile),
+        "explained": explained,
         "leads_explained": lead_rows,
         "leads_export": lead_export(lead_rows, selected),
         "mean_abs_contributions": mean_abs_contributions(explained, selected),

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadlift.functions import draws
-from leadlift.functions.numeric import contribution_column, fixed
+from leadlift.functions.numeric import clip, contribution_column, fixed
 from leadlift.operators import encoding, explain, exports, metrics, models, ranking, splits
 from leadlift.operators.columns import (
     attach_features,
@@ -24,7 +24,6 @@ from leadlift.operators.columns import (
 )
 from leadlift.operators.labels import add_label, add_score, add_scorecard_probability
 from leadlift.operators.order_stats import rank_rows
-from leadlift.operators.tree_contributions import add_tree_contributions
 from leadlift.plans import flows
 from leadlift.settings import (
     CATEGORICAL,
@@ -40,7 +39,7 @@ from leadlift.settings import (
 )
 from leadlift.sources.customers import latest_channel, load_customers, order_history, read_input
 from leadlift.sources.model_store import load_model, save_model
-from leadlift.sources.staging import stage, staging_path
+from leadlift.sources.staging import dropped, stage, staging_path
 from leadlift.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,18 +48,6 @@ QUERIES: dict[str, Query] = {}
 SCORECARD_FEATURES = list(SCORECARD)
 NUMERIC = [f for f in FEATURES if f not in CATEGORICAL]
 
-# Small settings, so that a model query takes seconds; the flows' own defaults are in settings.py.
-QUICK_TREES = {"maxIter": 8, "maxDepth": 3}
-QUICK_SPACE = {
-    "maxIter": (4, 9),
-    "maxDepth": (2, 4),
-    "stepSize": (0.05, 0.2),
-    "subsamplingRate": (0.7, 1.0),
-    "maxBins": (16, 64),
-}
-QUICK_TRIALS = 3
-
-
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
     return run
@@ -300,6 +287,37 @@ def metrics_csv_round_trip(spark, folder):
     return rounded(read_csv(spark, path, report.schema))
 
 
+def event_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with their largest and mean event value: NULL for the nine tenths without an event."""
+    seen = read_input(spark, folder, "events").groupBy("user_id").agg(
+        F.max("value").alias("top_value"), F.avg("value").alias("mean_value")
+    )
+    customer = read_input(spark, folder, "customer")
+    return customer.join(seen, customer.c_custkey == seen.user_id, "left").select("c_custkey", "top_value", "mean_value")
+
+
+@query
+def clipped_with_missing(spark, folder):
+    """Missing values stay missing within bounds."""
+    values = event_values(spark, folder)
+    return rounded(
+        values.select(
+            "c_custkey",
+            clip(F.col("top_value"), 40.0, 60.0).alias("top_value"),
+            clip(F.col("mean_value"), 45.0, 55.0).alias("mean_value"),
+        )
+    )
+
+
+@query
+def metrics_with_missing_scores(spark, folder):
+    """A report over scores that most rows lack: it counts the rows that have one."""
+    values = event_values(spark, folder).withColumn(KEY, F.col("c_custkey") + 100000)
+    labelled = add_label(load_customers(spark, folder)).select(KEY, LABEL)
+    scored = labelled.join(values, KEY, "left").select(LABEL, clip(F.col("mean_value") / 100, 0.0, 1.0).alias(SCORE))
+    return rounded(metrics.metrics_report(stage(scored, "holed"), "mixed"))
+
+
 # ---- ranks, deciles, leads ----------------------------------------------------------------------------------------
 
 
@@ -488,9 +506,15 @@ def prepared(spark: SparkSession, folder: str) -> DataFrame:
     return flows.prepare(load_customers(spark, folder))
 
 
-def quick_trees(spark: SparkSession, folder: str):
-    data = prepared(spark, folder)
-    return data, models.fit_trees(data, FEATURES, QUICK_TREES)
+_flows: dict[tuple[str, str, int], flows.Results] = {}
+
+
+def full_results(spark: SparkSession, folder: str) -> flows.Results:
+    """The full flow with its own defaults, run once per application and folder: its queries show different results."""
+    key = (spark.sparkContext.applicationId, folder, dropped(spark))
+    if key not in _flows:
+        _flows[key] = flows.full_flow(load_customers(spark, folder), parallelism=4)
+    return _flows[key]
 
 
 @query
@@ -500,19 +524,17 @@ def lr_baseline_metrics(spark, folder):
 
 @query
 def gbt_scored_test(spark, folder):
-    data, model = quick_trees(spark, folder)
-    return models.with_auc(models.score_part(model, data, FEATURES))
+    return full_results(spark, folder)["scored_test"]
 
 
 @query
 def gbt_importance(spark, folder):
-    data, model = quick_trees(spark, folder)
-    return models.feature_importance(model, data, FEATURES)
+    return full_results(spark, folder)["feature_importance"]
 
 
 @query
 def gbt_tuning_trials(spark, folder):
-    return models.tune_trees(prepared(spark, folder), FEATURES, QUICK_TRIALS, space=QUICK_SPACE).trials
+    return full_results(spark, folder)["tuning_trials"]
 
 
 @query
@@ -522,17 +544,122 @@ def gbt_best_trial(spark, folder):
 
 @query
 def gbt_lead_contributions(spark, folder):
-    data, model = quick_trees(spark, folder)
-    top = ranking.leads(ranking.add_deciles(models.score_part(model, data, FEATURES)))
-    explained = add_tree_contributions(top, model, FEATURES)
-    return exports.lead_export(explain.top_contributions(explained, FEATURES), FEATURES)
+    return full_results(spark, folder)["leads_export"]
 
 
 @query
 def gbt_mean_abs_contribution(spark, folder):
-    data, model = quick_trees(spark, folder)
-    explained = add_tree_contributions(models.score_part(model, data, FEATURES), model, FEATURES)
-    return explain.mean_abs_contributions(explained, FEATURES)
+    return full_results(spark, folder)["mean_abs_contributions"]
+
+
+def flag(condition) -> Column:
+    return F.coalesce(condition, F.lit(False)).cast("int")
+
+
+@query
+def lr_gradient(spark, folder):
+    """Whether the penalised loss of the baseline has slope zero in the weight of every numeric feature."""
+    data = prepared(spark, folder)
+    model = models.fit_baseline(data, FEATURES)
+    train = stage(models.add_probability(model, splits.part(data, "train")), "train")
+    rows = train.count()
+    weights = model.stages[-1].coefficients.toArray()
+    means = train.agg(*[F.avg(c).alias(c) for c in NUMERIC], *[F.stddev_pop(c).alias(f"{c}__std") for c in NUMERIC])
+    fixed_means = means.first()
+    residual = F.col(SCORE) - F.col(LABEL)
+    slopes = train.agg(
+        *[F.sum(residual * (F.col(c) - fixed_means[c]) / fixed_means[f"{c}__std"]).alias(c) for c in NUMERIC],
+        F.sum(residual).alias("(intercept)"),
+    )
+    penalty = dict(zip(NUMERIC, map(float, weights)))
+    entries = [
+        F.struct(F.lit(c).alias("feature"), flag(F.abs(F.col(f"`{c}`") + penalty.get(c, 0.0)) / rows < 1e-3).alias("vanishes"))
+        for c in [*NUMERIC, "(intercept)"]
+    ]
+    return slopes.select(F.inline(F.array(*entries)))
+
+
+@query
+def gbt_importance_totals(spark, folder):
+    """Whether importances cover exactly the features, none negative, and add up to one."""
+    table = gbt_importance(spark, folder)
+    total = F.sum("importance").over(Window.partitionBy(F.lit(1)))
+    return table.select(
+        "feature", flag(F.col("importance") >= 0).alias("not_negative"), flag(F.abs(total - 1) < 1e-9).alias("all_add_up")
+    )
+
+
+@query
+def gbt_scored_rows(spark, folder):
+    """Keys and labels of the scored test rows, and whether their AUC is that of the rank formula."""
+    scored = gbt_scored_test(spark, folder).select(KEY, LABEL, SCORE, "auc_on_test")
+    per_score = scored.groupBy(SCORE).agg(
+        F.sum(LABEL).alias("pos"), F.sum(1 - F.col(LABEL)).alias("neg"), F.max("auc_on_test").alias("known")
+    )
+    below = Window.partitionBy(F.lit(1)).orderBy(SCORE).rowsBetween(Window.unboundedPreceding, -1)
+    pairs = per_score.withColumn("less", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    won = F.sum(F.col("pos") * (F.col("less") + F.col("neg") / 2)) / (F.sum("pos") * F.sum("neg"))
+    agrees = pairs.agg(flag(F.abs(won - F.max("known")) < 1e-9).alias("agrees")).scalar()
+    return scored.select(KEY, LABEL, agrees.alias("auc_agrees"), flag(F.col(SCORE).between(0, 1)).alias("is_share"))
+
+
+@query
+def gbt_lead_rows(spark, folder):
+    """Leads per decile, and whether each names its features from the largest contribution to the smallest."""
+    explained = full_results(spark, folder)["leads_explained"]
+    sizes = [F.abs(F.col(f"exp_{i}_contribution")) for i in range(1, EXPLAIN_TOP_N + 1)]
+    falling = reduce(lambda a, b: a & b, (x >= y for x, y in zip(sizes, sizes[1:])))
+    return explained.groupBy(ranking.DECILE).agg(
+        F.count(F.lit(1)).alias("leads"), F.min(flag(falling)).alias("ranks_agree")
+    )
+
+
+@query
+def gbt_trial_choice(spark, folder):
+    """Whether the chosen trial has the highest AUC and, of those that have it, the lowest number."""
+    results = full_results(spark, folder)
+    trials, best = results["tuning_trials"], models.best_trial(results["tuning_trials"])
+    chosen = best.select(F.struct("trial", "valid_auc")).scalar()
+    numbered = trials.select("trial", "valid_auc", chosen.alias("chosen"))
+    top = F.max("valid_auc")
+    first = F.min(F.when(F.col("valid_auc") == F.col("chosen.valid_auc"), F.col("trial")))
+    known = F.lit(float(results["best_valid_auc"]))
+    return numbered.agg(
+        F.count(F.lit(1)).alias("trials"),
+        flag((top == F.max("chosen.valid_auc")) & (top == known)).alias("chosen_is_best"),
+        flag(first == F.max("chosen.trial")).alias("chosen_is_first"),
+        flag(F.count_distinct("trial") == F.max("trial")).alias("in_order"),
+    )
+
+
+@query
+def gbt_mean_abs_totals(spark, folder):
+    """Whether mean contributions are those of the explained rows, largest first."""
+    results = full_results(spark, folder)
+    table, explained = results["mean_abs_contributions"], results["explained"]
+    names = explain.contribution_map(explained, results["selected_features"])
+    total = explained.agg(F.avg(reduce(lambda a, b: a + b, [F.abs(F.col(c)) for c in names.values()]))).scalar()
+    listed = table.agg(
+        F.count(F.lit(1)).alias("features"),
+        F.min("mean_abs_shap").alias("least"),
+        F.max("mean_abs_shap").alias("most"),
+        F.sum("mean_abs_shap").alias("all"),
+        F.first("mean_abs_shap").alias("leading"),
+    )
+    return listed.select(
+        "features",
+        flag(F.col("least") >= 0).alias("not_negative"),
+        flag(F.col("most") >= F.col("leading")).alias("in_order"),
+        flag(F.abs(F.col("all") - total) < 1e-9).alias("agrees"),
+    )
+
+
+@query
+def flow_report_totals(spark, folder):
+    """What the flow's reports must count whatever the fit: rows and positives, and that the cells add up."""
+    report = full_results(spark, folder)["performance_metrics"]
+    cells = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
+    return rounded(report.select("label", "n", "pos_rate", flag(cells == F.col("n")).alias("cells_add_up")))
 
 
 @query
@@ -547,8 +674,7 @@ def lr_report_totals(spark, folder):
 @query
 def gbt_decile_sizes(spark, folder):
     """Customers per decile of the fitted scores, and the responders of all deciles together."""
-    data, model = quick_trees(spark, folder)
-    table = ranking.decile_table(ranking.add_deciles(models.score_part(model, data, [])))
+    table = full_results(spark, folder)["decile_table"]
     everyone = Window.partitionBy(F.lit(1))
     return table.select(ranking.DECILE, "customers", F.sum("responders").over(everyone).alias("all_responders"))
 
@@ -556,10 +682,11 @@ def gbt_decile_sizes(spark, folder):
 @query
 def gbt_contributions_add_up(spark, folder):
     """Whether expected value plus contributions equal the log-odds of every test row's score."""
-    data, model = quick_trees(spark, folder)
-    explained = add_tree_contributions(models.score_part(model, data, FEATURES), model, FEATURES)
-    odds = reduce(lambda a, f: a + F.col(contribution_column(f)), FEATURES, F.col(explain.EXPECTED))
-    gap = F.abs(odds - F.ln(F.col(SCORE) / (1 - F.col(SCORE))))
+    results = full_results(spark, folder)
+    explained = results["explained"]
+    names = explain.contribution_map(explained, results["selected_features"])
+    odds = reduce(lambda a, c: a + F.col(c), names.values(), F.col(explain.EXPECTED))
+    gap = F.abs(1 / (1 + F.exp(-odds)) - F.col(SCORE))
     return explained.select(KEY, (gap < 1e-9).cast("int").alias("adds_up"))
 
 
@@ -576,7 +703,4 @@ def model_reload_scores(spark, folder):
 
 @query
 def full_flow_performance(spark, folder):
-    results = flows.full_flow(
-        load_customers(spark, folder), tree_params=QUICK_TREES, trials=2, space=QUICK_SPACE, parallelism=2
-    )
-    return results["performance_metrics"]
+    return full_results(spark, folder)["performance_metrics"]

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local_folder: dict[str, str] = {}
+_dropped: dict[str, int] = {}
 _scope: ContextVar[list[str] | None] = ContextVar("staged paths of the current scope", default=None)
 
 
@@ -83,7 +84,14 @@ def scope(spark: SparkSession) -> Iterator[None]:
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete all of this application's staged tables; call it when nothing reads them any more."""
-    _delete(spark, f"{shared_folder(spark)}/leadlift/{spark.sparkContext.applicationId}")
+    application = spark.sparkContext.applicationId
+    _dropped[application] = dropped(spark) + 1
+    _delete(spark, f"{shared_folder(spark)}/leadlift/{application}")
+
+
+def dropped(spark: SparkSession) -> int:
+    """How often this application's staged tables were dropped; what holds on to them goes by it."""
+    return _dropped.get(spark.sparkContext.applicationId, 0)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

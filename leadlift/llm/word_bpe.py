@@ -57,10 +57,10 @@ def runs_of(text: str) -> list[str]:
 
 
 def plain_words(run: str) -> list[str] | None:
-    """The words of a lower-cased run; None if the library has to find them."""
+    """The words of a run, lower-cased; None if the library has to find them."""
     if SPECIAL_START in run or is_wide(run):
         return None
-    return _WORDS.findall(run)
+    return _WORDS.findall(run.lower())
 
 
 class IdMemo:

@@ -46,3 +46,42 @@ def test_lift(scored):
     assert (table[10].customers, table[10].responders) == (150, 134)
     assert (table[10].avg_score, table[10].lift_vs_avg) == pytest.approx((0.919648, 1.830601), abs=1e-6)
     assert (table[1].customers, table[1].responders) == (150, 17)
+
+
+def test_scope_deletes_what_was_staged_inside(spark):
+    import os
+
+    from leadlift.sources.staging import scope, stage
+
+    def path_of(df):
+        return df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+
+    outside = stage(spark.range(3))
+    with scope(spark):
+        inside, kept = stage(spark.range(4)), stage(spark.range(5), keep=True)
+        with scope(spark):
+            nested = path_of(stage(spark.range(6)))
+        assert not os.path.exists(nested)
+        gone = path_of(inside)
+    assert not os.path.exists(gone)
+    assert outside.count() == 3 and kept.count() == 5
+
+
+def test_folders_of_one_machine_are_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from leadlift.sources.staging import shared_folder
+
+    def session(master, folder):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda *_: folder),
+            sparkContext=SimpleNamespace(master=master, applicationId="app"),
+        )
+
+    assert shared_folder(session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    assert shared_folder(session("local[2]", "file:///x")) == "file:///x"
+    for folder in ("file:///x", None):
+        with pytest.raises(ValueError):
+            shared_folder(session("yarn", folder))

@@ -164,3 +164,47 @@ def test_newest_event_wins(spark):
     rows = [(1, "2020-01-01", 7, "view"), (2, "2020-01-02", 7, "click"), (3, "2020-01-02", 7, "buy"), (4, "2019-01-01", 8, "view")]
     events = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string").withColumn("ts", F.col("ts").cast("timestamp"))
     assert {r[0]: r[1] for r in latest_channel(events).collect()} == {7: "buy", 8: "view"}
+
+
+def test_newest_event_needs_no_sort_aggregate(spark, small):
+    from leadlift.sources.customers import load_customers
+
+    plan = load_customers(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_newest_event_of_odd_rows(spark):
+    from leadlift.sources.customers import latest_channel
+
+    rows = [
+        (1, "2001-01-01 00:00:00", 5, "a"),
+        (1, "2001-01-01 00:00:00", 6, "b"),
+        (1, "1950-01-01 00:00:00", 9, "c"),
+        (2, "1960-01-01 00:00:00", 1, "old"),
+        (2, "1960-01-01 00:00:01", 0, "new"),
+        (3, None, 7, "undated"),
+        (4, None, 7, "x"),
+        (4, "1900-01-01 00:00:00", 1, "dated"),
+    ]
+    events = spark.createDataFrame(rows, "user_id bigint, ts string, event_id bigint, event_type string")
+    got = latest_channel(events.withColumn("ts", F.col("ts").cast("timestamp"))).collect()
+    assert {r["user_id"]: r["channel"] for r in got} == {1: "b", 2: "new", 3: "undated", 4: "dated"}
+
+
+def test_beta_table_is_the_integral_of_the_density():
+    import numpy as np
+
+    from leadlift.functions.draws import BETA_STEPS, beta_quantiles
+
+    a, b = 2.2, 4.5
+    nodes, weights = np.polynomial.legendre.leggauss(80)
+
+    def integral(upper):
+        # x = upper * t^2 makes the density smooth at zero
+        t = (nodes + 1) / 2
+        x = upper * t**2
+        return float((weights / 2 * 2 * upper * t * x ** (a - 1) * (1 - x) ** (b - 1)).sum())
+
+    whole, table = integral(1.0), beta_quantiles(a, b)
+    for step in range(1, BETA_STEPS, 37):
+        assert abs(integral(table[step]) / whole - step / BETA_STEPS) < 1e-6

@@ -135,7 +135,7 @@ def test_concat_skips_missing_reports(spark):
     second = spark.createDataFrame([("b", 0.5)], "label string, auc double")
     both = metrics.concat_reports(first, None, second)
     assert sorted(both.collect()) == [("a", 1, None), ("b", None, 0.5)]
-    assert metrics.concat_reports(None) is None
+    assert metrics.concat_reports(None).count() == 0
 
 
 def test_required_columns(spark):
@@ -151,3 +151,22 @@ def test_one_repeated_score(spark):
     assert row["auc_roc"] == pytest.approx(brute_auc([(int(y), s) for y, s in pairs]))
     curve = metrics.score_curve(df, rows_per_bucket=40)
     assert curve.where("score = 0.5").count() == 1
+
+
+def test_no_thresholds_and_no_reports_give_empty_tables(spark):
+    scored = make(spark, [(0, 0.2), (1, 0.9)])
+    assert metrics.metrics_table(scored, []).count() == 0
+    empty = metrics.concat_reports(None, spark=spark)
+    assert empty.count() == 0 and empty.columns == metrics.metrics_report(scored, "x").columns
+    assert empty.dtypes == metrics.metrics_report(scored, "x").dtypes
+
+
+def test_clip_keeps_missing_values(spark):
+    from leadlift.functions.numeric import clip, fixed
+
+    rows = [(None,), (float("nan"),), (-5.0,), (3.0,), (900.0,)]
+    df = spark.createDataFrame(rows, "x double")
+    got = [r[0] for r in df.select(clip(df.x, 1.0, 600.0)).collect()]
+    assert got[0] is None and math.isnan(got[1]) and got[2:] == [1.0, 3.0, 600.0]
+    shown = [r[0] for r in df.select(fixed(df.x)).collect()]
+    assert shown[0] is None and math.isnan(shown[1]) and shown[2:] == [-5.0, 3.0, 900.0]

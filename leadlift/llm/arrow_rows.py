@@ -29,7 +29,7 @@ class Memo:
     Keys beyond ``long_key`` characters are kept for one batch only, so that memory stays bounded.
     """
 
-    def __init__(self, compute, entries: int = 200_000, long_key: int = 64):
+    def __init__(self, compute, entries: int = 150_000, long_key: int = 64):
         self.compute, self.entries, self.long_key = compute, entries, long_key
         self.now, self.old, self.long = {}, {}, []
 

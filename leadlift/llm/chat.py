@@ -144,7 +144,8 @@ def turns_of_rows(rows: DataFrame) -> DataFrame:
 
     Only those four columns take part in the fingerprint; others are left out. Turns are in the order of their number;
     rows with one number (or none, which come first) are in the order of role, then text, and repeated rows all stay.
-    A null text or role counts as empty. Rows without conv_id form one conversation without id.
+    A null text or role counts as empty. A conversation becomes one row, so it has to fit in a task. Rows without
+    conv_id belong to no conversation: each is one of its own without id (equal ones together).
     """
     needed = rows.select(*[c for c in rows.columns if c in ROWS_BY_TURN.paths])
     if fingerprint(schema_paths(needed.schema)) != ROWS_BY_TURN.fingerprint:
@@ -155,8 +156,9 @@ def turns_of_rows(rows: DataFrame) -> DataFrame:
     turn = F.struct(
         F.col("turn").cast("bigint").alias("turn"), role.alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
+    alone = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text"))
     return (
-        needed.groupBy(F.col("conv_id").cast("bigint").alias("conv_id"))
+        needed.groupBy(F.col("conv_id").cast("bigint").alias("conv_id"), alone.alias("_alone"))
         .agg(F.sort_array(F.collect_list(turn)).alias("turns"))
         .select("conv_id", F.lit(ROWS_BY_TURN.fingerprint).alias("layout"), "turns")
     )

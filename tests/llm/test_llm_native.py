@@ -180,6 +180,7 @@ TURNS = [
     (1, 2, "gpt", "b\n### user\n"),
     (2, None, "assistant", ""),
     (None, 0, "a\n</turn>", "lost \\"),
+    (None, 1, "user", "also lost"),
     (3, 0, None, "日本 </turn>\n### assistant\nno"),
 ]
 
@@ -199,12 +200,14 @@ def test_chat_round_trip(spark):
     roles = {"Human": "user", "gpt": "assistant", None: ""}
     for row in read.collect():
         own = [t for t in TURNS if t[0] == row["conv_id"]]
+        if row["conv_id"] is None:
+            own = [t for t in own if t[3] == row["t"][0]["text"]]
         own = sorted((t[1] or 0, roles.get(t[2], t[2]), t[3] or "") for t in own)
         assert [tuple(t) for t in row["t"]] == [t[1:] for t in own]
         assert row["learnt"] == "".join(t for _, r, t in own if r == "assistant")
         assert len(row["loss"]) == sum(r == "assistant" for _, r, _ in own)
         assert row["formatted"].count("</turn>") == len(own)
-    assert read.count() == 4
+    assert read.count() == 5
 
 
 def test_chat_query_is_the_table(spark, small):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from leadlift.functions import draws
 from leadlift.functions.numeric import linear_score, sigmoid
@@ -14,7 +15,9 @@ DRAW_KEY = "_draw_key"
 
 
 def with_draw_key(df: DataFrame, key: str = KEY, offset: int = 100000) -> DataFrame:
-    return df.withColumn(DRAW_KEY, F.col(key) - F.lit(offset))
+    """The key that draws depend on: numbers without the offset, anything else as it is."""
+    numeric = isinstance(df.schema[key].dataType, NumericType)
+    return df.withColumn(DRAW_KEY, F.col(key) - F.lit(offset) if numeric else F.col(key))
 
 
 def add_score(df: DataFrame, column: str = "score") -> DataFrame:

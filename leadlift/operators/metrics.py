@@ -79,11 +79,14 @@ def score_curve(
 
 
 def curve_scores(curve: DataFrame) -> DataFrame:
-    """ROC AUC (ties count one half) and step-wise average precision, one row; NULL with a single class."""
+    """ROC AUC (ties count one half) and step-wise average precision, one row.
+
+    With a single class the AUC is NULL; without positives the precision is 0. Both are NULL without rows.
+    """
     pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "tp", "fp"))
     return curve.agg(
         ratio(F.sum(neg * (tp - pos / 2)), F.sum(pos) * F.sum(neg)).alias("auc_roc"),
-        ratio(F.sum(pos * tp / (tp + fp)), F.sum(pos)).alias("auc_pr"),
+        ratio(F.sum(pos * tp / (tp + fp)), F.sum(pos), empty=0.0).alias("auc_pr"),
     )
 
 

@@ -186,7 +186,7 @@ def curve(source: str, name: str) -> str:
 ),
 {name}_areas AS (
   SELECT sum(neg * (tp - pos / 2e0)) / nullif(sum(pos) * sum(neg), 0)::DOUBLE AS auc_roc,
-         sum(pos * (tp / (tp + fp)::DOUBLE)) / nullif(sum(pos), 0)::DOUBLE AS auc_pr
+         CASE WHEN sum(pos) = 0 THEN 0e0 ELSE sum(pos * (tp / (tp + fp)::DOUBLE)) / sum(pos)::DOUBLE END AS auc_pr
   FROM {name}
 )"""
 

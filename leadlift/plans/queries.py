@@ -95,8 +95,8 @@ def latest_channel_per_user(spark, folder):
     return latest_channel(read_input(spark, folder, "events"))
 
 
-DRAWN_REGIONS = ["north", "south", "east", "west"]
-DRAWN_CHANNELS = {"branch": 0.18, "app": 0.44, "web": 0.30, "call_center": 0.08}
+DRAWN_REGIONS = ["coast", "hills", "plains", "woods"]
+DRAWN_CHANNELS = {"counter": 0.15, "phone_app": 0.45, "site": 0.25, "hotline": 0.15}
 
 
 @query

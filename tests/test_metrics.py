@@ -38,7 +38,7 @@ def brute_auc(pairs):
 def brute_ap(pairs):
     total = sum(y for y, _ in pairs)
     if not total:
-        return None
+        return 0.0
     ap = before = 0.0
     for threshold in sorted({s for _, s in pairs}, reverse=True):
         tp = sum(y for y, s in pairs if s >= threshold)
@@ -95,7 +95,7 @@ def test_single_class(spark, y):
     df = make(spark, [(y, 0.2), (y, 0.9)])
     row = metrics.metrics_table(df, [0.5], "x").first()
     assert row["auc_roc"] is None
-    assert row["auc_pr"] == (1.0 if y else None)
+    assert row["auc_pr"] == (1.0 if y else 0.0)
     if y == 0:
         assert (row["precision"], row["recall"], row["f1"]) == (0.0, 0.0, 0.0)
 

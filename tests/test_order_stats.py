@@ -206,6 +206,17 @@ def test_split_does_not_depend_on_layout(spark):
     assert sorted(again.collect()) == sorted(one.collect())
 
 
+def test_split_of_string_keys(spark):
+    rows = [(f"c{i:04d}", i % 3 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "customer_id string, hit boolean").select(
+        "customer_id", F.col("hit").cast("int").alias("applied_cc")
+    )
+    split = splits.add_three_way_split(df)
+    assert {r["split"]: r["count"] for r in split.groupBy("split").count().collect()} == {
+        "test": 100, "valid": 60, "train": 240,
+    }
+
+
 def test_bernoulli_split_is_map_only(spark):
     df = spark.range(1000).select((F.col("id") + 100000).alias("customer_id"))
     result = splits.add_bernoulli_split(df, 0.25)

@@ -513,7 +513,7 @@ def full_results(spark: SparkSession, folder: str) -> flows.Results:
     """The full flow with its own defaults, run once per application and folder: its queries show different results."""
     key = (spark.sparkContext.applicationId, folder, dropped(spark))
     if key not in _flows:
-        _flows[key] = flows.full_flow(load_customers(spark, folder), parallelism=4)
+        _flows[key] = flows.full_flow(load_customers(spark, folder), parallelism=8)
     return _flows[key]
 
 

@@ -48,7 +48,14 @@ KINDS = (
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", 0.6, "ip|host|server|address"),
     # [0-9]([\x20-]?[0-9])+
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "[0-9]{2}[\\x20-]?[0-9]", 0.8, "card|visa|master|credit|pay"),
+    # the hint holds for every run of the 13 digits that the check asks for at least, however they are set apart
+    Kind(
+        "card",
+        r"[0-9](?:[\x20-]?[0-9])++",
+        r"[0-9](?:[\x20-]?[0-9]){12}",
+        0.8,
+        "card|visa|master|credit|pay",
+    ),
     # \+[0-9][\x20().0-9-]+[0-9]
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, "phone|tel|call|mobile|fax"),
     Kind(

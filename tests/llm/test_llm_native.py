@@ -62,6 +62,20 @@ def test_spans_are_those_of_the_plain_expressions(spark):
         assert [f for f in found if f[0] in personal_data.BASE] == base_spans(text), text[:80]
 
 
+def test_cards_whose_digits_stand_apart(spark):
+    cards = ["4111111111111111", "4222222222222", "4111111111111112", "411111111111"]
+    texts = [f"card {sign.join(card)} end" for card in cards for sign in ("", " ", "-")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {
+        r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["pii_spans"]]
+        for r in personal_data.find_personal_data(docs).collect()
+    }
+    assert found == {i: base_spans(text) for i, text in enumerate(texts)}
+    assert [len(found[i]) for i in range(len(texts))] == [1] * 6 + [0] * 6
+    masked = {r["doc_id"]: r["text"] for r in personal_data.mask_personal_data(docs).collect()}
+    assert [masked[i] for i in range(6)] == ["card [CARD] end"] * 6
+
+
 def test_query_digests_real_documents(spark, small):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     rows = queries.op3_personal_data(spark, small).collect()

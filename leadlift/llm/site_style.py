@@ -4,12 +4,13 @@ Pages of one host are merged into one tree of element paths. A path's importance
 page to page: for presentation, the entropy of the ways its children are laid out; for content, one less the entropy
 of where each distinct block of text occurs. What is the same everywhere (menus, notices, adverts from a small stock)
 has low importance. Branches below ``LEAST`` are removed from each page of the host, unless nothing would remain. Paths
-seen on few pages of a host are judged by all hosts together. Elements that name their own purpose (``nav``,
+seen on few pages of a host are judged by all hosts together, and stay if those are few as well. Pages with the same
+blocks are copies and count once, per host and over all hosts. Elements that name their own purpose (``nav``,
 ``footer``, ``aside``, ``class="ad"``, ..) and, on pages with an ``article`` or ``main``, what lies outside of it, are
 removed as such.
 
-The statistics are counts per (host, path, hash) that Spark adds up; a host with a third of all pages spreads over its
-hashes. Pages are parsed where they lie; only the removed paths of their host are joined to them.
+The statistics are counts of distinct pages per (host, path, hash) that Spark adds up; a host with a third of all pages
+spreads over its hashes. Pages are parsed where they lie; only the removed paths of their host are joined to them.
 """
 
 from __future__ import annotations
@@ -161,11 +162,23 @@ def statistics(page: Page) -> set[tuple[str, str, int]]:
     return rows
 
 
-def main_text(page: Page, removed: set[str]) -> str:
-    """Blocks that stay, one per line; removed paths take their branches with them."""
+def candidates(page: Page) -> list[tuple[str, bool, bool, str]]:
+    """Blocks that what elements say of themselves leaves."""
     kept = [b for b in page.blocks if not b[1]]
     if any(main for _, _, main, _ in kept):
         kept = [b for b in kept if b[2]]
+    return kept
+
+
+def vote(page: Page) -> int:
+    """Hash of the candidates: copies of a page have the same."""
+    both = "\n".join([f"{path}\t{text}" for path, _, _, text in candidates(page)])
+    return xxhash.xxh64_intdigest(both.encode("utf-8", "replace")) >> 1
+
+
+def main_text(page: Page, removed: set[str]) -> str:
+    """Blocks that stay, one per line; removed paths take their branches with them."""
+    kept = candidates(page)
     if removed:
         important = [b for b in kept if not any(b[0] == r or b[0].startswith(r + "/") for r in removed)]
         kept = important or kept
@@ -178,53 +191,74 @@ def hosted(pages: DataFrame) -> DataFrame:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of the merged trees of ``pages(page_id, url, html, ..)``, one per host."""
+    """(host, path, pages, importance) of the merged trees of ``pages(page_id, url, html, ..)``, one per host.
+
+    ``pages`` counts copies, importance does not.
+    """
     ship(pages.sparkSession)
 
     def count(batches):
         for batch in batches:
-            rows: list[tuple[str, str, str, int]] = []
+            rows: list[tuple[str, int, str, str, int]] = []
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows.extend((host, *row) for row in statistics(Page(source or "")))
-            columns = list(zip(*rows, strict=True)) or [()] * 4
+                page = Page(source or "")
+                same = vote(page)
+                rows.extend((host, same, *row) for row in statistics(page))
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int64()), strict=True)],
-                ["host", "path", "kind", "hash"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "vote", "path", "kind", "hash"]
             )
 
-    seen = hosted(pages).select("host", "html").mapInArrow(count, "host string, path string, kind string, hash bigint")
-    counts = stage(seen.groupBy("host", "path", "kind", "hash").count(), "style_counts")
-    own = importance(counts, ["host", "path"])
+    seen = hosted(pages).select("host", "html").mapInArrow(
+        count, "host string, vote bigint, path string, kind string, hash bigint"
+    )
+    copies = F.count(F.lit(1)).alias("copies")
+    votes = stage(seen.groupBy("host", "path", "kind", "hash", "vote").agg(copies), "style_votes")
+    votes_per_hash = F.count(F.lit(1)).alias("count")
+    own = importance(
+        votes.groupBy("host", "path", "kind", "hash").agg(votes_per_hash, F.sum("copies").alias("copies")), ["host", "path"]
+    )
+    # a page that several hosts have counts once here
+    pooled = votes.groupBy("path", "kind", "hash", "vote").agg(F.sum("copies").alias("copies"))
     pooled = importance(
-        counts.groupBy("path", "kind", "hash").agg(F.sum("count").alias("count")), ["path"]
-    ).select("path", F.col("importance").alias("_pooled"))
+        pooled.groupBy("path", "kind", "hash").agg(votes_per_hash, F.sum("copies").alias("copies")), ["path"]
+    ).select("path", F.col("distinct").alias("_distinct"), F.col("importance").alias("_pooled"))
     return own.join(pooled, "path").select(
         "host",
         "path",
         "pages",
-        F.when(F.col("pages") >= FEW_PAGES, F.col("importance")).otherwise(F.col("_pooled")).alias("importance"),
+        F.when(F.col("distinct") >= FEW_PAGES, F.col("importance"))
+        .when(F.col("_distinct") >= FEW_PAGES, F.col("_pooled"))
+        .otherwise(F.lit(1.0))
+        .alias("importance"),
     )
 
 
 def importance(counts: DataFrame, by: list[str]) -> DataFrame:
-    """Pages and importance per ``by``: entropies to the base of the number of pages, one for a single page."""
+    """Pages, distinct pages and importance per ``by``: entropies to the base of the number of distinct pages.
+
+    ``count`` has the distinct pages of a hash, ``copies`` all of them. The importance is one for a single page.
+    """
     n = F.col("count").cast("double")
     content, style = F.col("kind") == "content", F.col("kind") == "style"
     summed = counts.groupBy(*by).agg(
-        F.max(F.when(F.col("kind") == "page", F.col("count"))).alias("pages"),
+        F.max(F.when(F.col("kind") == "page", F.col("copies"))).alias("pages"),
+        F.max(F.when(F.col("kind") == "page", F.col("count"))).alias("distinct"),
         F.count(F.when(content, 1)).alias("blocks"),
         F.sum(F.when(content, F.ln(n))).alias("spread"),
         F.sum(F.when(style, n)).alias("laid"),
         F.sum(F.when(style, n * F.ln(n))).alias("laid_log"),
     )
-    base = F.ln(F.col("pages").cast("double"))
+    base = F.ln(F.col("distinct").cast("double"))
     # a block that occurs once on each of n pages has entropy ln n; the average over distinct blocks
     differing = 1 - F.col("spread") / F.col("blocks") / base
     layouts = (F.ln("laid") - F.col("laid_log") / F.col("laid")) / base
     return summed.select(
         *by,
         "pages",
-        F.when(F.col("pages") <= 1, F.lit(1.0))
+        "distinct",
+        F.when(F.col("distinct") <= 1, F.lit(1.0))
         .when(F.col("blocks") == 0, F.lit(1.0))
         .otherwise(F.lit(CONTENT_SHARE) * differing + F.lit(1 - CONTENT_SHARE) * F.coalesce(layouts, F.lit(0.0)))
         .alias("importance"),

@@ -246,3 +246,22 @@ def test_a_common_host_keeps_articles_it_repeats(spark):
     assert tree["pages"] == 30
     texts = [r["text"] for r in site_style.extract_main_text(table).collect()]
     assert all(t.startswith("Head") and "Second" in t for t in texts)
+
+
+def test_rare_elements_of_copies_stay(spark):
+    page = "<article><h1>Head {n}</h1><p>Text of {n}.</p><p>More of {n}.</p>{rare}</article>"
+    copy = page.format(n="all", rare="<blockquote>Said once</blockquote>")
+    pages = [(i, "http://h.example/", page.format(n=i, rare="")) for i in range(8)]
+    pages += [(100 + i, "http://h.example/copy", copy) for i in range(2)]
+    # as many copies as there may be, on one host or on a host each
+    pages += [(200 + i, "http://h.example/copies", copy.replace("blockquote", "h2")) for i in range(9)]
+    pages += [(300 + i, f"http://{i}.example/", copy.replace("blockquote", "h3")) for i in range(9)]
+    # the same short text below a rare path of different pages
+    pages += [(400 + i, "http://h.example/", page.format(n=50 + i, rare="<h4>Note</h4>")) for i in range(3)]
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in site_style.extract_main_text(table).collect()}
+    assert len(got) == len(pages)
+    for i in (*range(100, 102), *range(200, 209), *range(300, 309)):
+        assert got[i] == "Head all\nText of all.\nMore of all.\nSaid once"
+    for i in range(3):
+        assert got[400 + i] == f"Head {50 + i}\nText of {50 + i}.\nMore of {50 + i}.\nNote"

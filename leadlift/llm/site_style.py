@@ -3,7 +3,8 @@
 Pages of one host are merged into one tree of element paths. A path's importance says how much its parts differ from
 page to page: for presentation, the entropy of the ways its children are laid out; for content, one less the entropy
 of where each distinct block of text occurs. What is the same everywhere (menus, notices, adverts from a small stock)
-has low importance. Branches below ``LEAST`` are removed from each page of the host, unless nothing would remain. Paths
+has low importance. Branches below ``LEAST`` are removed from each page of the host, unless nothing would remain, or
+less than ``MAIN_LEFT`` of the text of an ``article`` or ``main``: then the pages share the article itself. Paths
 seen on few pages of a host are judged by all hosts together, and stay if those are few as well. Pages with the same
 blocks are copies and count once, per host and over all hosts. Elements that name their own purpose (``nav``,
 ``footer``, ``aside``, ``class="ad"``, ..) and, on pages with an ``article`` or ``main``, what lies outside of it, are
@@ -28,6 +29,7 @@ from leadlift.sources.staging import stage
 
 LEAST = 0.4
 FEW_PAGES = 5
+MAIN_LEFT = 0.5
 CONTENT_SHARE = 0.9  # of a path's importance; the rest is presentation
 
 # Elements by their meaning in HTML
@@ -181,7 +183,10 @@ def main_text(page: Page, removed: set[str]) -> str:
     kept = candidates(page)
     if removed:
         important = [b for b in kept if not any(b[0] == r or b[0].startswith(r + "/") for r in removed)]
-        kept = important or kept
+        # candidates are all in the main part, or none is
+        left = MAIN_LEFT * sum(len(b[3]) for b in kept if b[2])
+        if important and sum(len(b[3]) for b in important) >= left:
+            kept = important
     return "\n".join([text for *_, text in kept])
 
 

@@ -265,3 +265,19 @@ def test_rare_elements_of_copies_stay(spark):
         assert got[i] == "Head all\nText of all.\nMore of all.\nSaid once"
     for i in range(3):
         assert got[400 + i] == f"Head {50 + i}\nText of {50 + i}.\nMore of {50 + i}.\nNote"
+
+
+def test_pages_that_share_their_article_keep_it(spark):
+    body = "<p>The first of two long paragraphs of the agency.</p><p>The second one, on every page.</p>"
+    ad = "<div class=box>Buy</div>"
+    for main in ("article", "main"):
+        page = f"<div class=top>Us</div><{main}><h1>Head {{n}}</h1><p>{{text}}</p>{{body}}{ad}</{main}>"
+        pages = [(i, "http://h.example/", page.format(n=i, text="By us", body=body)) for i in range(30)]
+        pages += [(100 + i, "http://k.example/", page.format(n=i, text=f"Own text of {i}", body="")) for i in range(9)]
+        table = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+        got = {r["page_id"]: r["text"] for r in site_style.extract_main_text(table).collect()}
+        shared = "The first of two long paragraphs of the agency.\nThe second one, on every page."
+        for i in range(30):
+            assert got[i] == f"Head {i}\nBy us\n{shared}\nBuy"
+        for i in range(9):
+            assert got[100 + i] == f"Head {i}\nOwn text of {i}"

@@ -14,7 +14,9 @@ in bulk-synchronous rounds of best-fit decreasing:
 Ranks are counted within (size, part), where a part is the input split that made the piece, and shifted by the counts of
 the parts before, so one size that a third of all rows share spreads over all parts. Rounds write their result as
 Parquet below ``spark.checkpoint.dir``; a lost executor repeats at most one round. Texts never move: rounds shuffle
-ids and sizes. Many pieces of one small size are tied into bundles first, so the number of rounds stays small.
+ids and sizes. Many pieces of one small size are tied into bundles first, so the number of rounds stays small. When
+nothing fits whole, bundles are halved, down to single pieces, as far as gaps have room for their pieces; so room that a
+single piece would fill is never left for a bundle's sake.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ SEPARATOR = 0
 PIECES = "uid bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 # Bundles: pieces of at most CAPACITY / SMALL tokens are tied up to CAPACITY / BUNDLE tokens
 SMALL, BUNDLE = 16, 8
+# Pieces of a bundle, at most; an item of the packing is named by its first piece: bundle * SLOTS + slot
+SLOTS = 256
 
 
 def token_pieces(
@@ -91,18 +95,18 @@ def ranked(rows: DataFrame, by: list[str], column: str = "rank") -> DataFrame:
 
 
 def tie_bundles(items: DataFrame, capacity: int, bins: int) -> DataFrame:
-    """(uid, size, part, bundle, inside): small pieces far more frequent than sequences share a bundle.
+    """(uid, size, part, bundle, slot): small pieces far more frequent than sequences share a bundle.
 
-    The bundle is named by its first piece's uid; a piece without one is its own.
+    The bundle is named by its first piece's uid, its pieces are numbered; a piece without one is its own.
     """
     small, whole = capacity // SMALL, capacity // BUNDLE
     frequent = items.where(F.col("size") <= small).groupBy("size").count().where(F.col("count") > max(bins, 1) // 4 + 64)
     counts = {row["size"]: row["count"] for row in frequent.collect()}  # at most capacity / SMALL sizes
-    alone = items.withColumn("bundle", F.col("uid")).withColumn("inside", F.lit(0).cast("bigint"))
+    alone = items.withColumn("bundle", F.col("uid")).withColumn("slot", F.lit(0).cast("bigint"))
     if not counts:
         return alone
     many = ranked(items.where(F.col("size").isin(sorted(counts))), ["size"])
-    per = F.floor(F.lit(whole) / F.col("size"))
+    per = F.least(F.floor(F.lit(whole) / F.col("size")), F.lit(SLOTS))
     # a quarter of a sequence count stays loose: small pieces are what fills small gaps
     loose = max(bins, 1) // 4
     number = F.when(F.col("rank") >= loose, F.floor((F.col("rank") - loose) / per))
@@ -113,11 +117,11 @@ def tie_bundles(items: DataFrame, capacity: int, bins: int) -> DataFrame:
         tied.join(heads, ["size", "_number"], "left")
         .withColumn("bundle", F.coalesce("bundle", "uid"))
         .withColumn("part", F.coalesce("_part", "part"))
-        .withColumn("inside", F.coalesce(F.col("_slot") * F.col("size"), F.lit(0)).cast("bigint"))
+        .withColumn("slot", F.coalesce(F.col("_slot"), F.lit(0)).cast("bigint"))
     )
     rest = alone.where(~F.col("size").isin(sorted(counts)))
-    return rest.select("uid", "size", "part", "bundle", "inside").unionByName(
-        tied.select("uid", "size", "part", "bundle", "inside")
+    return rest.select("uid", "size", "part", "bundle", "slot").unionByName(
+        tied.select("uid", "size", "part", "bundle", "slot")
     )
 
 
@@ -141,9 +145,9 @@ def stack_levels(cells: list[tuple[bool, int, int]]) -> dict[tuple[bool, int], t
 
 
 def sweep(rows: DataFrame, cells: list[tuple[bool, int, int]]) -> DataFrame:
-    """One round over (gap, uid, part, size) rows, of which ``cells`` has the counts.
+    """One round over (gap, uid, part, size, n) rows, of which ``cells`` has the counts.
 
-    Result: gap, uid, part, size, piece, piece_size. Gap rows carry the piece they got, or null; piece rows are those
+    Result: gap, uid, part, size, n, piece, piece_size, piece_n. Gap rows carry the piece they got, or null; piece rows are those
     that found no gap.
     """
     spark = rows.sparkSession
@@ -159,7 +163,7 @@ def sweep(rows: DataFrame, cells: list[tuple[bool, int, int]]) -> DataFrame:
     # rows without a level are spread by uid, each alone in its window
     placed = placed.withColumn("level", F.coalesce(level, -F.col("uid") - 1)).withColumn("on", level.isNotNull())
     w = Window.partitionBy("level").orderBy("place", "uid")
-    follower = F.lead(F.struct("gap", "uid", "size", "part", "on")).over(w)
+    follower = F.lead(F.struct("gap", "uid", "size", "n", "on")).over(w)
     got = placed.withColumn("next", F.when(F.col("gap") & F.col("on"), follower))
     fits = F.col("next").isNotNull() & ~F.col("next.gap") & F.col("next.on")
     return got.where(F.col("gap") | ~F.col("on")).select(
@@ -167,37 +171,101 @@ def sweep(rows: DataFrame, cells: list[tuple[bool, int, int]]) -> DataFrame:
         "uid",
         "part",
         "size",
+        "n",
         F.when(fits, F.col("next.uid")).alias("piece"),
         F.when(fits, F.col("next.size")).alias("piece_size"),
+        F.when(fits, F.col("next.n")).alias("piece_n"),
     )
 
 
+def to_halve(waiting: dict[tuple[int, int], int], room: dict[int, int]) -> dict[tuple[int, int], int]:
+    """How many items of each (size, pieces) to halve, so that the gaps of ``room`` are filled by their pieces.
+
+    The gaps are filled on paper, by the largest pieces first; what they have no room for stays tied.
+    """
+    left, out = dict(room), {}
+    for size, n in sorted((c for c in waiting if c[1] > 1), key=lambda c: (-c[0] // c[1], c)):
+        each, wanted, held = size // n, waiting[size, n] * n, 0
+        for gap in sorted(left):
+            fit = gap // each
+            if not fit or held >= wanted:
+                continue
+            used = min(left[gap], -(-(wanted - held) // fit))
+            held += used * fit
+            left[gap] -= used
+            left[gap - fit * each] = left.get(gap - fit * each, 0) + used
+        if held:
+            out[size, n] = min(waiting[size, n], -(-held // n))
+    return out
+
+
+def halve(loose: DataFrame, halved: dict[tuple[int, int], int]) -> DataFrame:
+    """``loose`` with as many items of each (size, pieces) cut in two as ``halved`` says."""
+    table = [(size, n, rows) for (size, n), rows in halved.items()]
+    plan = F.broadcast(loose.sparkSession.createDataFrame(table, "size bigint, n bigint, _cut bigint"))
+    names = loose.columns
+    tied = ranked(loose.where("n > 1"), ["size", "n"]).join(plan, ["size", "n"], "left")
+    cut = F.col("rank") < F.col("_cut")  # null where nothing is cut
+    head = F.floor((F.col("n") + 1) / 2)
+    each = F.floor(F.col("size") / F.col("n"))
+
+    def item(first, n):
+        return F.struct((F.col("uid") + first).alias("uid"), (n * each).alias("size"), n.cast("bigint").alias("n"))
+
+    whole = item(F.lit(0), F.col("n"))
+    parts = F.when(cut, F.array(item(F.lit(0), head), item(head, F.col("n") - head))).otherwise(F.array(whole))
+    cut_up = tied.select("gap", "part", F.explode(parts).alias("item")).select("gap", "part", "item.*")
+    return loose.where("n = 1").unionByName(cut_up.select(*names))
+
+
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(bundle, sequence_id, offset) for every row of ``items(uid, part, size)``; uid is unique, size <= capacity."""
-    loose = items.select(F.lit(False).alias("gap"), "uid", "part", F.col("size").cast("bigint"))
+    """(item, n, sequence_id, offset) for the rows of ``items(uid, part, size, n)``; uid is unique, size <= capacity.
+
+    A row stands for ``n`` pieces of equal size with the numbers uid, uid + 1, ..; they may be placed apart, as items of
+    fewer pieces that are named by their first.
+    """
+    loose = items.select(F.lit(False).alias("gap"), "uid", "part", F.col("size").cast("bigint"), F.col("n").cast("bigint"))
     gaps = loose.where(F.lit(False))
     placements = []
     first = True
     while True:
-        counted = gaps.unionByName(loose).groupBy("gap", "size").count().collect()  # at most two rows per size
-        waiting = {row["size"]: row["count"] for row in counted if not row["gap"]}
-        if not waiting:
+        # a row per size of gaps, and per size and number of pieces, of which few sizes have more than one
+        counted = gaps.unionByName(loose).groupBy("gap", "size", "n").count().collect()
+        items_of = {(row["size"], row["n"]): row["count"] for row in counted if not row["gap"]}
+        if not items_of:
             break
-        least = min(waiting)
+        least = min(size // n for size, n in items_of)
         gaps = gaps.where(F.col("size") >= least)
         room = {row["size"]: row["count"] for row in counted if row["gap"] and row["size"] >= least}
-        opened = to_open(waiting, room, first, capacity)
+        if max(room, default=0) < min(size for size, _ in items_of):
+            halved = to_halve(items_of, room)
+            if halved:
+                loose = stage(halve(loose, halved), "halved")
+                for (size, n), rows in halved.items():
+                    items_of[size, n] -= rows
+                    for k in (n - n // 2, n // 2):
+                        items_of[size // n * k, k] = items_of.get((size // n * k, k), 0) + rows
+        waiting: dict[int, int] = {}
+        for (size, _), rows in items_of.items():
+            if rows:
+                waiting[size] = waiting.get(size, 0) + rows
+        opened = to_open(waiting, room, least, first, capacity)
         if opened:
             fresh, loose = open_sequences(loose, waiting, opened, capacity)
             fresh = stage(fresh, "opened")
             placements.append(
                 fresh.select(
-                    F.col("uid").alias("bundle"), F.col("uid").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
+                    F.col("uid").alias("item"),
+                    "n",
+                    F.col("uid").alias("sequence_id"),
+                    F.lit(0).cast("bigint").alias("offset"),
                 )
             )
             rest = F.lit(capacity) - F.col("size")
             gaps = gaps.unionByName(
-                fresh.select(F.lit(True).alias("gap"), "uid", "part", rest.alias("size")).where(F.col("size") >= least)
+                fresh.select(
+                    F.lit(True).alias("gap"), "uid", "part", rest.alias("size"), F.lit(0).cast("bigint").alias("n")
+                ).where(F.col("size") >= least)
             )
             for size in sorted(waiting, reverse=True):
                 taken = min(opened, waiting[size])
@@ -211,22 +279,26 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         swept = stage(sweep(gaps.unionByName(loose), cells), "sweep")
         placements.append(
             swept.where("piece is not null").select(
-                F.col("piece").alias("bundle"),
+                F.col("piece").alias("item"),
+                F.col("piece_n").alias("n"),
                 F.col("uid").alias("sequence_id"),
                 (F.lit(capacity) - F.col("size")).alias("offset"),
             )
         )
-        loose = swept.where(~F.col("gap")).select("gap", "uid", "part", "size")
+        loose = swept.where(~F.col("gap")).select("gap", "uid", "part", "size", "n")
         left = F.col("size") - F.coalesce("piece_size", F.lit(0))
-        gaps = swept.where("gap").select("gap", "uid", "part", left.alias("size"))
+        gaps = swept.where("gap").select("gap", "uid", "part", left.alias("size"), "n")
         first = False
     if not placements:
-        return items.sparkSession.createDataFrame([], "bundle bigint, sequence_id bigint, offset bigint")
+        return items.sparkSession.createDataFrame([], "item bigint, n bigint, sequence_id bigint, offset bigint")
     return reduce(DataFrame.unionByName, placements)
 
 
-def to_open(waiting: dict[int, int], room: dict[int, int], first: bool, capacity: int) -> int:
-    """How many of the largest waiting pieces open a sequence, given rows per size of pieces and of gaps."""
+def to_open(waiting: dict[int, int], room: dict[int, int], least: int, first: bool, capacity: int) -> int:
+    """How many of the largest waiting items open a sequence, given rows per size of items and of gaps.
+
+    ``least`` is the smallest piece: a gap that holds it is used, if need be after bundles are halved.
+    """
     volume = sum(size * n for size, n in waiting.items())
     free = sum(size * n for size, n in room.items())
     if first:
@@ -235,7 +307,7 @@ def to_open(waiting: dict[int, int], room: dict[int, int], first: bool, capacity
         free += sum((capacity - size) * n for size, n in halves.items())
         volume -= sum(size * n for size, n in halves.items())
         return sum(halves.values()) + max(0, -(-(volume - free) // capacity))
-    fits = max(room, default=0) >= min(waiting)
+    fits = max(room, default=0) >= least
     return max(0, -(-(volume - (free if fits else 0)) // capacity))
 
 
@@ -275,9 +347,16 @@ def pack_documents(
     items = pieces.select("uid", F.col("length").alias("size"), part.alias("part"))
     total = pieces.agg(F.sum("length")).first()[0] or 0
     tied = stage(tie_bundles(items, capacity, -(-total // capacity)), "bundles")
-    bundles = tied.groupBy("bundle").agg(F.min("part").alias("part"), F.sum("size").alias("size"))
-    places = pack(stage(bundles.withColumnRenamed("bundle", "uid"), "items"), capacity)
-    at = tied.join(places, "bundle").select("uid", "sequence_id", (F.col("offset") + F.col("inside")).alias("offset"))
+    item = F.col("bundle") * SLOTS
+    bundles = tied.groupBy(item.alias("uid")).agg(
+        F.min("part").alias("part"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")
+    )
+    places = pack(stage(bundles, "items"), capacity)
+    inside = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("_inside")
+    placed = places.select("item", "sequence_id", "offset", inside).withColumn("item", F.col("item") + F.col("_inside"))
+    at = tied.select("uid", "size", (item + F.col("slot")).alias("item")).join(placed, "item").select(
+        "uid", "sequence_id", (F.col("offset") + F.col("_inside") * F.col("size")).alias("offset")
+    )
     return pieces.join(at, "uid").select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )

@@ -158,6 +158,20 @@ def test_packing_many_tiny_documents(spark):
     assert_packed(rows, 256, -(-sum(r["length"] for r in rows) // 256) + 3)
 
 
+@pytest.mark.parametrize("length, others", [(33, 0), (58, 0), (38, 40)])
+def test_packing_fills_room_that_bundles_leave(spark, library, length, others):
+    text = " ".join(["the"] * (length - 1))
+    assert len(library.encode(text, add_special_tokens=False).ids) == length - 1
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") < others, F.repeat(F.lit(text + " "), 25)).otherwise(F.lit(text)).alias("text"),
+    )
+    rows = pack_documents(docs, WORD_VOCABULARY).collect()
+    assert len(rows) == 6000
+    bound = -(-6000 // (2048 // length)) if not others else -(-sum(r["length"] for r in rows) // 2048) * 102 // 100
+    assert_packed(rows, 2048, bound)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert encode(none, RANKS, public_tokenizers.PATTERN).count() == 0

@@ -18,6 +18,7 @@ from leadlift.llm import (
     simhash,
     site_style,
     token_counts,
+    turn_repair,
     vantage,
 )
 
@@ -125,6 +126,10 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damaged(table(spark, folder, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_vantage_search": op2_vantage_search,
@@ -136,4 +141,5 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_chat_format": op9_chat_format,
     "op10_main_text": op10_main_text,
+    "op12_turn_repair": op12_turn_repair,
 }

@@ -14,6 +14,7 @@ from leadlift.llm import (
     fingerprints,
     line_crf,
     packing,
+    periodic_runs,
     personal_data,
     simhash,
     site_style,
@@ -126,6 +127,10 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.with_repetitions(table(spark, folder, "documents")))
+
+
 def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
     return turn_repair.repair(turn_repair.damaged(table(spark, folder, "conversations")))
 
@@ -141,5 +146,6 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_chat_format": op9_chat_format,
     "op10_main_text": op10_main_text,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_turn_repair": op12_turn_repair,
 }

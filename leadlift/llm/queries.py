@@ -13,6 +13,7 @@ from leadlift.llm import (
     chat,
     fingerprints,
     line_crf,
+    mixing,
     packing,
     periodic_runs,
     personal_data,
@@ -135,6 +136,12 @@ def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
     return turn_repair.repair(turn_repair.damaged(table(spark, folder, "conversations")))
 
 
+def op13_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    docs = table(spark, folder, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return mixing.lm_scores(docs, "held_out")
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_vantage_search": op2_vantage_search,
@@ -148,4 +155,5 @@ QUERIES: dict[str, Query] = {
     "op10_main_text": op10_main_text,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_turn_repair": op12_turn_repair,
+    "op13_lm_score": op13_lm_score,
 }

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from leadlift.sources.shipping import ship
 from leadlift.sources.staging import stage
 
-BLOCK = 256
+BLOCK = 32
 DELETE, INSERT, KEEP, REROLE = "DIKR"
 COST = {DELETE: 2, INSERT: 5, KEEP: 0, REROLE: 1}
 TRUNCATED_COST = 5
@@ -69,22 +69,24 @@ def moves(turns: list[Turn], at: int, state: int, trailing: bool) -> Iterator[tu
             yield REROLE, COST[REROLE] + extra, at + 1, WANTED[state][1]
 
 
-def search(turns: list[Turn], entry: int, ends: tuple[int, ...], trailing: bool) -> tuple[int, str] | None:
-    """(cost, edits) of the cheapest path from ``entry`` to one of ``ends``, ASCII-least; None if there is none.
+def search(turns: list[Turn], entry: int, ends: tuple[int, ...], trailing: bool) -> dict[int, tuple[int, str]]:
+    """(cost, edits) of the cheapest path from ``entry``, ASCII-least: to each of ``ends``, each within reach.
 
-    Without ``trailing`` nothing is inserted after the last turn.
+    With ``trailing``, turns may be inserted after the last one and the first accepting path ends the search: then the
+    result has the best of all ends only.
     """
     n = len(turns)
     least = [0] * (n + 1)  # what the turns from here on cost at least
     for i in reversed(range(n)):
         initial, forced, extra = turns[i]
         least[i] = least[i + 1] + (COST[DELETE] if forced else min(COST[DELETE], extra))
-    # deleting everything but one system turn and inserting at most a pair reaches whatever can be reached
-    most = COST[DELETE] * n + TRUNCATED_COST + 2 * COST[INSERT]
-    failed: dict[tuple[int, int], int] = {}
-    if n == 0 and entry in ends:
-        return 0, ""
-    for bound in range(least[0], most + 1):
+    found: dict[int, tuple[int, str]] = {}
+    if trailing and entry in ends and not n:
+        return {entry: (0, "")}
+    # deleting all turns and inserting at most a pair reaches every end
+    for bound in range(least[0], COST[DELETE] * n + 2 * COST[INSERT] + 1):
+        # (turn, state) -> the most budget with which nothing more was to be found there
+        failed: dict[tuple[int, int], int] = {}
         edits: list[str] = []
         stack = [(0, entry, bound, moves(turns, 0, entry, trailing))]
         while stack:
@@ -93,8 +95,12 @@ def search(turns: list[Turn], entry: int, ends: tuple[int, ...], trailing: bool)
                 rest = budget - cost
                 if rest < least[to] or failed.get((to, then), -1) >= rest:
                     continue
-                if to == n and then in ends:
-                    return bound - rest, "".join(edits) + edit
+                if to == n and then in ends and then not in found:
+                    found[then] = (bound - rest, "".join(edits) + edit)
+                    if trailing or len(found) == len(ends):
+                        return found
+                if to == n and not trailing:
+                    continue
                 edits.append(edit)
                 stack.append((to, then, rest, moves(turns, to, then, trailing)))
                 break
@@ -103,7 +109,24 @@ def search(turns: list[Turn], entry: int, ends: tuple[int, ...], trailing: bool)
                 stack.pop()
                 if edits:
                     edits.pop()
-    return None
+    return found
+
+
+def crossings(turns: list[Turn], entry: int) -> dict[int, tuple[int, str]]:
+    """(cost, edits) from ``entry`` to every state that a block of ``turns`` can be left in.
+
+    The start is left for good by the first turn kept, and so is a system turn; only deletions stay there.
+    """
+    n = len(turns)
+    out = search(turns, entry, (USER, ASSISTANT), trailing=False) if n else {}
+    if entry in (START, SYSTEM) or not n:
+        out[entry] = (COST[DELETE] * n, DELETE * n)
+    if entry == START:
+        kept = [(extra, -i) for i, (initial, forced, extra) in enumerate(turns) if initial == "s" and not forced]
+        if kept:
+            extra, i = min(kept)
+            out[SYSTEM] = (COST[DELETE] * (n - 1) + extra, DELETE * -i + KEEP + DELETE * (n - 1 + i))
+    return out
 
 
 def apply_edits(audit: str, entry: int, roles: list[str], texts: list[str]) -> list[str]:
@@ -170,17 +193,12 @@ def block_row(key: int | None, part: int, number: int, rows: list[tuple], whole:
     faults = [r[4] for r in rows]
     digest = None
     if whole:
-        cost, audit = search(seen, START, ENDS, trailing=True)
+        ((cost, audit),) = search(seen, START, ENDS, trailing=True).values()
         paths = [(START, START, cost, audit)]
         digest = sha256(apply_edits(audit, START, roles, texts))
         roles = texts = None
     else:
-        paths = []
-        for entry in STATES:
-            for leave in STATES:
-                found = search(seen, entry, (leave,), trailing=False) if rows else (0, "") if leave == entry else None
-                if found is not None:
-                    paths.append((entry, leave, *found))
+        paths = [(entry, leave, *way) for entry in STATES for leave, way in crossings(seen, entry).items()]
     return {
         "conv_id": key,
         "part": part,

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import SparkContext, inheritable_thread_target
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
+from leadlift.functions.trees import BoostedTrees
 from leadlift.operators.columns import normalise_categories, present, restrict_features
 from leadlift.operators.encoding import (
     filled,
@@ -31,6 +32,7 @@ from leadlift.operators.encoding import (
 )
 from leadlift.operators.metrics import roc_auc
 from leadlift.operators.splits import part
+from leadlift.operators.tree_scoring import margin_column
 from leadlift.settings import CATEGORICAL, GBT_DEFAULTS, ID_COLUMNS, LABEL, SCORE, SEED, TUNE_SPACE
 from leadlift.sources.staging import enable_checkpoints, scope, stage
 from leadlift.sources.tables import rows_to_table
@@ -163,8 +165,11 @@ def tree_prefix(model: GBTClassificationModel, rounds: int) -> GBTClassification
     return model._copyValues(GBTClassificationModel(shorter))
 
 
-def add_probability(model: PipelineModel, df: DataFrame, column: str = SCORE) -> DataFrame:
+def add_probability(model: PipelineModel | BoostedTrees, df: DataFrame, column: str = SCORE) -> DataFrame:
     """``df`` with the probability of class 1; its other columns, key included, are unchanged."""
+    if isinstance(model, BoostedTrees):
+        score = 1.0 / (1.0 + F.exp(-margin_column(model, df)))
+        return df.select(*[F.col(f"`{c}`") for c in df.columns if c != column], score.alias(column))
     scored = model.transform(normalise_categories(df))
     return scored.withColumn(column, F.get(vector_to_array("probability"), F.lit(1))).select(*df.columns, column)
 
@@ -196,9 +201,14 @@ def with_auc(
 
 
 def feature_importance(
-    model: PipelineModel, df: DataFrame, features: list[str], scale: float = 1.0
+    model: PipelineModel | BoostedTrees, df: DataFrame, features: list[str], scale: float = 1.0
 ) -> DataFrame:
-    """(feature, importance), largest first. Spark's importances add up to 1; ``scale=100`` gives percentages."""
+    """(feature, importance), largest first, adding up to ``scale``: the change of predictions by the splits of trees
+    over bins, Spark's gain for Spark's trees."""
+    if isinstance(model, BoostedTrees):
+        change = dict(zip([f.name for f in model.features], model.prediction_change().tolist(), strict=True))
+        rows = [{"feature": f, "importance": change[f] * scale / 100.0} for f in features]
+        return sort_importance(rows_to_table(df.sparkSession, rows, IMPORTANCE_SCHEMA))
     numeric, cats = by_kind(df, features)
     names = [*numeric, *cats]
     values = model.stages[-1].featureImportances.toArray()
@@ -235,6 +245,7 @@ class Tuning:
     params: dict
     valid_auc: float
     trials: DataFrame
+    fitted: list = field(default_factory=list)
 
 
 def tune_trees(

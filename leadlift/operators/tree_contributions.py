@@ -26,9 +26,12 @@ from pyspark.sql import functions as F
 
 from leadlift.functions import shapley
 from leadlift.functions.shapley import ANYTHING, LeafTables, expected_value
+from leadlift.functions.trees import BoostedTrees, bin_rows
 from leadlift.operators.columns import normalise_categories
 from leadlift.operators.explain import EXPECTED, contribution_columns
 from leadlift.operators.models import by_kind
+from leadlift.operators.tree_scoring import feature_struct
+from leadlift.sources.shipping import ship
 from leadlift.sources.staging import staging_path
 
 cloudpickle.register_pickle_by_value(shapley)
@@ -78,34 +81,48 @@ def read_leaves(spark: SparkSession, model: PipelineModel) -> list[tuple]:
     return leaves
 
 
-def add_tree_contributions(df: DataFrame, model: PipelineModel, features: list[str]) -> DataFrame:
+def add_tree_contributions(df: DataFrame, model: PipelineModel | BoostedTrees, features: list[str]) -> DataFrame:
     """Add ``exp_expected_value`` and one contribution column per feature, in log-odds.
 
-    Expected value plus contributions equals the row's log-odds. Only the assembled feature array crosses to Python.
+    Expected value plus contributions equals the row's log-odds. Only the features cross to Python, as one array or as
+    the columns that trees over bins were fitted on.
     """
     spark = df.sparkSession
-    leaves = read_leaves(spark, model)
+    binned = isinstance(model, BoostedTrees)
+    leaves = model.leaves() if binned else read_leaves(spark, model)
     if len(leaves) > MAX_LEAVES:
         raise ValueError(f"{len(leaves)} leaves are more than the {MAX_LEAVES} that are sent to executors")
     shared = spark.sparkContext.broadcast(leaves)  # Spark drops it once nothing refers to it
+    known = spark.sparkContext.broadcast(model.features if binned else None)
+
+    def explain(x: np.ndarray, tables: LeafTables) -> pd.Series:
+        return pd.Series(list(tables.contributions(x)))
 
     @F.pandas_udf("array<double>")
-    def contributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of_vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tables = LeafTables(shared.value)
         for vectors in batches:
-            if vectors.empty:
-                yield pd.Series([], dtype=object)
-            else:
-                yield pd.Series(list(tables.contributions(np.stack(vectors.to_list()))))
-
-    numeric, cats = by_kind(df, features)
-    position = {f: i for i, f in enumerate([*numeric, *cats])}
-    prepared = normalise_categories(df)
-    for stage_model in model.stages[:-1]:
-        prepared = stage_model.transform(prepared)
-    vector = vector_to_array(F.col(model.stages[-1].getFeaturesCol()))
-    explained = prepared.withColumn("_contributions", contributions(vector))
-    values = {f: F.get("_contributions", F.lit(position[f])) for f in features}
+            yield pd.Series([], dtype=object) if vectors.empty else explain(np.stack(vectors.to_list()), tables)
+
+    @F.pandas_udf("array<double>")
+    def of_columns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        tables = LeafTables(shared.value)
+        for rows in batches:
+            yield pd.Series([], dtype=object) if rows.empty else explain(bin_rows(known.value, rows).astype(float), tables)
+
+    if binned:
+        ship(spark)
+        names = [f.name for f in model.features]
+        explained = df.withColumn("_contributions", of_columns(feature_struct(model)))
+    else:
+        numeric, cats = by_kind(df, features)
+        names = [*numeric, *cats]
+        prepared = normalise_categories(df)
+        for stage_model in model.stages[:-1]:
+            prepared = stage_model.transform(prepared)
+        vector = vector_to_array(F.col(model.stages[-1].getFeaturesCol()))
+        explained = prepared.withColumn("_contributions", of_vectors(vector))
+    values = {f: F.get("_contributions", F.lit(names.index(f))) for f in features}
     columns = contribution_columns(values, df.columns)
     expected = float(sum(map(expected_value, leaves)))
     kept = [F.col(f"`{c}`") for c in df.columns if c != EXPECTED]

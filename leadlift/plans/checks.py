@@ -526,6 +526,38 @@ def queries_sql() -> dict[str, str]:
             ) AS placed WHERE decile >= 9 GROUP BY decile""",
         "gbt_trial_choice": f"SELECT {TUNE_TRIALS}::BIGINT AS trials, 1 AS chosen_is_best, 1 AS chosen_is_first, "
         "1 AS in_order",
+        "gbt_prefix_choice": f"SELECT i::INTEGER AS trial, 1 AS kept_of_grown, 1 AS auc_agrees "
+        f"FROM range(1, {TUNE_TRIALS + 1}) AS r(i)",
+        "gbt_missing_direction": f"""{THREE_WAY}
+            SELECT customer_id, (customer_id % 5 < 2)::INTEGER AS applied_cc, 1 AS told
+            FROM three_way WHERE split = 'test'""",
+        "order_history_on_days": """
+            WITH days AS (SELECT unnest([DATE '1996-03-31', DATE '1998-12-31', DATE '2001-06-30']) AS day),
+            lines AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS back
+                      FROM lineitem GROUP BY l_orderkey),
+            seen AS (SELECT o_custkey, day, date_diff('day', o_orderdate::DATE, day) AS age, o_orderstatus,
+                            round(o_totalprice * 100)::BIGINT AS cents, n, back
+                     FROM orders JOIN days ON o_orderdate::DATE <= day LEFT JOIN lines ON o_orderkey = l_orderkey)
+            SELECT o_custkey, strftime(day, '%Y-%m-%d') AS as_of, max(age)::INTEGER AS first_order_age,
+                   count(*) FILTER (age < 90) AS recent_orders,
+                   (sum(cents) FILTER (age < 90))::BIGINT AS recent_cents,
+                   count(*) FILTER (age < 365 AND o_orderstatus = 'P') AS late_orders,
+                   sum(n)::BIGINT AS lines, sum(back)::BIGINT AS returned_lines
+            FROM seen GROUP BY o_custkey, day""",
+        "customers_as_of": """
+            WITH lines AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+            seen AS (SELECT o_custkey, date_diff('day', o_orderdate::DATE, DATE '1998-12-31') AS age, o_orderstatus,
+                            round(o_totalprice * 100)::BIGINT AS cents, n
+                     FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey WHERE o_orderdate::DATE <= DATE '1998-12-31'),
+            history AS (SELECT o_custkey, max(age)::INTEGER AS first_order_age,
+                               count(*) FILTER (age < 90) AS recent_orders,
+                               (sum(cents) FILTER (age < 90))::BIGINT AS recent_cents,
+                               count(*) FILTER (age < 365 AND o_orderstatus = 'P') AS late_orders,
+                               sum(n)::BIGINT AS lines FROM seen GROUP BY o_custkey),
+            newest AS (SELECT user_id, event_type AS channel FROM events WHERE ts::DATE <= DATE '2024-01-15'
+                       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type) = 1)
+            SELECT c_custkey, first_order_age, recent_orders, recent_cents, late_orders, lines, channel
+            FROM customer LEFT JOIN history ON c_custkey = o_custkey LEFT JOIN newest ON c_custkey = user_id""",
         "gbt_mean_abs_totals": f"SELECT {TOP_K}::BIGINT AS features, 1 AS not_negative, 1 AS in_order, 1 AS agrees",
         "flow_report_totals": f"""{THREE_WAY}
             SELECT label, count(*) AS n, {r6('avg(applied_cc)', 'pos_rate')}, 1 AS cells_add_up

@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from leadlift.operators import metrics, ranking
+from leadlift.operators.boosting import fit_boosted, tune_boosted
 from leadlift.operators.columns import feature_columns, restrict_features, trial_columns
 from leadlift.operators.explain import mean_abs_contributions, top_contributions
 from leadlift.operators.exports import export_leads, export_metrics, lead_export
@@ -20,16 +21,15 @@ from leadlift.operators.models import (
     add_probability,
     feature_importance,
     fit_baseline,
-    fit_trees,
     score_part,
     top_features,
-    tune_trees,
     with_auc,
 )
 from leadlift.operators.splits import SPLIT, add_three_way_split, part, with_draw
 from leadlift.operators.tree_contributions import add_tree_contributions
 from leadlift.settings import (
     BASELINE_LABEL,
+    BOOST_SPACE,
     EXPLAIN_TOP_N,
     F1_GRID_POINTS,
     FINAL_LABEL,
@@ -40,7 +40,6 @@ from leadlift.settings import (
     SEED,
     TEST_SHARE,
     TOP_K,
-    TUNE_SPACE,
     TUNE_TRIALS,
     VALID_SHARE,
 )
@@ -88,19 +87,18 @@ def train_flow(
     top_k: int = TOP_K,
     trials: int = TUNE_TRIALS,
     seed: int = SEED,
-    space: Mapping[str, tuple] = TUNE_SPACE,
-    parallelism: int = 2,
+    space: Mapping[str, tuple] = BOOST_SPACE,
     **baseline_args,
 ) -> Results:
     """The baseline, then boosted trees on all features, the top k features, and a random search on those."""
     out = baseline_flow(customers, **baseline_args)
     data, features = out["prepared"], out["features"]
-    model_all = fit_trees(data, features, tree_params, seed=seed)
+    model_all = fit_boosted(data, features, tree_params, seed=seed)
     importance = feature_importance(model_all, data, features)
     selected = top_features(importance, top_k)
     # the split column travels along: the same rows train and validate as before
     narrow = restrict_features(data, selected, keep=(LABEL, SPLIT))
-    tuned = tune_trees(narrow, selected, trials, seed, space, parallelism=parallelism)
+    tuned = tune_boosted(narrow, selected, trials, seed, space)
     return {
         **out,
         "model_all": model_all,
@@ -111,6 +109,7 @@ def train_flow(
         "best_params": tuned.params,
         "best_valid_auc": tuned.valid_auc,
         "tuning_trials": tuned.trials,
+        "fitted_trials": tuned.fitted,
     }
 
 

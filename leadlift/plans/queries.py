@@ -7,6 +7,7 @@ queries. Computed doubles are rounded to six digits, so that summation order doe
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from leadlift.functions import draws
 from leadlift.functions.numeric import clip, contribution_column, fixed
-from leadlift.operators import encoding, explain, exports, metrics, models, ranking, splits
+from leadlift.operators import boosting, encoding, explain, exports, metrics, models, ranking, splits
 from leadlift.operators.columns import (
     attach_features,
     feature_columns,
@@ -23,7 +24,7 @@ from leadlift.operators.columns import (
     rows_of,
 )
 from leadlift.operators.labels import add_label, add_score, add_scorecard_probability
-from leadlift.operators.order_stats import rank_rows
+from leadlift.operators.order_stats import BUCKET, in_buckets, rank_rows
 from leadlift.plans import flows
 from leadlift.settings import (
     CATEGORICAL,
@@ -37,7 +38,7 @@ from leadlift.settings import (
     SCORECARD,
     TOP_K,
 )
-from leadlift.sources.customers import latest_channel, load_customers, order_history, read_input
+from leadlift.sources.customers import latest_channel, load_customers, order_history, order_history_on, read_input
 from leadlift.sources.model_store import load_model, save_model
 from leadlift.sources.staging import dropped, stage, staging_path
 from leadlift.sources.tables import read_csv, read_parquet, write_csv, write_parquet
@@ -499,6 +500,32 @@ def one_hot(spark, folder):
     )
 
 
+# Days inside the years of the orders.
+ASKED_DAYS = [date(1996, 3, 31), date(1998, 12, 31), date(2001, 6, 30)]
+
+
+@query
+def order_history_on_days(spark, folder):
+    """Point-in-time aggregates of every customer on three days."""
+    found = order_history_on(read_input(spark, folder, "orders"), read_input(spark, folder, "lineitem"), ASKED_DAYS)
+    return found.withColumn("as_of", F.date_format("as_of", "yyyy-MM-dd"))
+
+
+@query
+def customers_as_of(spark, folder):
+    """The recency features on one day in the past, and the newest event up to it."""
+    day = F.lit(ASKED_DAYS[1])
+    history = order_history(read_input(spark, folder, "orders"), read_input(spark, folder, "lineitem"), day)
+    newest = latest_channel(read_input(spark, folder, "events"), F.lit(date(2024, 1, 15)))
+    return (
+        read_input(spark, folder, "customer")
+        .select("c_custkey")
+        .join(history, F.col("c_custkey") == F.col("o_custkey"), "left")
+        .join(newest, F.col("c_custkey") == F.col("user_id"), "left")
+        .select("c_custkey", "first_order_age", "recent_orders", "recent_cents", "late_orders", "lines", "channel")
+    )
+
+
 # ---- fitted models (SQL checks only what does not depend on the fit) ----------------------------------------------
 
 
@@ -513,7 +540,7 @@ def full_results(spark: SparkSession, folder: str) -> flows.Results:
     """The full flow with its own defaults, run once per application and folder: its queries show different results."""
     key = (spark.sparkContext.applicationId, folder, dropped(spark))
     if key not in _flows:
-        _flows[key] = flows.full_flow(load_customers(spark, folder), parallelism=8)
+        _flows[key] = flows.full_flow(load_customers(spark, folder))
     return _flows[key]
 
 
@@ -593,13 +620,18 @@ def gbt_importance_totals(spark, folder):
 def gbt_scored_rows(spark, folder):
     """Keys and labels of the scored test rows, and whether their AUC is that of the rank formula."""
     scored = gbt_scored_test(spark, folder).select(KEY, LABEL, SCORE, "auc_on_test")
-    per_score = scored.groupBy(SCORE).agg(
-        F.sum(LABEL).alias("pos"), F.sum(1 - F.col(LABEL)).alias("neg"), F.max("auc_on_test").alias("known")
-    )
-    below = Window.partitionBy(F.lit(1)).orderBy(SCORE).rowsBetween(Window.unboundedPreceding, -1)
-    pairs = per_score.withColumn("less", F.coalesce(F.sum("neg").over(below), F.lit(0)))
-    won = F.sum(F.col("pos") * (F.col("less") + F.col("neg") / 2)) / (F.sum("pos") * F.sum("neg"))
-    agrees = pairs.agg(flag(F.abs(won - F.max("known")) < 1e-9).alias("agrees")).scalar()
+    per_score = scored.groupBy(SCORE).agg(F.sum(LABEL).alias("pos"), F.sum(1 - F.col(LABEL)).alias("neg"))
+    # ranges of scores are windows of their own, on top of the totals of the ranges before
+    tagged = in_buckets(per_score, [F.col(SCORE)])
+    totals = tagged.groupBy(BUCKET).agg(F.sum("neg").alias("_neg"))
+    before = Window.partitionBy(F.lit(1)).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(BUCKET, F.coalesce(F.sum("_neg").over(before), F.lit(0)).alias("_before"))
+    below = Window.partitionBy(BUCKET).orderBy(SCORE).rowsBetween(Window.unboundedPreceding, -1)
+    less = tagged.withColumn("_less", F.coalesce(F.sum("neg").over(below), F.lit(0))).join(offsets, BUCKET)
+    ahead = F.col("_less") + F.col("_before") + F.col("neg") / 2
+    won = F.sum(F.col("pos") * ahead) / (F.sum("pos") * F.sum("neg"))
+    known = scored.select(F.max("auc_on_test")).scalar()
+    agrees = less.agg(flag(F.abs(won - known) < 1e-9).alias("agrees")).scalar()
     return scored.select(KEY, LABEL, agrees.alias("auc_agrees"), flag(F.col(SCORE).between(0, 1)).alias("is_share"))
 
 
@@ -632,6 +664,34 @@ def gbt_trial_choice(spark, folder):
     )
 
 
+@query
+def gbt_prefix_choice(spark, folder):
+    """Whether each trial kept some of the trees it grew, and the best trial's AUC is that of its validation scores."""
+    results = full_results(spark, folder)
+    valid = splits.part(results["restricted"], "valid")
+    scored = stage(models.add_probability(results["model"], valid).select(LABEL, SCORE), "valid")
+    agrees = F.abs(metrics.roc_auc(scored).scalar() - F.lit(float(results["best_valid_auc"]))) < 1e-9
+    rows = [
+        (i + 1, int(1 <= len(b.model.trees) <= len(b.grown) <= b.params["maxIter"]))
+        for i, b in enumerate(results["fitted_trials"])
+    ]
+    table = spark.createDataFrame(rows, "trial int, kept_of_grown int")
+    return table.select("trial", "kept_of_grown", flag(agrees).alias("auc_agrees"))
+
+
+@query
+def gbt_missing_direction(spark, folder):
+    """Trees for a label that only says whether the age is missing: every row's score must lie on its label's side of
+    the middle of all scores."""
+    data = prepared(spark, folder)
+    hole = F.pmod(F.col(KEY), F.lit(5)) < 2
+    holed = stage(data.withColumn(LABEL, hole.cast("int")).withColumn("age", F.when(~hole, F.col("age"))), "holed")
+    model = boosting.fit_boosted(holed, ["age", "tenure_months", "region"], {"maxIter": 8, "maxDepth": 2})
+    test = stage(models.add_probability(model, splits.part(holed, "test")).select(KEY, LABEL, SCORE), "told")
+    middle = test.select((F.min(SCORE) + F.max(SCORE)) / 2).scalar()
+    return test.select(KEY, LABEL, flag((F.col(SCORE) > middle) == (F.col(LABEL) == 1)).alias("told"))
+
+
 @query
 def gbt_mean_abs_totals(spark, folder):
     """Whether mean contributions are those of the explained rows, largest first."""

@@ -69,6 +69,9 @@ TUNE_SPACE = {
     "minInfoGain": (0.0, 0.01),
     "patience": (20, 60),
 }
+# Own values for trees over histograms: the same, with a leaf penalty and noise on the gain of splits.
+BOOST_DEFAULTS = {**GBT_DEFAULTS, "l2": 3.0, "randomStrength": 1.0}
+BOOST_SPACE = {**TUNE_SPACE, "l2": (1.0, 12.0), "randomStrength": (0.0, 2.0)}
 
 # Column order of a metrics report.
 METRIC_COLUMNS = [

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import WindowSpec
 
 from leadlift.functions import draws
 from leadlift.functions.numeric import clip
@@ -41,7 +45,7 @@ def customer_table(
     events: DataFrame,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """One row per customer with ids, the 13 features, and contact columns.
+    """One row per customer with ids, the 13 features, and contact columns; with ``as_of`` nothing after that day counts.
 
     All joins are left joins from ``customer``, so no customer is lost, and each right side is unique on its key:
     Catalyst drops the joins whose columns a caller does not use. Nothing is hinted: Catalyst and AQE broadcast the
@@ -59,7 +63,7 @@ def customer_table(
         own_columns(customer)
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(order_history(orders, lineitem, as_of), F.col("c_custkey") == F.col("o_custkey"), "left")
-        .join(latest_channel(events), F.col("c_custkey") == F.col("user_id"), "left")
+        .join(latest_channel(events, as_of), F.col("c_custkey") == F.col("user_id"), "left")
     )
     return joined.select(
         "customer_id",
@@ -112,23 +116,29 @@ def own_columns(customer: DataFrame) -> DataFrame:
     )
 
 
+def order_lines(lineitem: DataFrame) -> DataFrame:
+    """Line items and returned ones per order."""
+    return lineitem.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("order_lines"),
+        F.count_if(F.col("l_returnflag") == "R").alias("order_returned"),
+    )
+
+
 def order_history(orders: DataFrame, lineitem: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Order and line-item aggregates per customer, as of a day: by default that of the newest order.
 
-    Line items shrink to two counts per order before they meet the orders, so the big table crosses the network as
-    partial counts, already partitioned on the join key; a second partial aggregate keyed by customer follows. Both
-    aggregates combine on the map side, so one customer or order holding a third of the rows stays a few rows per task.
+    Orders after the day count for nothing, nor do their line items. Line items shrink to two counts per order before
+    they meet the orders, so the big table crosses the network as partial counts, already partitioned on the join key; a
+    second partial aggregate keyed by customer follows. Both aggregates combine on the map side, so one customer or
+    order holding a third of the rows stays a few rows per task.
     """
-    lines = lineitem.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("order_lines"),
-        F.count_if(F.col("l_returnflag") == "R").alias("order_returned"),
-    )
     day = orders.select(F.max("o_orderdate")).scalar() if as_of is None else as_of
     age = F.col("order_age")
+    aged = orders.withColumn("order_age", F.datediff(day, F.col("o_orderdate")))
+    known = aged if as_of is None else aged.where(age >= 0)
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     return (
-        orders.withColumn("order_age", F.datediff(day, F.col("o_orderdate")))
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        known.join(order_lines(lineitem), F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .groupBy("o_custkey")
         .agg(
             F.max(age).alias("first_order_age"),
@@ -141,13 +151,61 @@ def order_history(orders: DataFrame, lineitem: DataFrame, as_of: Column | None =
     )
 
 
-def latest_channel(events: DataFrame) -> DataFrame:
-    """The type of each user's newest event, the larger event id among events of one time.
+def order_history_on(orders: DataFrame, lineitem: DataFrame, days: Sequence[date]) -> DataFrame:
+    """``order_history`` as of each of ``days``, in one pass: o_custkey, as_of, and the same aggregates.
+
+    Orders shrink to one row per customer and day. The asked days join them as rows of their own, and sums over the days
+    before, over ranges of days, are read there. A customer has at most as many rows as there are days, however many
+    orders. Customers have a row for a day once they have an order; orders without a date count for nothing.
+    """
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    per_day = (
+        orders.where("o_orderdate is not null")
+        .join(order_lines(lineitem), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .groupBy("o_custkey", F.unix_date(F.to_date("o_orderdate")).alias("day"))
+        .agg(
+            F.count(F.lit(1)).alias("orders"),
+            F.sum(cents).alias("cents"),
+            F.count_if(F.col("o_orderstatus") == "P").alias("late"),
+            F.sum("order_lines").alias("lines"),
+            F.sum("order_returned").alias("returned"),
+        )
+    )
+    amounts = ["orders", "cents", "late", "lines", "returned"]
+    asked = F.explode(F.array(*[F.lit(d.toordinal() - date(1970, 1, 1).toordinal()) for d in sorted(set(days))]))
+    nothing = [F.lit(None).cast("bigint").alias(a) for a in amounts]
+    questions = per_day.select("o_custkey").distinct().select("o_custkey", asked.alias("day"), *nothing, F.lit(True).alias("asked"))
+    both = per_day.select("o_custkey", "day", *amounts, F.lit(False).alias("asked")).unionByName(questions)
+
+    def within(last: int | None) -> WindowSpec:
+        start = Window.unboundedPreceding if last is None else 1 - last
+        return Window.partitionBy("o_custkey").orderBy("day").rangeBetween(start, Window.currentRow)
+
+    first = F.min(F.when(F.col("orders") > 0, F.col("day"))).over(within(None))
+    told = both.select(
+        "o_custkey",
+        "asked",
+        F.date_from_unix_date("day").alias("as_of"),
+        (F.col("day") - first).alias("first_order_age"),
+        F.coalesce(F.sum("orders").over(within(90)), F.lit(0)).alias("recent_orders"),
+        F.sum("cents").over(within(90)).alias("recent_cents"),
+        F.coalesce(F.sum("late").over(within(365)), F.lit(0)).alias("late_orders"),
+        F.sum("lines").over(within(None)).alias("lines"),
+        F.sum("returned").over(within(None)).alias("returned_lines"),
+    )
+    return told.where("asked and first_order_age is not null").drop("asked")
+
+
+def latest_channel(events: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The type of each user's newest event up to the day ``as_of``, the larger event id among events of one time.
 
     Time and id are packed in one fixed-width number, so the large table shrinks to one row per user and type in a
     hash aggregate; what is then ordered per user is as many rows as there are types. Events without a time come
-    first. Of equal events the type that comes first in the alphabet counts.
+    first; with a day they do not count, as nothing says that they came before it. Of equal events the type that comes
+    first in the alphabet counts.
     """
+    if as_of is not None:
+        events = events.where(F.datediff(as_of, F.col("ts")) >= 0)
     packed = F.expr(
         f"CAST(coalesce(unix_micros(CAST(ts AS TIMESTAMP)) + {FIRST_MICROS}L, 0L) AS DECIMAL(18, 0))"
         " * 10000000000000000000BD + CAST(coalesce(event_id, 0L) AS DECIMAL(19, 0))"

@@ -155,7 +155,9 @@ def test_as_of_day(spark, small):
     inputs = read_inputs(spark, small)
     newest = inputs["orders"].agg(F.max("o_orderdate").cast("date").cast("string")).first()[0]
     fixed_day = customer_table(**inputs, as_of=F.lit(newest).cast("date"))
-    assert sorted(fixed_day.collect()) == sorted(customer_table(**inputs).collect())
+    # all events are later than the newest order: on its day no channel is known yet
+    assert sorted(fixed_day.drop("channel").collect()) == sorted(customer_table(**inputs).drop("channel").collect())
+    assert {r[0] for r in fixed_day.select("channel").distinct().collect()} == {"NA"}
     years_later = customer_table(**inputs, as_of=F.date_add(F.lit(newest).cast("date"), 3000))
     assert years_later.agg(F.max("txn_count_3m")).first()[0] == 0
 
@@ -208,3 +210,37 @@ def test_beta_table_is_the_integral_of_the_density():
     whole, table = integral(1.0), beta_quantiles(a, b)
     for step in range(1, BETA_STEPS, 37):
         assert abs(integral(table[step]) / whole - step / BETA_STEPS) < 1e-6
+
+
+def test_nothing_after_the_day_counts(spark):
+    from datetime import date
+
+    from leadlift.sources.customers import order_history, order_history_on
+
+    orders = spark.createDataFrame(
+        [
+            (1, 7, "O", 10.0, "2020-01-20"),
+            (2, 7, "P", 1000.0, "2021-01-01"),
+            (3, 7, "P", 5.0, "2019-12-01"),
+            (4, 8, "P", 2.0, "2020-03-01"),
+            (5, 8, "P", 2.0, None),
+        ],
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, day string",
+    ).withColumn("o_orderdate", F.col("day").cast("timestamp"))
+    lineitem = spark.createDataFrame([(1, "R"), (2, "R"), (2, "N"), (3, "N")], "l_orderkey bigint, l_returnflag string")
+    day = date(2020, 2, 1)
+    names = ["o_custkey", "first_order_age", "recent_orders", "recent_cents", "late_orders", "lines", "returned_lines"]
+    expected = [(7, 62, 2, 1500, 1, 2, 1)]
+    assert [tuple(r) for r in order_history(orders, lineitem, F.lit(day)).select(*names).collect()] == expected
+    days = [day, date(2020, 1, 31), date(2020, 3, 1), date(2022, 1, 1), day]
+    found = order_history_on(orders, lineitem, days)
+    for d in sorted(set(days)):
+        one = sorted(map(tuple, order_history(orders.where("o_orderdate is not null"), lineitem, F.lit(d)).select(*names).collect()))
+        assert sorted(map(tuple, found.where(F.col("as_of") == d).select(*names).collect())) == one
+    assert order_history_on(orders.limit(0), lineitem, days).count() == 0
+
+    events = spark.createDataFrame(
+        [(1, 7, "2020-01-31 23:00:00", "view"), (2, 7, "2020-02-02 00:00:00", "buy"), (3, 9, None, "view")],
+        "event_id bigint, user_id bigint, at string, event_type string",
+    ).withColumn("ts", F.col("at").cast("timestamp"))
+    assert [tuple(r) for r in latest_channel(events, F.lit(day)).collect()] == [(7, "view")]

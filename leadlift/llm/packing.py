@@ -234,8 +234,9 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         items_of = {(row["size"], row["n"]): row["count"] for row in counted if not row["gap"]}
         if not items_of:
             break
+        # gaps below the smallest piece have no place in the round's plan, so the sweep drops them; no condition says so
+        # here, as its number would make every round's code a different one
         least = min(size // n for size, n in items_of)
-        gaps = gaps.where(F.col("size") >= least)
         room = {row["size"]: row["count"] for row in counted if row["gap"] and row["size"] >= least}
         if max(room, default=0) < min(size for size, _ in items_of):
             halved = to_halve(items_of, room)
@@ -265,7 +266,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             gaps = gaps.unionByName(
                 fresh.select(
                     F.lit(True).alias("gap"), "uid", "part", rest.alias("size"), F.lit(0).cast("bigint").alias("n")
-                ).where(F.col("size") >= least)
+                )
             )
             for size in sorted(waiting, reverse=True):
                 taken = min(opened, waiting[size])

@@ -32,7 +32,7 @@ from leadlift.sources.shipping import ship
 
 WORD_END = "</w>"
 MAX_PAIRS = 1_000_000  # remembered answers of the merges
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 250_000
 _CONTRACTIONS = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d"}
 _SPACE = re.compile(f"[{SPACES}]")
 
@@ -45,62 +45,78 @@ class PrefixTables:
         model = json.loads(content)["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         ended = {t[: -len(WORD_END)] for t in model["vocab"] if t.endswith(WORD_END)}
-        self.inner, self.final = {t for t in model["vocab"] if not t.endswith(WORD_END)}, ended
+        names = [t for t in model["vocab"] if not t.endswith(WORD_END)]
+        self.inner, self.final = {t: i + 1 for i, t in enumerate(names)}, {t: i for i, t in enumerate(ended)}
+        self.names = ["", *names]  # of inner tokens, by number; none before the first
+        self.width = 1 + max(len(names), len(ended))
         self.plain = BPE(model["vocab"], merges)
         self.ended = BPE(model["vocab"], merges, end_of_word_suffix=WORD_END)
-        self.longest = max(map(len, self.inner | self.final))
+        self.longest = max(map(len, [*self.inner, *self.final]))
         self.special = re.compile(
             "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)"
         )
-        # whether the merges leave two strings as the tokens they are, inside a word and at its end
-        self.inside: dict[tuple[str, str], bool] = {}
-        self.at_end: dict[tuple[str, str], bool] = {}
+        # whether the merges leave two tokens as they are, inside a word and at its end, by both tokens' numbers
+        self.inside: dict[int, bool] = {}
+        self.at_end: dict[int, bool] = {}
         self.words = Memo(lambda words: [self.word(w) for w in words], MEMO_ENTRIES)
         self.runs = Memo(self._runs, MEMO_ENTRIES)
 
-    def fits_inside(self, pair: tuple[str, str]) -> bool:
-        got = [t.value for t in self.plain.tokenize(pair[0] + pair[1])]
-        return self._keep(self.inside, pair, got == [t for t in pair if t])
+    def fits_inside(self, key: int, first: int, token: str) -> bool:
+        got = [t.value for t in self.plain.tokenize(self.names[first] + token)]
+        return self._keep(self.inside, key, got == [t for t in (self.names[first], token) if t])
 
-    def fits_at_end(self, pair: tuple[str, str]) -> bool:
-        got = [t.value for t in self.ended.tokenize(pair[0] + pair[1])]
-        return self._keep(self.at_end, pair, got == [t for t in (pair[0], pair[1] + WORD_END) if t])
+    def fits_at_end(self, key: int, first: int, token: str) -> bool:
+        got = [t.value for t in self.ended.tokenize(self.names[first] + token)]
+        return self._keep(self.at_end, key, got == [t for t in (self.names[first], token + WORD_END) if t])
 
     @staticmethod
-    def _keep(known: dict, pair: tuple[str, str], answer: bool) -> bool:
+    def _keep(known: dict, key: int, answer: bool) -> bool:
         if len(known) >= MAX_PAIRS:
             known.clear()
-        known[pair] = answer
+        known[key] = answer
         return answer
 
     def word(self, word: str) -> tuple[int, ...]:
-        """Tokens of each prefix of a word in byte characters, taken as a word of its own."""
-        inner, final, inside, at_end, longest = self.inner, self.final, self.inside, self.at_end, self.longest
-        counts, last, out = [0], [""], []
-        for k in range(1, len(word) + 1):
-            more = True
-            for j in range(k - longest if k > longest else 0, k):
-                token = word[j:k]
-                if more and token in final:
-                    pair = (last[j], token)
-                    fits = at_end.get(pair)
-                    if fits is None:
-                        fits = self.fits_at_end(pair)
-                    if fits:
-                        out.append(counts[j] + 1)
-                        more = False
-                        if len(counts) > k:
+        """Tokens of each prefix of a word in byte characters, taken as a word of its own.
+
+        Only one place can be where a prefix's last token begins. The likely ones are tried first: where the prefix
+        before has its last token or the one before that, and the prefix's last character alone.
+        """
+        inner, final, inside, at_end = self.inner, self.final, self.inside, self.at_end
+        longest, width = self.longest, self.width
+        counts, last, begin, out = [0], [0], [0], []
+        size = len(word)
+        for k in range(1, size + 1):
+            near = begin[k - 1]
+            likely = (near, k - 1, begin[near])
+            for places in (likely, range(k - 1, -1 if k < longest else k - longest - 1, -1)):
+                for j in places:
+                    token = final.get(word[j:k])
+                    if token is not None:
+                        key = last[j] * width + token
+                        fits = at_end.get(key)
+                        if self.fits_at_end(key, last[j], word[j:k]) if fits is None else fits:
+                            out.append(counts[j] + 1)
                             break
-                if len(counts) == k and token in inner:
-                    pair = (last[j], token)
-                    fits = inside.get(pair)
-                    if fits is None:
-                        fits = self.fits_inside(pair)
-                    if fits:
-                        counts.append(counts[j] + 1)
-                        last.append(token)
-                        if not more:
+                else:
+                    continue
+                break
+            if k == size:
+                break
+            for places in (likely, range(k - 1, -1 if k < longest else k - longest - 1, -1)):
+                for j in places:
+                    token = inner.get(word[j:k])
+                    if token is not None:
+                        key = last[j] * width + token
+                        fits = inside.get(key)
+                        if self.fits_inside(key, last[j], word[j:k]) if fits is None else fits:
+                            counts.append(counts[j] + 1)
+                            last.append(token)
+                            begin.append(j)
                             break
+                else:
+                    continue
+                break
         return tuple(out)
 
     def extend(self, out: list[int], word: str, shown: str, tables: dict) -> None:
@@ -161,13 +177,15 @@ class PrefixTables:
         tables = self.words.prepare({b for words in split if words is not None for _, b in words})
         found = []
         for run, words in zip(runs, split, strict=True):
-            if words is not None:
+            if words is None:
+                found.append(None)  # these ask the words' memo again, which may drop what the others still need
+            elif len(words) == 1 and run.isalpha() and run.isascii():
+                found.append(array("i", tables[words[0][1]]).tobytes())
+            else:
                 out: list[int] = []
                 for word, bytes_ in words:
                     self.extend(out, word, bytes_, tables)
                 found.append(array("i", out).tobytes())
-            else:
-                found.append(None)
         return [
             array("i", self.special_run(run)).tobytes() if table is None else table
             for run, table in zip(runs, found, strict=True)

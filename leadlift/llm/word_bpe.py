@@ -9,16 +9,15 @@ whole; below, the library's pattern and normalisation are what the expressions h
 from __future__ import annotations
 
 import re
+from array import array
 
-import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from leadlift.llm.arrow_rows import Memo
-
 # the characters that the tokenizers' \s matches; Python's also matches U+001C..U+001F
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPECIAL_START = "<|"
+MEMO_ENTRIES, LONG_KEY = 300_000, 64
 _SPACE = re.compile(f"[{SPACES}]+")
 _CONTROL = re.compile("[\x1c-\x1f]")
 # beyond U+024F, or where lower case is longer, the library normalises
@@ -58,41 +57,60 @@ def runs_of(text: str) -> list[str]:
 
 def plain_words(run: str) -> list[str] | None:
     """The words of a run, lower-cased; None if the library has to find them."""
+    if run.isascii() and run.isalpha():
+        return [run.lower()]
     if SPECIAL_START in run or is_wide(run):
         return None
     return _WORDS.findall(run.lower())
 
 
+class Remembered(dict):
+    """Values by key, worked out when first asked for; two generations of at most ``entries`` keys.
+
+    Keys beyond ``LONG_KEY`` characters are not kept, so memory stays bounded.
+    """
+
+    def __init__(self, compute, entries: int = MEMO_ENTRIES):
+        super().__init__()
+        self.compute, self.entries, self.old = compute, entries, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= LONG_KEY:
+            if len(self) >= self.entries:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class IdMemo:
-    """Memo from a run to its ids as little-endian unsigned 32-bit bytes.
+    """The ids of texts as little-endian unsigned 32-bit bytes, run by run.
 
     ``cut`` gives a text's runs, ``words`` a run's words or None where the library must encode the run as a whole.
     """
 
     def __init__(self, tokenizer: Tokenizer, cut, words):
         self.tokenizer, self.cut, self.split = tokenizer, cut, words
-        self.model = tokenizer.model
-        self.runs, self.words = Memo(self._runs), Memo(self._words)
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        encode = self.model.tokenize
-        return [np.asarray([t.id for t in encode(show_bytes(w))], dtype="<u4").tobytes() for w in words]
-
-    def _runs(self, runs: list[str]) -> list[bytes]:
-        split = [self.split(run) for run in runs]
-        memo = self.words.prepare(set().union(*(words for words in split if words is not None)))
-        whole = [run for run, words in zip(runs, split, strict=True) if words is None]
-        encoded = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False) if whole else ())
-        return [
-            np.asarray(next(encoded).ids, dtype="<u4").tobytes() if words is None else b"".join([memo[w] for w in words])
-            for words in split
-        ]
+        self.tokenize = tokenizer.model.tokenize
+        self.words, self.runs = Remembered(self._word), Remembered(self._run)
+
+    def _word(self, word: str) -> bytes:
+        shown = word if word.isalpha() and word.isascii() else show_bytes(word)
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+
+    def _run(self, run: str) -> bytes:
+        words = self.split(run)
+        if words is None:
+            return array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.words.__getitem__, words))
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
-        runs = [self.cut(text) for text in texts]
-        memo = self.runs.prepare(set().union(*runs))
-        return [b"".join([memo[r] for r in own]) for own in runs]
+        ids = self.runs.__getitem__
+        return [b"".join(map(ids, self.cut(text))) for text in texts]
 
 
 def word_end_ids(content: bytes) -> IdMemo:

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from dataclasses import dataclass
 
 import pandas as pd
@@ -58,7 +59,9 @@ def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
 def record_paths(value, at: str = "") -> set[str]:
     """Paths of a JSON value's leaves; an empty list or null counts as a leaf."""
     if isinstance(value, dict) and value:
-        return set().union(*(record_paths(v, f"{at}.{k}" if at else k) for k, v in value.items()))
+        # marks of paths inside a key are escaped, so that no key looks like a list or a record
+        parts = {k: re.sub(r"[\\.\[\]]", r"\\\g<0>", k) for k in value}
+        return set().union(*(record_paths(v, f"{at}.{parts[k]}" if at else parts[k]) for k, v in value.items()))
     if isinstance(value, list) and value:
         return set().union(*(record_paths(v, f"{at}[]") for v in value))
     return {at}

@@ -25,6 +25,8 @@ SHARD_ROWS = 8192
 BLOCK_ROWS = 2048
 LEAF_ROWS = 256
 FACTOR = 0.5
+MARGIN = 1e-6  # of the longest vector: more than distances are rounded by
+PAIRS_AT_ONCE = 500_000
 FOUND = "query_id bigint, vec_id bigint, score double"
 
 
@@ -79,6 +81,24 @@ class Tree:
         visit(self.root, np.arange(len(queries)))
         return best, rows
 
+    def within(self, queries: np.ndarray, reach: np.ndarray, factor: float):
+        """(query numbers, row numbers) of all rows found no farther than ``reach`` from each query, leaf by leaf."""
+        waiting = [(self.root, np.arange(len(queries)))]
+        while waiting:
+            node, who = waiting.pop()
+            if not len(who):
+                continue
+            if isinstance(node, np.ndarray):
+                points = self.points[node]
+                square = (points**2).sum(1)[None, :] - 2 * queries[who] @ points.T + (queries[who] ** 2).sum(1)[:, None]
+                at, row = np.nonzero(square <= (reach[who] ** 2)[:, None])
+                yield who[at], node[row]
+                continue
+            centre, border, near, far = node
+            away = np.sqrt(((queries[who] - centre) ** 2).sum(1))
+            waiting.append((near, who[(away <= border) | (away - border <= factor * reach[who])]))
+            waiting.append((far, who[(away > border) | (border - away <= factor * reach[who])]))
+
 
 def lengthened(points: np.ndarray, length: float) -> np.ndarray:
     """Points with one more coordinate that brings each to ``length``."""
@@ -96,13 +116,31 @@ def search_shard(queries, points, query_ids, point_ids, k: int, factor: float):
     points, point_ids = points[order], point_ids[order]
     tree = Tree(lengthened(points, length))
     flat = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)
-    # one more for the query's own row
-    _, rows = tree.search(flat, min(k + 1, len(points)), factor)
-    at = np.repeat(np.arange(len(queries)), rows.shape[1])
-    rows = rows.ravel()
-    keep = (rows >= 0) & (point_ids[rows] != query_ids[at])
-    at, rows = at[keep], rows[keep]
-    scores = np.einsum("ij,ij->i", queries[at], points[rows])
+    # one more for the query's own row; rounded distances say how far to look, exact scores who is nearer
+    away, _ = tree.search(flat, min(k + 1, len(points)), factor)
+    reach = away[:, -1] + MARGIN * length
+    held, size = [], 0
+
+    def best_of(parts):
+        at, rows, scores = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        order = np.lexsort((rows, -scores, at))  # rows are in the order of their ids
+        at = at[order]
+        firsts = np.flatnonzero(np.diff(at, prepend=-1))
+        place = np.arange(len(at)) - np.repeat(firsts, np.diff(np.append(firsts, len(at))))
+        order = order[place < k]
+        return np.concatenate([p[0] for p in parts])[order], rows[order], scores[order]
+
+    for at, rows in tree.within(flat, reach, factor):
+        other = point_ids[rows] != query_ids[at]
+        at, rows = at[other], rows[other]
+        for start in range(0, len(at), PAIRS_AT_ONCE):
+            some = slice(start, start + PAIRS_AT_ONCE)
+            held.append((at[some], rows[some], (queries[at[some]] * points[rows[some]]).sum(axis=1)))
+            size += len(at[some])
+            if size > 4 * PAIRS_AT_ONCE:  # ties may be any number; only the first of them are kept
+                held = [best_of(held)]
+                size = len(held[0][0])
+    at, rows, scores = best_of(held) if held else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
     return query_ids[at], point_ids[rows], scores
 
 
@@ -128,7 +166,12 @@ def nearest(
         usable(F.col("embedding")) & F.col("vec_id").isNotNull()
     )
     kept = stage(usable_rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
-    rows, asking = kept.agg(F.count(F.lit(1)), F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
+    length = F.size("embedding")
+    rows, asking, least, most = kept.agg(
+        F.count(F.lit(1)), F.count(F.when(F.col("vec_id") % every == 0, 1)), F.min(length), F.max(length)
+    ).first()
+    if least != most:
+        raise ValueError(f"vectors have between {least} and {most} components; all must have one length")
     shards, blocks = max(1, -(-rows // shard_rows)), max(1, -(-asking // BLOCK_ROWS))
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards))
     block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks))

@@ -281,3 +281,35 @@ def test_pages_that_share_their_article_keep_it(spark):
             assert got[i] == f"Head {i}\nBy us\n{shared}\nBuy"
         for i in range(9):
             assert got[100 + i] == f"Head {i}\nOwn text of {i}"
+
+
+def test_vantage_ties_and_lengths(spark):
+    """At factor one the result is that of brute force, equal scores across the last place included."""
+    import numpy as np
+
+    from leadlift.llm.vantage import nearest
+
+    draw = np.random.default_rng(6)
+    small = draw.integers(-1, 2, (900, 4)).astype(float)
+    rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(small) if v.any()]
+    rows += [(2000 + i, [1.0, 1.0, 0.0, 0.0]) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    found = {}
+    for r in nearest(df, k=7, every=20, factor=1.0, shard_rows=600).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    points = dict(rows)
+    for q, got in found.items():
+        scores = sorted(((-sum(a * b for a, b in zip(points[q], v)), i) for i, v in rows if i != q))[:7]
+        assert sorted(got) == [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    assert set(found) == {i for i, _ in rows if i % 20 == 0}
+    mixed = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(ValueError):
+        nearest(mixed)
+
+
+def test_keys_that_look_like_paths():
+    from leadlift.llm.chat import canonical
+
+    for record in ('{"messages[]": {"role": "user", "content": "q"}}', '{"messages[].role": 1, "messages[].content": 2}'):
+        assert canonical(record)[1] is None
+    assert canonical('{"messages": [{"role": "user", "content": "q"}]}')[1] == [{"turn": 0, "role": "user", "text": "q"}]

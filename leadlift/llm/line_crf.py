@@ -6,12 +6,13 @@ the mean probability of its lines to be good (forward-backward marginals), weigh
 probability by a logistic curve.
 
 The model is fitted on the driver from a bounded sample of labelled documents: at most ``SAMPLE_DOCS`` per label, chosen
-by a hash of their id, of which at most ``SAMPLE_LINES`` lines each are looked at. It has about a hundred numbers and
+by a hash of their id, of which a window of at most ``SAMPLE_LINES`` lines each is looked at. It has about a hundred numbers and
 goes to the executors with the job; every document is scored where it lies, over all its lines.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from operator import eq
 
@@ -281,14 +282,24 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % HELD_OUT_MOD == 0
 
 
+def window(doc_id: int, lines: int) -> slice:
+    """The lines of a labelled text that are learnt from: all, or ``SAMPLE_LINES`` in a row from a place by the id."""
+    start = zlib.crc32(str(doc_id).encode()) % max(1, lines - SAMPLE_LINES + 1)
+    return slice(start, start + SAMPLE_LINES)
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Model from ``labels(doc_id, quality, ..)`` of documents that are not held out.
 
-    Labels other than 0 and 1 and those without document are ignored; repeated rows count each time.
+    Labels other than 0 and 1 and those without a row in ``docs`` are ignored, before any are picked. Repeated labels
+    count once; of rows with one doc_id the smallest text counts. Features are those of whole texts; of a text with more
+    than ``SAMPLE_LINES`` lines a window of that many is learnt from, which begins anywhere, by the hash of its id.
     """
     ship(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+    known = known.distinct().join(ids, "doc_id", "left_semi")
     counts = {row["quality"]: row["count"] for row in known.groupBy("quality").count().collect()}
     if len(counts) < 2:
         return None
@@ -296,17 +307,23 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     picked = [
         known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS) for q in (0, 1)
     ]
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
-        F.broadcast(picked[0].unionByName(picked[1])), "doc_id"
+    texts = (
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+        .join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+        .groupBy("doc_id", "quality")
+        .agg(F.min("text").alias("text"))
     )
 
     def features(batches):
         for batch in batches:
             for start, end, found in text_slices(batch):
-                cut = [lines_of(t)[:SAMPLE_LINES] for t in found]
-                rows = line_features(cut)
-                ends = np.cumsum([len(c) for c in cut])
-                parts = np.split(rows, ends[:-1])
+                whole = [lines_of(t) for t in found]
+                rows = line_features(whole)
+                ends = np.cumsum([len(c) for c in whole])
+                ids = batch.column(2).slice(start, end - start).to_pylist()
+                windows = [window(i, len(c)) for i, c in zip(ids, whole, strict=True)]
+                parts = [p[w] for p, w in zip(np.split(rows, ends[:-1]), windows, strict=True)]
+                cut = [c[w] for c, w in zip(whole, windows, strict=True)]
                 lengths = [[float(max(1, len(line.strip()))) for line in c] for c in cut]
                 yield pa.RecordBatch.from_arrays(
                     [

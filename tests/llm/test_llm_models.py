@@ -313,3 +313,23 @@ def test_keys_that_look_like_paths():
     for record in ('{"messages[]": {"role": "user", "content": "q"}}', '{"messages[].role": 1, "messages[].content": 2}'):
         assert canonical(record)[1] is None
     assert canonical('{"messages": [{"role": "user", "content": "q"}]}')[1] == [{"turn": 0, "role": "user", "text": "q"}]
+
+
+def test_classifier_learns_from_all_of_long_texts(spark):
+    """Texts whose bad lines all come after line 200, repeated ids, and labels of documents that are not there."""
+    from leadlift.llm import line_crf
+
+    good, bad = "A plain line of words that reads well enough.", "$$$ 1234 !!! ### click click $$$"
+    assert {line_crf.window(i, 1000).start > 200 for i in range(50)} == {True, False}
+    assert line_crf.window(3, 5) == slice(0, line_crf.SAMPLE_LINES)
+    rows, labels = [], []
+    for i in range(120):
+        lines = [good] * 220 + [bad if i % 2 else good] * 900
+        rows.append((i, "\n".join(lines)))
+        labels.append((i, 1 - i % 2))
+    rows += [rows[1]] * 30
+    labels += [labels[0]] * 20 + [(10_000 + i, 0) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    told = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    scores = {r.doc_id: r.score for r in line_crf.quality(docs, told).collect()}
+    assert min(scores[i] for i in range(0, 120, 2)) > max(scores[i] for i in range(1, 120, 2))

@@ -1,4 +1,4 @@
-"""Scaling and category encoding as Spark ML stages, and as plain columns where a table is wanted."""
+"""Scaling and category encoding: Spark ML stages for models that are saved, plain joins where a table is wanted."""
 
 from __future__ import annotations
 
@@ -16,9 +16,11 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadlift.operators.categories import dictionaries, looked_up, sizes
+
 # Category orders of StringIndexer.
 ALPHABETIC = "alphabetAsc"
 BY_FREQUENCY = "frequencyDesc"
@@ -98,16 +100,23 @@ def standard_scaled(df: DataFrame, train: DataFrame, numeric: list[str]) -> Data
 def string_indexed(
     df: DataFrame, train: DataFrame, categorical: list[str], order: str = BY_FREQUENCY
 ) -> DataFrame:
-    """Add ``<column>__idx``, the category's number in the training dictionary."""
-    return fit_stages(index_stages(categorical, order), train).transform(df)
+    """Add ``<column>__idx``, the category's number in the training dictionary; other values, and none, get the number
+    of categories. The dictionary stays a table, whatever its size."""
+    table = dictionaries(train, categorical, order == BY_FREQUENCY)
+    for c in categorical:
+        df = looked_up(df, table, c, {index_name(c): F.col("number")})
+        df = df.withColumn(index_name(c), F.coalesce(index_name(c), sizes(table, c)).cast("double"))
+    return df
 
 
 def one_hot_encoded(df: DataFrame, train: DataFrame, categorical: list[str]) -> DataFrame:
     """Add ``<column>__slots`` as an array of 0/1, one slot per training category in alphabetic order."""
-    encoded = fit_stages(one_hot_stages(categorical), train).transform(df)
-    slots = {slots_name(c): _as_ints(F.col(slots_name(c))) for c in categorical}
-    return encoded.withColumns(slots).drop(*[index_name(c) for c in categorical])
-
-
-def _as_ints(vector: Column) -> Column:
-    return vector_to_array(vector).cast("array<int>")
+    table = dictionaries(train, categorical, by_frequency=False)
+    for c in categorical:
+        df = looked_up(df, table, c, {slots_name(c): F.col("number")})
+        # the array's length comes first: no subquery may stand inside the function over its places
+        df = df.withColumn("_empty", F.array_repeat(F.lit(0), sizes(table, c).cast("int")))
+        number = F.col(slots_name(c))
+        slots = F.transform("_empty", lambda _, i: F.coalesce((i == number).cast("int"), F.lit(0)))
+        df = df.withColumn(slots_name(c), slots).drop("_empty")
+    return df

@@ -343,6 +343,19 @@ def frequency_number(column: str) -> str:
       FROM (SELECT {column} AS category, count(*) AS n FROM train GROUP BY {column}) AS c)"""
 
 
+def ordered_target(column: str) -> str:
+    window = (
+        f"(PARTITION BY {column} ORDER BY {u('target', '(customer_id - 100000)')}, customer_id "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    )
+    return f"(coalesce(sum(applied_cc) OVER {window}, 0) + 0.5e0) / (count(*) OVER {window} + 1e0)"
+
+
+def total_target(column: str) -> str:
+    same = f"FROM train AS t WHERE t.{column} IS NOT DISTINCT FROM s.{column}"
+    return f"((SELECT coalesce(sum(t.applied_cc), 0) {same}) + 0.5e0) / ((SELECT count(*) {same}) + 1e0)"
+
+
 def slots(column: str) -> str:
     return (
         f"array_to_string(list_transform((SELECT list(DISTINCT {column} ORDER BY {column}) FROM train), "
@@ -496,6 +509,11 @@ def queries_sql() -> dict[str, str]:
                 for c in CATEGORICAL)}
             FROM splitted {' '.join(f"LEFT JOIN {frequency_number(c)} AS {c}_numbers ON {c} = {c}_numbers.category"
                                     for c in CATEGORICAL)}""",
+        "target_statistics": f"""{SPLIT}
+            SELECT customer_id, split, {", ".join(r6(ordered_target(c), f"{c}__target") for c in CATEGORICAL)} FROM train
+            UNION ALL
+            SELECT customer_id, split, {", ".join(r6(total_target(c), f"{c}__target") for c in CATEGORICAL)}
+            FROM splitted AS s WHERE split = 'test'""",
         "lr_report_totals": f"""{THREE_WAY}
             SELECT label, count(*) AS n, {r6('avg(applied_cc)', 'pos_rate')}, sum(applied_cc)::BIGINT AS positives,
                    sum(1 - applied_cc)::BIGINT AS negatives

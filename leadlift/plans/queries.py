@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from leadlift.functions import draws
 from leadlift.functions.numeric import clip, contribution_column, fixed
-from leadlift.operators import boosting, encoding, explain, exports, metrics, models, ranking, splits
+from leadlift.operators import boosting, categories, encoding, explain, exports, metrics, models, ranking, splits
 from leadlift.operators.columns import (
     attach_features,
     feature_columns,
@@ -474,14 +474,8 @@ def standard_scaled(spark, folder):
 def category_dictionary(spark, folder):
     """Distinct training categories in alphabetic order, with their numbers."""
     train = splits.part(staged_split(spark, folder, *CATEGORICAL), "train")
-    indexed = encoding.string_indexed(train, train, CATEGORICAL, encoding.ALPHABETIC)
-    per_column = [
-        indexed.groupBy(F.lit(c).alias("feature"), F.col(c).alias("category")).agg(
-            F.first(encoding.index_name(c)).cast("int").alias("number"), F.count(F.lit(1)).alias("n")
-        )
-        for c in CATEGORICAL
-    ]
-    return per_column[0].unionByName(per_column[1])
+    table = categories.dictionaries(train, CATEGORICAL, by_frequency=False)
+    return table.select("feature", "category", F.col("number").cast("int"), "n")
 
 
 @query
@@ -491,6 +485,16 @@ def string_index(spark, folder):
     return indexed.select(KEY, *[F.col(encoding.index_name(c)).cast("int").alias(f"{c}_index") for c in CATEGORICAL])
 
 
+@query
+def target_statistics(spark, folder):
+    """Ordered target statistics of the training rows, and totals of all training rows for the test rows."""
+    split = staged_split(spark, folder, *CATEGORICAL).select(KEY, LABEL, splits.SPLIT, *CATEGORICAL)
+    train, test = splits.part(split, "train"), splits.part(split, "test")
+    ordered = categories.ordered_target_statistics(train, CATEGORICAL)
+    totals = categories.with_target_totals(test, categories.target_totals(train, CATEGORICAL), CATEGORICAL)
+    return rounded(ordered.unionByName(totals).drop(LABEL, *CATEGORICAL))
+
+
 @query
 def one_hot(spark, folder):
     split = staged_split(spark, folder, *CATEGORICAL)

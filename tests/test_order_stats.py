@@ -1,14 +1,16 @@
 """Ranks, cut-offs, deciles and splits against plain sorting, with many small buckets and heavy ties."""
 
+import math
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from leadlift.operators import metrics, ranking, splits
+from leadlift.operators import metrics, order_stats, ranking, splits
 from leadlift.operators.order_stats import BUCKET, MAX_GROUPS, group_counts, in_buckets, keys_at_ranks, rank_rows
 
 
@@ -222,3 +224,33 @@ def test_bernoulli_split_is_map_only(spark):
     result = splits.add_bernoulli_split(df, 0.25)
     assert 190 <= result.where("split = 'test'").count() <= 310
     assert "Exchange" not in result._jdf.queryExecution().executedPlan().toString()
+
+
+def looked_up_ranks(spark, rows, schema, wanted, by=None):
+    df = spark.createDataFrame(rows, schema)
+    return keys_at_ranks(df, "v", "k", wanted, by=by, rows_per_bucket=50)
+
+
+@pytest.mark.parametrize("few", [1, 20])
+def test_crowded_ranks_need_no_order_of_rows(spark, monkeypatch, few):
+    """Scores within 1e-6 of each other, and one value for half of the rows: passes narrow both down."""
+    monkeypatch.setattr(order_stats, "FEW_ROWS", few)
+    monkeypatch.setattr(order_stats, "rank_rows", lambda *_, **__: pytest.fail("rows were ordered"))
+    rng = np.random.default_rng(3)
+    rows = [(int(k), 0.5 if i % 2 else 0.5 + float(rng.random()) * 1e-6) for i, k in enumerate(rng.permutation(3000))]
+    wanted = [1, 2, 700, 1500, 1501, 2999, 3000]
+    found = looked_up_ranks(spark, rows, "k bigint, v double", {0: wanted})
+    ordered = sorted((v, k) for k, v in rows)
+    assert found == {(0, r): ordered[r - 1] for r in wanted}
+
+
+def test_odd_values_and_text_keys_are_ordered(spark, monkeypatch):
+    monkeypatch.setattr(order_stats, "FEW_ROWS", 3)
+    values = [-math.inf, -1e308, -5e-324, 0.0, 5e-324, 0.25, 1.0, 7.0, 1e308, math.inf]
+    rows = [(f"k{i:03d}", values[i % 10], i % 3) for i in range(300)]
+    wanted = {g: list(range(1, 101, 9)) for g in range(3)}
+    found = looked_up_ranks(spark, rows, "k string, v double, g int", wanted, by="g")
+    for g in range(3):
+        ordered = sorted((v, k) for k, v, own in rows if own == g)
+        assert {r: found[g, r] for r in wanted[g]} == {r: ordered[r - 1] for r in wanted[g]}
+    assert looked_up_ranks(spark, rows, "k string, v double, g int", {0: [301]}) == {}

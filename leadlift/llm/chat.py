@@ -39,6 +39,8 @@ HEAD, END = "### ", "</turn>\n"
 ASSISTANT = "assistant"
 # names that other layouts use for the canonical roles
 ROLES = {"human": "user", "prompter": "user", "gpt": ASSISTANT, "bot": ASSISTANT, "model": ASSISTANT}
+# roles, in lower case, whose texts are learnt
+SPEAKING = [ASSISTANT, *(name for name, role in ROLES.items() if role == ASSISTANT)]
 TURN = "struct<turn:bigint,role:string,text:string>"
 
 
@@ -147,18 +149,14 @@ def turns_of_rows(rows: DataFrame) -> DataFrame:
 
     Only those four columns take part in the fingerprint; others are left out. Turns are in the order of their number;
     rows with one number (or none, which come first) are in the order of role, then text, and repeated rows all stay.
-    A null text or role counts as empty. A conversation becomes one row, so it has to fit in a task. Rows without
+    A null text or role counts as empty; roles stay as they are written. A conversation becomes one row, so it has to fit in a task. Rows without
     conv_id belong to no conversation: each is one of its own without id (equal ones together).
     """
     needed = rows.select(*[c for c in rows.columns if c in ROWS_BY_TURN.paths])
     if fingerprint(schema_paths(needed.schema)) != ROWS_BY_TURN.fingerprint:
         raise ValueError(f"no mapping for columns {rows.columns}")
-    name = F.lower(F.coalesce("role", F.lit("")))
-    known = F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
-    role = F.coalesce(F.get(F.array(known), F.lit(0))[name], F.coalesce("role", F.lit("")))
-    turn = F.struct(
-        F.col("turn").cast("bigint").alias("turn"), role.alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    )
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    turn = F.struct(F.col("turn").cast("bigint").alias("turn"), role.alias("role"), text.alias("text"))
     alone = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text"))
     return (
         needed.groupBy(F.col("conv_id").cast("bigint").alias("conv_id"), alone.alias("_alone"))
@@ -191,7 +189,7 @@ def format_turns(conversations: DataFrame) -> DataFrame:
         return F.transform(
             turns,
             lambda t: F.struct(
-                (t["role"] == ASSISTANT).alias("learn"),
+                F.lower(t["role"]).isin(*SPEAKING).alias("learn"),
                 F.concat(F.lit(HEAD), F.replace(escape(t["role"]), F.lit("\n"), F.lit("\\n")), F.lit("\n")).alias("head"),
                 escape(t["text"]).alias("body"),
             ),

@@ -242,7 +242,7 @@ def test_main_text_of_the_table(spark, medium):
 def test_a_common_host_keeps_articles_it_repeats(spark):
     pages = [(i, "http://h.example/", PAGE.format(n=i if i % 3 else 0, box="b", same="s")) for i in range(30)]
     table = spark.createDataFrame(pages, "page_id bigint, url string, html string")
-    tree = site_style.style_tree(table).where(F.col("path").endswith("article/p")).first()
+    tree = site_style.style_tree(table).where(F.col("place").endswith("article/p")).first()
     assert tree["pages"] == 30
     texts = [r["text"] for r in site_style.extract_main_text(table).collect()]
     assert all(t.startswith("Head") and "Second" in t for t in texts)
@@ -278,11 +278,77 @@ def test_pages_that_share_their_article_keep_it(spark):
         got = {r["page_id"]: r["text"] for r in site_style.extract_main_text(table).collect()}
         shared = "The first of two long paragraphs of the agency.\nThe second one, on every page."
         for i in range(30):
-            assert got[i] == f"Head {i}\nBy us\n{shared}\nBuy"
+            assert got[i] == f"Head {i}\nBy us\n{shared}"
         for i in range(9):
             assert got[100 + i] == f"Head {i}\nOwn text of {i}"
 
 
+def test_names_of_ancestors_do_not_count(spark):
+    text = "<h1>Head {n}</h1><p>Text of {n}, as long as it is.</p>"
+    bodies = [
+        f'<div class="content has-sidebar"><article>{text}</article></div>',
+        f'<div class="layout nav-open"><main>{text}</main></div>',
+        f'<article>{text}<p class="search-result">Found {{n}}</p></article>',
+        f'<article>{text}<section id="related-work"><p>Work {{n}}</p></section></article>',
+        f'<div class="menu"><article>{text}<div class="comments"><p>Reader {{n}}</p></div></article></div>',
+        f'<form id="page"><div class="nav">Menu {{n}}</div><article>{text}<div class="ad">Buy {{n}}</div></article></form>',
+    ]
+    more = ["", "", "\nFound {n}", "\nWork {n}", "", ""]
+    for pages_of_host in (1, 9):
+        pages = [
+            (100 * k + n, f"http://h{k}.example/{n}", body.format(n=n))
+            for k, body in enumerate(bodies)
+            for n in range(pages_of_host)
+        ]
+        table = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+        got = {r["page_id"]: r["text"] for r in site_style.extract_main_text(table).collect()}
+        for k, rest in enumerate(more):
+            for n in range(pages_of_host):
+                assert got[100 * k + n] == f"Head {n}\nText of {n}, as long as it is." + rest.format(n=n)
+
+
+def test_the_tree_finds_articles_without_telling_names(spark, medium):
+    """The given pages with their telling tags written as plain boxes, classes and roles taken off."""
+    import re
+    from collections import Counter
+
+    pages = spark.read.parquet(f"{medium}/pages.parquet")
+    expected = {r["page_id"]: r["text"] for r in site_style.extract_main_text(pages).collect()}
+    plain = F.regexp_replace("html", "<(/?)(?:article|nav|footer|aside|header|main)\\b[^>]*>", "<$1div>")
+    plain = F.regexp_replace(plain, " (?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|[^\\s>]+)", "")
+    rows = site_style.extract_main_text(pages.withColumn("html", plain)).collect()
+    right = said = wanted = 0
+    for row in rows:
+        found, words = Counter(re.findall(r"\S+", row["text"])), Counter(re.findall(r"\S+", expected[row["page_id"]]))
+        right += sum((found & words).values())
+        said += sum(found.values())
+        wanted += sum(words.values())
+    assert right / said > 0.97 and right / wanted > 0.97
+
+
+def test_long_broken_pages_take_time_in_proportion():
+    import time
+
+    started = time.process_time()
+    for page in ("<div>x" * 150_000, "<p><article>" + "<div>" * 60_000 + "<p></p>" * 60_000, "<ul><li>" * 60_000 + "y"):
+        read = site_style.Page(page)
+        assert site_style.main_text(read, set()).replace("\n", "") in ("x" * 150_000, "", "y")
+        assert len(site_style.statistics(read)) < 500_000
+    assert time.process_time() - started < 30
+
+
+def test_importance_is_that_of_a_plain_computation(spark):
+    import math
+
+    pages = [(n, "http://h.example/", f"<div class=a>Same</div><div class=b>T of {n % 4}</div><p>Par {n}</p>") for n in range(8)]
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r["place"]: r["importance"] for r in site_style.style_tree(table).collect()}
+    # distinct pages: 8; the text of b is one of 4, each on two pages
+    assert got["div.a"] == pytest.approx(0.0)
+    assert got["div.b"] == pytest.approx(0.9 * (1 - math.log(2) / math.log(8)))
+    assert got["p"] == pytest.approx(0.9)
+
+
 def test_vantage_ties_and_lengths(spark):
     """At factor one the result is that of brute force, equal scores across the last place included."""
     import numpy as np

@@ -196,22 +196,25 @@ class Page:
             self.holds_main[up] |= self.holds_main[i] or self.tags[i] == "main"
         self.paths = [0] * count
         for i in range(count):
-            containers = [c for c in self.children[i] if self.is_container(c)]
-            layout = " ".join([self.kinds[c] for c in containers]) if len(containers) <= LAID_OUT else ""
-            place = 0
+            if not self.children[i]:
+                continue
+            containers = [self.kinds[c] for c in self.children[i] if self.tags[c] not in TEXT_LEVEL]
+            layout = " ".join(containers) if len(containers) <= LAID_OUT else ""
+            place, inside = 0, self.in_main[i] or self.tags[i] == "main"
+            hashes: dict[str, int] = {}
             for c in self.children[i]:
-                # containers without a name are told apart by their place in their parent's layout
-                here = ""
-                if layout and self.kinds[c] in NAMELESS:
-                    here = f"@{place} {layout}"
-                place += self.is_container(c)
-                self.paths[c] = _hash(f"{self.paths[i]}/{self.kinds[c]}{here}")
-                self.in_main[c] = self.in_main[i] or self.tags[i] == "main"
-                if self.holds_main[c] and self.priors[c] < 1:
-                    self.priors[c] = 1.0  # what it says of itself is not said of the article
-
-    def is_container(self, element: int) -> bool:
-        return self.tags[element] not in TEXT_LEVEL
+                step = self.kinds[c]
+                if self.tags[c] not in TEXT_LEVEL:
+                    # containers without a name are told apart by their place in their parent's layout
+                    if layout and step in NAMELESS:
+                        step = f"{step}@{place} {layout}"
+                    place += 1
+                    if self.holds_main[c] and self.priors[c] < 1:
+                        self.priors[c] = 1.0  # what it says of itself is not said of the article
+                if step not in hashes:
+                    hashes[step] = _hash(f"{self.paths[i]}/{step}")
+                self.paths[c] = hashes[step]
+                self.in_main[c] = inside
 
     def place_of(self, element: int) -> str:
         """The last steps of an element's path, to read."""
@@ -245,7 +248,7 @@ def statistics(page: Page) -> list[tuple]:
         node = nodes.get(path)
         if node is None:
             up = page.paths[page.parents[i]] if i else None
-            nodes[path] = [up, page.place_of(i), page.is_container(i), page.in_main[i], page.priors[i], 0, 0]
+            nodes[path] = [up, page.place_of(i), page.tags[i] not in TEXT_LEVEL, page.in_main[i], page.priors[i], 0, 0]
             node = nodes[path]
         node[4] = max(node[4], page.priors[i])
         node[5] += page.branch_text[i]
@@ -302,9 +305,10 @@ def style_tree(pages: DataFrame) -> DataFrame:
     seen = hosted(pages).select("host", "html").mapInArrow(
         count, f"host string, vote bigint, path bigint, kind string, hash bigint, {NODE}"
     )
-    # equal in all copies, and but for the prior on all pages
-    facts = [F.max(c).alias(c) for c in ("parent", "place", "container", "in_main", "prior", "text", "links")]
-    votes = seen.groupBy("host", "path", "kind", "hash", "vote").agg(F.count(F.lit(1)).alias("copies"), *facts)
+    # a path fixes its facts, so they may as well be keys; the rest is equal in all copies
+    facts = ["parent", "place", "container", "in_main"]
+    per_vote = [F.max(c).alias(c) for c in ("prior", "text", "links")]
+    votes = seen.groupBy("host", "path", "kind", "hash", "vote", *facts).agg(F.count(F.lit(1)).alias("copies"), *per_vote)
     votes = stage(votes, "style_votes")
     votes_per_hash = F.count(F.lit(1)).alias("count")
     own = importance(
@@ -321,8 +325,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
         .otherwise(F.lit(1.0))
     )
     differing = own.join(pooled, "path").select("host", "path", "pages", differing.alias("differing"))
-    sums = [F.sum("text").alias("text"), F.sum("links").alias("links")]
-    nodes = votes.where("kind = 'page'").groupBy("host", "path").agg(*facts[:5], *sums)
+    sums = [F.max("prior").alias("prior"), F.sum("text").alias("text"), F.sum("links").alias("links")]
+    nodes = votes.where("kind = 'page'").groupBy("host", "path", *facts).agg(*sums)
     return weighed(stage(nodes.join(differing, ["host", "path"]), "style_nodes"))
 
 

@@ -1,9 +1,11 @@
 """Histogram boosting against plain computations, and what its trees may depend on."""
 
 import math
+import pickle
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from leadlift.functions.trees import CATEGORY, NUMBER, BoostedTrees, Feature, Tree, bin_rows
@@ -110,6 +112,25 @@ def test_same_trees_however_partitioned_or_accompanied(prepared, fitted):
     assert noisy[0] == noisy[1] != fitted[0].model.to_json()
 
 
+def test_histograms_stay_off_the_driver(prepared, monkeypatch):
+    """What reaches the driver is splits: no histogram, and no more of it from more partitions."""
+    got, collect = [], RDD.collect
+
+    def counted(rdd):
+        found = collect(rdd)
+        got.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    sizes = []
+    for rows in (4_096, 100):
+        monkeypatch.setattr(boosting, "PARTITION_ROWS", rows)
+        got.clear()
+        fit_many(prepared, FEATURES, [PLAIN, {**PLAIN, "maxDepth": 2}])
+        sizes.append(sum(got))
+    assert max(got) < 8 * boosting.CELLS and sizes[0] == sizes[1] < 50_000
+
+
 def test_sums_are_merged_in_steps(prepared, fitted, monkeypatch):
     monkeypatch.setattr(boosting, "TREE_MERGE", 1)
     monkeypatch.setattr(boosting, "PARTITION_ROWS", 150)

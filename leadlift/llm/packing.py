@@ -1,28 +1,23 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens.
 
 A document is its ids followed by a separator id. Only documents longer than a sequence are cut. Pieces are then packed
-in bulk-synchronous rounds of best-fit decreasing:
+by best-fit decreasing, all pieces of one size at once:
 
-* Gaps and pieces are sorted together by size, largest first. Swept in that order, a gap is put on a stack and a piece
-  takes the top of it, which is the smallest gap that holds the piece. A row's place on the stack (its level) follows
-  from exact counts per size, of which there are at most as many as a sequence has tokens, and from the row's rank
-  among the rows of its size. Rows of one level alternate gap, piece, gap, piece; so a window over the level finds every
-  piece its successor gap, and no two pieces want the same one. A level has at most one row per size, whatever the data.
-* Matched gaps shrink, pieces that found none stay, and the sweep repeats. Sequences are opened as far as the pieces'
-  tokens exceed the room left, or when nothing fits any more.
+* Pieces of one size are alike, so what best fit does follows from the number of pieces per size, of which there are at
+  most as many as a sequence has tokens. Sizes are worked through, largest first: a size takes the smallest gaps that
+  hold it and fills each with as many pieces as fit, as best fit does piece by piece, and opens sequences for the rest.
+  Gaps that are alike are a range of sequence numbers, and a size makes at most a few new ranges. So the places are a
+  table of (size, first rank, pieces, first sequence, ..), whose length depends on sizes, not on pieces.
+* A piece finds its place by its rank among the pieces of its size.
 
 Ranks are counted within (size, part), where a part is the input split that made the piece, and shifted by the counts of
-the parts before, so one size that a third of all rows share spreads over all parts. Rounds write their result as
-Parquet below ``spark.checkpoint.dir``; a lost executor repeats at most one round. Texts never move: rounds shuffle
-ids and sizes. Many pieces of one small size are tied into bundles first, so the number of rounds stays small. When
-nothing fits whole, bundles are halved, down to single pieces, as far as gaps have room for their pieces; so room that a
-single piece would fill is never left for a bundle's sake.
+the parts before, so one size that a third of all rows share spreads over all parts. Texts never move: only ids and
+sizes are shuffled, and only once.
 """
 
 from __future__ import annotations
 
 import zlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +34,7 @@ from leadlift.sources.staging import stage
 CAPACITY = 2048
 SEPARATOR = 0
 PIECES = "uid bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-# Bundles: pieces of at most CAPACITY / SMALL tokens are tied up to CAPACITY / BUNDLE tokens
-SMALL, BUNDLE = 16, 8
-# Pieces of a bundle, at most; an item of the packing is named by its first piece: bundle * SLOTS + slot
-SLOTS = 256
+PLACES = "uid bigint, sequence_id bigint, offset bigint"
 
 
 def token_pieces(
@@ -94,245 +86,70 @@ def ranked(rows: DataFrame, by: list[str], column: str = "rank") -> DataFrame:
     )
 
 
-def tie_bundles(items: DataFrame, capacity: int, bins: int) -> DataFrame:
-    """(uid, size, part, bundle, slot): small pieces far more frequent than sequences share a bundle.
+def plan_places(counts: dict[int, int], capacity: int) -> np.ndarray:
+    """Where best fit puts ``counts`` pieces per size, rows (size, first rank, first sequence, pieces in each, offset).
 
-    The bundle is named by its first piece's uid, its pieces are numbered; a piece without one is its own.
+    A row holds the ranks up to the next row's; sequences are numbered from 0, each gets ``pieces in each`` neighbouring
+    ranks from ``offset`` on. Rows are sorted by size and rank.
     """
-    small, whole = capacity // SMALL, capacity // BUNDLE
-    frequent = items.where(F.col("size") <= small).groupBy("size").count().where(F.col("count") > max(bins, 1) // 4 + 64)
-    counts = {row["size"]: row["count"] for row in frequent.collect()}  # at most capacity / SMALL sizes
-    alone = items.withColumn("bundle", F.col("uid")).withColumn("slot", F.lit(0).cast("bigint"))
-    if not counts:
-        return alone
-    many = ranked(items.where(F.col("size").isin(sorted(counts))), ["size"])
-    per = F.least(F.floor(F.lit(whole) / F.col("size")), F.lit(SLOTS))
-    # a quarter of a sequence count stays loose: small pieces are what fills small gaps
-    loose = max(bins, 1) // 4
-    number = F.when(F.col("rank") >= loose, F.floor((F.col("rank") - loose) / per))
-    slot = F.when(F.col("rank") >= loose, (F.col("rank") - loose) % per)
-    tied = many.withColumn("_number", number).withColumn("_slot", slot)
-    heads = tied.where("_slot = 0").select("size", "_number", F.col("uid").alias("bundle"), F.col("part").alias("_part"))
-    tied = (
-        tied.join(heads, ["size", "_number"], "left")
-        .withColumn("bundle", F.coalesce("bundle", "uid"))
-        .withColumn("part", F.coalesce("_part", "part"))
-        .withColumn("slot", F.coalesce(F.col("_slot"), F.lit(0)).cast("bigint"))
-    )
-    rest = alone.where(~F.col("size").isin(sorted(counts)))
-    return rest.select("uid", "size", "part", "bundle", "slot").unionByName(
-        tied.select("uid", "size", "part", "bundle", "slot")
-    )
-
-
-def stack_levels(cells: list[tuple[bool, int, int]]) -> dict[tuple[bool, int], tuple[int, int, int]]:
-    """Where each cell's rows stand on the stack: (place in the sweep, depth before it, lowest depth after it).
-
-    ``cells`` are (is gap, size, rows). A gap of rank k in its cell gets level depth + k + 1 and is matched if that
-    exceeds the lowest later depth; a piece of rank k takes level depth - k, while that is positive.
-    """
-    order = sorted(cells, key=lambda c: (-c[1], not c[0]))
-    depth, depths = 0, []
-    for gap, _, rows in order:
-        depths.append(depth)
-        depth = depth + rows if gap else max(0, depth - rows)
-    lowest, out = depth, {}
-    for place in reversed(range(len(order))):
-        gap, size, _ = order[place]
-        out[gap, size] = (place, depths[place], lowest)
-        lowest = min(lowest, depths[place])
-    return out
-
-
-def sweep(rows: DataFrame, cells: list[tuple[bool, int, int]]) -> DataFrame:
-    """One round over (gap, uid, part, size, n) rows, of which ``cells`` has the counts.
-
-    Result: gap, uid, part, size, n, piece, piece_size, piece_n. Gap rows carry the piece they got, or null; piece rows are those
-    that found no gap.
-    """
-    spark = rows.sparkSession
-    table = [(gap, size, *places) for (gap, size), places in stack_levels(cells).items()]
-    # at most two cells per possible size: bounded by the capacity
-    plan = F.broadcast(
-        spark.createDataFrame(table, "gap boolean, size bigint, place int, depth bigint, lowest bigint")
-    )
-    placed = ranked(rows, ["gap", "size"]).join(plan, ["gap", "size"])
-    level = F.when(
-        F.col("gap"), F.when(F.col("depth") + F.col("rank") + 1 > F.col("lowest"), F.col("depth") + F.col("rank") + 1)
-    ).otherwise(F.when(F.col("depth") > F.col("rank"), F.col("depth") - F.col("rank")))
-    # rows without a level are spread by uid, each alone in its window
-    placed = placed.withColumn("level", F.coalesce(level, -F.col("uid") - 1)).withColumn("on", level.isNotNull())
-    w = Window.partitionBy("level").orderBy("place", "uid")
-    follower = F.lead(F.struct("gap", "uid", "size", "n", "on")).over(w)
-    got = placed.withColumn("next", F.when(F.col("gap") & F.col("on"), follower))
-    fits = F.col("next").isNotNull() & ~F.col("next.gap") & F.col("next.on")
-    return got.where(F.col("gap") | ~F.col("on")).select(
-        "gap",
-        "uid",
-        "part",
-        "size",
-        "n",
-        F.when(fits, F.col("next.uid")).alias("piece"),
-        F.when(fits, F.col("next.size")).alias("piece_size"),
-        F.when(fits, F.col("next.n")).alias("piece_n"),
-    )
-
-
-def to_halve(waiting: dict[tuple[int, int], int], room: dict[int, int]) -> dict[tuple[int, int], int]:
-    """How many items of each (size, pieces) to halve, so that the gaps of ``room`` are filled by their pieces.
-
-    The gaps are filled on paper, by the largest pieces first; what they have no room for stays tied.
-    """
-    left, out = dict(room), {}
-    for size, n in sorted((c for c in waiting if c[1] > 1), key=lambda c: (-c[0] // c[1], c)):
-        each, wanted, held = size // n, waiting[size, n] * n, 0
-        for gap in sorted(left):
-            fit = gap // each
-            if not fit or held >= wanted:
-                continue
-            used = min(left[gap], -(-(wanted - held) // fit))
-            held += used * fit
-            left[gap] -= used
-            left[gap - fit * each] = left.get(gap - fit * each, 0) + used
-        if held:
-            out[size, n] = min(waiting[size, n], -(-held // n))
-    return out
-
-
-def halve(loose: DataFrame, halved: dict[tuple[int, int], int]) -> DataFrame:
-    """``loose`` with as many items of each (size, pieces) cut in two as ``halved`` says."""
-    table = [(size, n, rows) for (size, n), rows in halved.items()]
-    plan = F.broadcast(loose.sparkSession.createDataFrame(table, "size bigint, n bigint, _cut bigint"))
-    names = loose.columns
-    tied = ranked(loose.where("n > 1"), ["size", "n"]).join(plan, ["size", "n"], "left")
-    cut = F.col("rank") < F.col("_cut")  # null where nothing is cut
-    head = F.floor((F.col("n") + 1) / 2)
-    each = F.floor(F.col("size") / F.col("n"))
-
-    def item(first, n):
-        return F.struct((F.col("uid") + first).alias("uid"), (n * each).alias("size"), n.cast("bigint").alias("n"))
-
-    whole = item(F.lit(0), F.col("n"))
-    parts = F.when(cut, F.array(item(F.lit(0), head), item(head, F.col("n") - head))).otherwise(F.array(whole))
-    cut_up = tied.select("gap", "part", F.explode(parts).alias("item")).select("gap", "part", "item.*")
-    return loose.where("n = 1").unionByName(cut_up.select(*names))
+    least = min(counts, default=0)
+    room: dict[int, list[tuple[int, int]]] = {}  # by size of gap: (first sequence, sequences)
+    opened, out = 0, []
+    for size in sorted(counts, reverse=True):
+        rank, left = 0, counts[size]
+
+        def fill(gap: int, first: int, sequences: int) -> None:
+            """Put pieces into as many of these sequences as are needed; their gaps that are left are known again."""
+            nonlocal rank, left
+            full = min(sequences, left // (gap // size))
+            for used, each in ((full, gap // size), (min(1, sequences - full), left - full * (gap // size))):
+                if not used or each < 1:
+                    continue
+                out.append((size, rank, first, each, capacity - gap))
+                if gap - each * size >= least:
+                    room.setdefault(gap - each * size, []).append((first, used))
+                rank, left = rank + used * each, left - used * each
+                first, sequences = first + used, sequences - used
+            if sequences:
+                room.setdefault(gap, []).append((first, sequences))
+
+        for gap in sorted(g for g in room if g >= size):
+            if left:
+                for first, sequences in room.pop(gap):
+                    fill(gap, first, sequences)
+        fresh = -(-left // (capacity // size))
+        if fresh:
+            fill(capacity, opened, fresh)
+            opened += fresh
+    return np.array(sorted(out), np.int64).reshape(-1, 5)
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(item, n, sequence_id, offset) for the rows of ``items(uid, part, size, n)``; uid is unique, size <= capacity.
+    """(uid, sequence_id, offset) for the rows of ``items(uid, part, size)``; uid is unique, 0 < size <= capacity."""
+    counts = {row["size"]: row["count"] for row in items.groupBy("size").count().collect()}  # at most ``capacity`` sizes
+    plan = items.sparkSession.sparkContext.broadcast(plan_places(counts, capacity))
 
-    A row stands for ``n`` pieces of equal size with the numbers uid, uid + 1, ..; they may be placed apart, as items of
-    fewer pieces that are named by their first.
-    """
-    loose = items.select(F.lit(False).alias("gap"), "uid", "part", F.col("size").cast("bigint"), F.col("n").cast("bigint"))
-    gaps = loose.where(F.lit(False))
-    placements = []
-    first = True
-    while True:
-        # a row per size of gaps, and per size and number of pieces, of which few sizes have more than one
-        counted = gaps.unionByName(loose).groupBy("gap", "size", "n").count().collect()
-        items_of = {(row["size"], row["n"]): row["count"] for row in counted if not row["gap"]}
-        if not items_of:
-            break
-        # gaps below the smallest piece have no place in the round's plan, so the sweep drops them; no condition says so
-        # here, as its number would make every round's code a different one
-        least = min(size // n for size, n in items_of)
-        room = {row["size"]: row["count"] for row in counted if row["gap"] and row["size"] >= least}
-        if max(room, default=0) < min(size for size, _ in items_of):
-            halved = to_halve(items_of, room)
-            if halved:
-                loose = stage(halve(loose, halved), "halved")
-                for (size, n), rows in halved.items():
-                    items_of[size, n] -= rows
-                    for k in (n - n // 2, n // 2):
-                        items_of[size // n * k, k] = items_of.get((size // n * k, k), 0) + rows
-        waiting: dict[int, int] = {}
-        for (size, _), rows in items_of.items():
-            if rows:
-                waiting[size] = waiting.get(size, 0) + rows
-        opened = to_open(waiting, room, least, first, capacity)
-        if opened:
-            fresh, loose = open_sequences(loose, waiting, opened, capacity)
-            fresh = stage(fresh, "opened")
-            placements.append(
-                fresh.select(
-                    F.col("uid").alias("item"),
-                    "n",
-                    F.col("uid").alias("sequence_id"),
-                    F.lit(0).cast("bigint").alias("offset"),
-                )
-            )
-            rest = F.lit(capacity) - F.col("size")
-            gaps = gaps.unionByName(
-                fresh.select(
-                    F.lit(True).alias("gap"), "uid", "part", rest.alias("size"), F.lit(0).cast("bigint").alias("n")
-                )
-            )
-            for size in sorted(waiting, reverse=True):
-                taken = min(opened, waiting[size])
-                opened -= taken
-                waiting[size] -= taken
-                if taken and capacity - size >= least:
-                    room[capacity - size] = room.get(capacity - size, 0) + taken
-        cells = [(True, size, n) for size, n in room.items()] + [(False, size, n) for size, n in waiting.items() if n]
-        if not any(not gap for gap, _, _ in cells):
-            break
-        swept = stage(sweep(gaps.unionByName(loose), cells), "sweep")
-        placements.append(
-            swept.where("piece is not null").select(
-                F.col("piece").alias("item"),
-                F.col("piece_n").alias("n"),
-                F.col("uid").alias("sequence_id"),
-                (F.lit(capacity) - F.col("size")).alias("offset"),
+    def place(batches):
+        sizes, ranks, firsts, each, offsets = plan.value.T
+        bounds = np.searchsorted(sizes, np.arange(capacity + 2))
+        for batch in batches:
+            uid, size, rank = (batch.column(i).to_numpy() for i in range(3))
+            at = np.empty(len(size), np.int64)
+            order = np.argsort(size, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(size[order])) + 1) if len(order) else ():
+                low, high = bounds[size[own[0]]], bounds[size[own[0]] + 1]
+                at[own] = low + np.searchsorted(ranks[low:high], rank[own], side="right") - 1
+            beyond = rank - ranks[at]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(uid),
+                    pa.array(firsts[at] + beyond // each[at]),
+                    pa.array(offsets[at] + beyond % each[at] * size),
+                ],
+                ["uid", "sequence_id", "offset"],
             )
-        )
-        loose = swept.where(~F.col("gap")).select("gap", "uid", "part", "size", "n")
-        left = F.col("size") - F.coalesce("piece_size", F.lit(0))
-        gaps = swept.where("gap").select("gap", "uid", "part", left.alias("size"), "n")
-        first = False
-    if not placements:
-        return items.sparkSession.createDataFrame([], "item bigint, n bigint, sequence_id bigint, offset bigint")
-    return reduce(DataFrame.unionByName, placements)
 
-
-def to_open(waiting: dict[int, int], room: dict[int, int], least: int, first: bool, capacity: int) -> int:
-    """How many of the largest waiting items open a sequence, given rows per size of items and of gaps.
-
-    ``least`` is the smallest piece: a gap that holds it is used, if need be after bundles are halved.
-    """
-    volume = sum(size * n for size, n in waiting.items())
-    free = sum(size * n for size, n in room.items())
-    if first:
-        # pieces of more than half a sequence never share one
-        halves = {size: n for size, n in waiting.items() if size > capacity // 2}
-        free += sum((capacity - size) * n for size, n in halves.items())
-        volume -= sum(size * n for size, n in halves.items())
-        return sum(halves.values()) + max(0, -(-(volume - free) // capacity))
-    fits = max(room, default=0) >= least
-    return max(0, -(-(volume - (free if fits else 0)) // capacity))
-
-
-def open_sequences(
-    loose: DataFrame, waiting: dict[int, int], opened: int, capacity: int
-) -> tuple[DataFrame, DataFrame]:
-    """The ``opened`` largest rows, which open a sequence each, and the rows that stay."""
-    left, cut = opened, None
-    for size in sorted(waiting, reverse=True):
-        if waiting[size] > left:
-            cut = size
-            break
-        left -= waiting[size]
-    if cut is None:
-        return loose, loose.where(F.lit(False))
-    above, below = F.col("size") > cut, F.col("size") < cut
-    if not left:
-        return loose.where(above), loose.where(~above)
-    edge = ranked(loose.where(F.col("size") == cut), ["size"])
-    names = loose.columns
-    return (
-        loose.where(above).unionByName(edge.where(F.col("rank") < left).select(*names)),
-        loose.where(below).unionByName(edge.where(F.col("rank") >= left).select(*names)),
-    )
+    return ranked(items, ["size"]).select("uid", "size", F.col("rank").cast("bigint")).mapInArrow(place, PLACES)
 
 
 def pack_documents(
@@ -345,19 +162,7 @@ def pack_documents(
     """
     pieces = stage(token_pieces(docs, vocabulary, capacity, separator), "pieces")
     part = F.shiftright("uid", 33)
-    items = pieces.select("uid", F.col("length").alias("size"), part.alias("part"))
-    total = pieces.agg(F.sum("length")).first()[0] or 0
-    tied = stage(tie_bundles(items, capacity, -(-total // capacity)), "bundles")
-    item = F.col("bundle") * SLOTS
-    bundles = tied.groupBy(item.alias("uid")).agg(
-        F.min("part").alias("part"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")
-    )
-    places = pack(stage(bundles, "items"), capacity)
-    inside = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("_inside")
-    placed = places.select("item", "sequence_id", "offset", inside).withColumn("item", F.col("item") + F.col("_inside"))
-    at = tied.select("uid", "size", (item + F.col("slot")).alias("item")).join(placed, "item").select(
-        "uid", "sequence_id", (F.col("offset") + F.col("_inside") * F.col("size")).alias("offset")
-    )
-    return pieces.join(at, "uid").select(
+    places = pack(pieces.select("uid", F.col("length").alias("size"), part.alias("part")), capacity)
+    return pieces.join(places, "uid").select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )

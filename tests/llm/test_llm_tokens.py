@@ -4,6 +4,7 @@ import base64
 import struct
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from leadlift.llm.byte_bpe import decode, encode
-from leadlift.llm.packing import pack_documents
+from leadlift.llm.packing import pack_documents, plan_places
 from leadlift.llm.queries import RANKS, WORD_VOCABULARY
 from leadlift.llm.token_counts import PrefixTables, longest_prefix, prefix_counts, tokens_within
 
@@ -141,6 +142,49 @@ def test_packing_places_every_piece(docs, library):
     assert_packed(rows, 64, -(-sum(r["length"] for r in rows) // 64) + 2)
 
 
+def test_places_are_those_of_best_fit():
+    """Against best fit decreasing, piece by piece; rows of the plan depend on sizes, not on pieces."""
+    draw = np.random.default_rng(7)
+    for capacity, most in ((16, 9), (64, 400), (200, 30)):
+        counts = {int(s): int(draw.integers(1, most)) for s in draw.choice(np.arange(1, capacity + 1), capacity // 2, False)}
+        gaps, filled = [], {}
+        for size in sorted(counts, reverse=True):
+            for _ in range(counts[size]):
+                fits = [i for i, gap in enumerate(gaps) if gap >= size]
+                at = min(fits, key=lambda i: gaps[i], default=len(gaps))
+                gaps += [capacity] if at == len(gaps) else []
+                filled.setdefault(at, []).append((size, capacity - gaps[at]))
+                gaps[at] -= size
+        plan, ours = plan_places(counts, capacity).tolist(), {}
+        for (size, rank, first, each, offset), after in zip(plan, [*plan[1:], [None]]):
+            end = after[1] if after[0] == size else counts[size]
+            for k in range(end - rank):
+                ours.setdefault(first + k // each, []).append((size, offset + k % each * size))
+        # gaps of one size are alike: pieces may swap between them
+        assert sorted(sum(ours.values(), [])) == sorted(sum(filled.values(), [])) and len(ours) == len(filled)
+        for places in ours.values():
+            ends = [0, *(offset + size for size, offset in sorted(places, key=lambda p: p[1]))]
+            assert [offset for _, offset in sorted(places, key=lambda p: p[1])] == ends[:-1] and ends[-1] <= capacity
+        many = plan_places({size: n * 1_000_003 for size, n in counts.items()}, capacity)
+        assert len(many) <= 8 * capacity * len(counts)
+    assert plan_places({}, 8).shape == (0, 5)
+
+
+def test_few_jobs_pack_documents(spark):
+    """The number of Spark jobs does not follow from how many rounds of packing there are."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a "), (F.col("id") % 150).cast("int")).alias("text"))
+    context = spark.sparkContext
+    context.setJobGroup("packing", "packing")
+    try:
+        rows = pack_documents(docs, WORD_VOCABULARY, capacity=128).collect()
+        jobs = context.statusTracker().getJobIdsForGroup("packing")
+    finally:
+        context._jsc.clearJobGroup()
+    assert len(rows) == 400 + sum(i % 150 >= 128 for i in range(400))
+    assert_packed(rows, 128, -(-sum(r["length"] for r in rows) // 128) + 2)
+    assert len(jobs) < 20
+
+
 def test_packing_real_documents_is_tight(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = pack_documents(docs, WORD_VOCABULARY).collect()

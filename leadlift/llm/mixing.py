@@ -6,12 +6,12 @@ Every decision is a bit whose probability comes from several hashed contexts: ea
 odds it has seen, the mixer adds them up with weights that a small gating context selects, and the sum is squashed back.
 
 * Spelling: contexts of up to ``ORDERS`` bytes before, gated by how much the longest has seen and the bit's place.
-  A last table, by gate and sum, refines the probability. Counters come from words seen up to ``RARE`` times, weights
-  and table from an online pass over each block's words seen once, averaged. Words seen more often are not spelled.
-* Which part tells a word: contexts are how often the word before was seen, what told the last three words, and the word
-  before; the gate is what told the last word. Weights start alike in every text and follow the gradient of its code
-  length, ``STEP`` words at a time; a table of refined probabilities per text follows too. So a score depends on the
-  training texts and on the text itself, never on other texts.
+  A last table, by gate and sum, refines the probability. Weights and table are learnt online over the words of each
+  block of training texts, then averaged. Every word can be spelled, however often it was seen.
+* Which part tells a word: contexts are how often the word before was seen, what told the last three words, the word
+  before, and how far the text has come; the gate is what told the last word. Weights start alike in every text and
+  follow the gradient of its code length, ``STEP`` words at a time; a table of refined probabilities per text follows
+  too. So a score depends on the training texts and on the text itself, never on other texts.
 
 All parts of a word's probability add up: ``a * pair + (1 - a) * (b * said + (1 - b) * (g * frequency + (1 - g) *
 spelling))``. Predictors of a, b and g are learnt without the text at hand, so they expect what unseen texts bring.
@@ -45,12 +45,11 @@ BLOCK_CHARS, BLOCK_TEXTS = 3_000_000, 40_000
 SPELL_BITS = 18
 SPELLING = 1 << SPELL_BITS  # counters of each spelling context
 PRIOR_BITS = 16
-STEP = 64  # words between two updates of a text's weights
+STEP = 32  # words between two updates of a text's weights
 RATE, SPELL_RATE = 0.02, 0.3
-RARE = 3  # words that training texts have more often are not spelled
 LEAST = 1e-4  # no decision is surer than this
 PARTS = 3  # decisions per word: pair, said before, frequency
-CONTEXTS = 3
+CONTEXTS = 4
 REFINED = 12  # steps of the refining tables
 END = b""
 
@@ -58,6 +57,7 @@ BLOCKS = (
     "block bigint, docs bigint, tokens bigint, learnt_tokens bigint, ids binary, learnt binary, lengths binary, "
     "bytes binary, words binary, text_tokens binary"
 )
+COUNTED = f"{BLOCKS}, word_sums binary, pair_sums binary, spelled binary"
 RESULT = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
     "score double, n_bytes bigint, bits_per_byte double"
@@ -138,6 +138,8 @@ _BLOCKS = pa.schema(
     [("block", pa.int64()), ("docs", pa.int64()), ("tokens", pa.int64()), ("learnt_tokens", pa.int64())]
     + [(c, pa.binary()) for c in ("ids", "learnt", "lengths", "bytes", "words", "text_tokens")]
 )
+_COUNTED = pa.schema([*_BLOCKS, *((c, pa.binary()) for c in ("word_sums", "pair_sums", "spelled"))])
+
 
 def pack_ids(ids: pa.Array, held: tuple) -> bytes:
     table = pa.RecordBatch.from_arrays([ids, pa.array(held, pa.bool_())], ["doc_id", "held_out"])
@@ -246,20 +248,18 @@ def word_counts(block: Block, row: dict) -> np.ndarray:
     return unpack(row["word_sums"], "<u8").astype(np.float64)[where]
 
 
-def rare_words(row: dict, most: int) -> list[bytes]:
-    """The words of a block's training texts that are seen at most ``most`` times, each once, by their hashes."""
-    block = Block(row)
-    own = np.bincount(block.tokens[block.learnt_tokens()], minlength=len(block.words))
-    rare = np.flatnonzero((own > 0) & (word_counts(block, row) <= most))
-    return [block.words[i] for i in rare[np.argsort(block.hashes[rare])].tolist()]
+def learnt_words(block: Block) -> list[bytes]:
+    """The words of a block's training texts, each once, in the order of their hashes."""
+    seen = np.flatnonzero(np.bincount(block.tokens[block.learnt_tokens()], minlength=len(block.words)))
+    return [block.words[i] for i in seen[np.argsort(block.hashes[seen])].tolist()]
 
 
 def count_spelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(slot, zeros, ones) of a task's blocks: every rare word of a block's training texts counts once."""
+    """(slot, zeros, ones) of a task's blocks: every word of a block's training texts counts once."""
     counts = np.zeros((ORDERS, 2 * SPELLING), np.int32)
     for row in rows_of(batches):
         held: list[list[np.ndarray]] = [[] for _ in range(ORDERS)]
-        words = rare_words(row, RARE)
+        words = learnt_words(Block(row))
         for k, bits, slots in Spelled(words).bits() if words else ():
             for context, slot in enumerate(slots):
                 held[context].append(slot * np.uint32(2) + bits)
@@ -355,7 +355,7 @@ def learn_speller(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iter
     """(weights, refined, words): what one online pass over each block of a task arrives at, summed by words."""
     weights, refined, words = np.zeros((GATES, ORDERS + 1)), np.zeros((GATES, REFINED)), 0
     for row in rows_of(batches):
-        own = rare_words(row, 1)
+        own = learnt_words(Block(row))
         if own:
             speller = Speller(counts)
             speller.learn(own)
@@ -367,6 +367,13 @@ def learn_speller(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iter
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], ["place", "value"])
 
 
+def spell(batches: Iterator[pa.RecordBatch], speller: Speller) -> Iterator[pa.RecordBatch]:
+    """Blocks with the logarithm of every word's spelled probability, which both learning and scoring read."""
+    for row in rows_of(batches):
+        spelled = speller.log_probabilities(Block(row).words).astype(np.float32)
+        yield pa.RecordBatch.from_pylist([{**row, "spelled": pack(spelled)}], _COUNTED)
+
+
 # ---- which part tells a word --------------------------------------------------------------------------------------
 
 
@@ -393,7 +400,7 @@ class Told:
     With ``without_own``, counts are those of all training texts but the token's own.
     """
 
-    def __init__(self, block: Block, row: dict, sizes: tuple[int, int], speller: Speller, without_own: bool):
+    def __init__(self, block: Block, row: dict, sizes: tuple[int, int], without_own: bool):
         tokens, all_tokens = sizes
         block.flat()
         self.counts = word_counts(block, row)
@@ -415,10 +422,7 @@ class Told:
         self.parts = np.stack([ratio(pairs, prior), ratio(rank, block.at.astype(np.float32)), ratio(seen, total)])
         # whether a decision is open at all, which the reader of a code would know too
         self.open = np.stack([prior > 0, block.at > 0, total > 0])
-        rare = np.flatnonzero(self.counts <= RARE)
-        spelled = np.full(len(block.words), -np.inf, np.float32)
-        spelled[rare] = speller.log_probabilities([block.words[i] for i in rare.tolist()])
-        self.spelled = spelled[block.tokens]
+        self.spelled = unpack(row["spelled"], "<f4")[block.tokens]
         with np.errstate(divide="ignore"):
             odds = np.log(self.parts) + np.log(np.array([[0.5], [0.2], [0.2]], np.float32))
         best = np.argmax(np.vstack([odds, self.spelled + np.float32(np.log(0.1))]), axis=0).astype(np.int16)
@@ -431,13 +435,14 @@ class Told:
         self.gate = last[0].astype(np.int64)
         hashed = (block.hashes >> np.uint64(64 - PRIOR_BITS)).astype(np.int64)[block.before]
         frequent = np.minimum(np.frexp(prior + 1)[1] - 1, 31).astype(np.int64)
-        self.contexts = [frequent, self.gate * 16 + last[1] * 4 + last[2], hashed]
+        far = np.minimum(np.frexp(block.at + 1.0)[1] - 1, 15).astype(np.int64)
+        self.contexts = [frequent, self.gate * 16 + last[1] * 4 + last[2], hashed, far]
 
 
-WIDTHS = (32, 64, 1 << PRIOR_BITS)
+WIDTHS = (32, 64, 1 << PRIOR_BITS, 16)
 OFFSETS = np.concatenate([[0], np.cumsum(WIDTHS)])
-PRIOR = (0.2, 0.1, 0.85)  # where learning the decisions' rates starts
-ROUNDS = 1
+PRIOR = (0.3, 0.1, 0.8)  # where learning the decisions' rates starts
+ROUNDS = 8
 
 
 def shares(parts: np.ndarray, spelled: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -459,18 +464,15 @@ def lefts(share: np.ndarray) -> np.ndarray:
     return np.maximum(1.0 - np.vstack([np.zeros((1, share.shape[1])), taken[:-1]]), 0.0)
 
 
-def learn_parts(
-    batches: Iterator[pa.RecordBatch], speller: Speller, sizes: tuple[int, int]
-) -> Iterator[pa.RecordBatch]:
+def learn_parts(batches: Iterator[pa.RecordBatch], sizes: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """(place, open, told): per predictor of each decision, how often it was to be taken and how often it was yes."""
     tables = np.zeros((2, PARTS, OFFSETS[-1]))
     for row in rows_of(batches):
         block = Block(row)
         if not block.learnt.any():
             continue
-        told = Told(block, row, sizes, speller, without_own=True)
-        # but for words that only this text has, yet too often to be spelled
-        own = np.flatnonzero(block.learnt_tokens() & (told.parts.any(axis=0) | np.isfinite(told.spelled)))
+        told = Told(block, row, sizes, without_own=True)
+        own = np.flatnonzero(block.learnt_tokens())
         parts, spelled, open_ = told.parts[:, own], told.spelled[own], told.open[:, own]
         cell = told.gate[own] * 32 + told.contexts[0][own]
         p = np.tile(np.array(PRIOR, np.float32)[:, None], (1, 128))
@@ -556,13 +558,13 @@ class TextMixer:
 
 
 def score_blocks(
-    batches: Iterator[pa.RecordBatch], speller: Speller, odds: np.ndarray, sizes: tuple[int, int], vocabulary: int
+    batches: Iterator[pa.RecordBatch], odds: np.ndarray, sizes: tuple[int, int], vocabulary: int
 ) -> Iterator[pa.RecordBatch]:
     """``sizes`` are the tokens of all texts and of the training texts."""
     all_tokens = sizes[1]
     for row in rows_of(batches):
         block = Block(row)
-        told = Told(block, row, sizes, speller, without_own=False)
+        told = Told(block, row, sizes, without_own=False)
         texts = len(block.lengths)
         log_p = TextMixer(texts).run(told, block.starts, block.lengths, odds)
         score = np.bincount(block.doc, log_p, texts) / _LN10
@@ -622,15 +624,9 @@ def lm_scores(
     def ask_pairs(batches):
         return ask(batches, pair_bits(tokens))
 
-    words, vocabulary = totals(blocks.mapInArrow(ask_words, ASKS), tokens // 4, **tuning)
-    pairs, _ = totals(blocks.mapInArrow(ask_pairs, ASKS), tokens, count_known=False, **tuning)
-    words = words.select(F.col("owner").alias("block"), F.col("sums").alias("word_sums"))
-    pairs = pairs.select(F.col("owner").alias("block"), F.col("sums").alias("pair_sums"))
-    ready = stage(blocks.join(words, "block").join(pairs, "block"), "counted blocks")
-
     # at most one row per counter of the bounded tables
     counters = np.zeros((ORDERS * SPELLING, 2), np.int32)
-    summed = ready.mapInArrow(count_spelling, "slot bigint, zeros bigint, ones bigint").groupBy("slot").agg(
+    summed = blocks.mapInArrow(count_spelling, "slot bigint, zeros bigint, ones bigint").groupBy("slot").agg(
         F.least(F.sum("zeros"), F.lit(2**31 - 1)).cast("int").alias("zeros"),
         F.least(F.sum("ones"), F.lit(2**31 - 1)).cast("int").alias("ones"),
     )
@@ -643,7 +639,7 @@ def lm_scores(
         return learn_speller(batches, counts.value)
 
     values = np.zeros(GATES * (ORDERS + 1) + GATES * REFINED + 1)
-    learnt = ready.mapInArrow(learn_spelling, "place bigint, value double").groupBy("place").agg(F.sum("value"))
+    learnt = blocks.mapInArrow(learn_spelling, "place bigint, value double").groupBy("place").agg(F.sum("value"))
     for place, value in learnt.collect():
         values[place] = value
     weights = refined = None
@@ -652,8 +648,19 @@ def lm_scores(
         refined = (values[GATES * (ORDERS + 1) : -1] / values[-1]).reshape(GATES, REFINED)
     learnt_speller = context.broadcast((weights, refined))
 
+    words, vocabulary = totals(blocks.mapInArrow(ask_words, ASKS), tokens // 4, **tuning)
+    pairs, _ = totals(blocks.mapInArrow(ask_pairs, ASKS), tokens, count_known=False, **tuning)
+    words = words.select(F.col("owner").alias("block"), F.col("sums").alias("word_sums"))
+    pairs = pairs.select(F.col("owner").alias("block"), F.col("sums").alias("pair_sums"))
+
+    def spell_words(batches):
+        return spell(batches, Speller(counts.value, *learnt_speller.value))
+
+    counted = blocks.join(words, "block").join(pairs, "block")
+    ready = stage(counted.mapInArrow(spell_words, COUNTED), "counted blocks")
+
     def learn(batches):
-        return learn_parts(batches, Speller(counts.value, *learnt_speller.value), (tokens, all_tokens))
+        return learn_parts(batches, (tokens, all_tokens))
 
     tables = np.zeros((2, PARTS * OFFSETS[-1]))
     gathered = ready.mapInArrow(learn, "place bigint, open double, told double").groupBy("place").agg(
@@ -664,7 +671,6 @@ def lm_scores(
     odds = context.broadcast(predictor_odds(*tables.reshape(2, PARTS, -1)))
 
     def score(batches):
-        speller = Speller(counts.value, *learnt_speller.value)
-        return score_blocks(batches, speller, odds.value, (tokens, all_tokens), vocabulary)
+        return score_blocks(batches, odds.value, (tokens, all_tokens), vocabulary)
 
     return ready.mapInArrow(score, RESULT)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,6 +128,29 @@ def test_spelling_adds_up_to_one():
     assert alike > unlike + 10
 
 
+def test_frequent_words_are_spelled_too():
+    """Counters and spelled probabilities have every word, however often training texts have it."""
+    text = b"the cat and the dog and the sun and the sky and the sea the end".split()
+    vocabulary = {w: i for i, w in enumerate(dict.fromkeys([mixing.END, *text]))}
+    tokens = np.array([vocabulary[w] for w in [*text, mixing.END]], np.int32)
+    row = mixing.block_row(0, [(1, False, True, len(tokens), 70)], vocabulary, [tokens])
+    row["ids"] = mixing.pack_ids(row["ids"], row.pop("held"))
+    row["words"] = mixing.pack(np.frombuffer(row["words"], np.uint8))
+    batch = pa.RecordBatch.from_pylist([row], mixing._BLOCKS)
+    counted = pa.Table.from_batches(mixing.count_spelling([batch])).to_pydict()
+    bits = 8 * mixing.ORDERS * sum(len(w) + 1 for w in vocabulary)
+    assert sum(counted["zeros"]) + sum(counted["ones"]) == bits
+    counts = np.zeros((mixing.ORDERS * mixing.SPELLING, 2), np.int32)
+    counts[counted["slot"], 0], counts[counted["slot"], 1] = counted["zeros"], counted["ones"]
+    speller = mixing.Speller(counts.reshape(mixing.ORDERS, mixing.SPELLING, 2))
+    (told,) = mixing.spell([pa.RecordBatch.from_pylist([{**row, "word_sums": b"", "pair_sums": b""}], mixing._COUNTED)], speller)
+    spelled = unpack(told.column("spelled")[0].as_py(), "<f4")
+    assert len(spelled) == len(vocabulary) and np.isfinite(spelled).all()
+    # words of the texts are told with fewer bits than another of the same length
+    words = mixing.Block(row).words
+    assert spelled[words.index(b"the")] > speller.log_probabilities([b"zqx"])[0] + 3
+
+
 def test_shares_are_a_distribution():
     draw = np.random.default_rng(1)
     # three parts and spelling over the same ten words

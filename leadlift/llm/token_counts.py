@@ -32,6 +32,7 @@ from leadlift.sources.shipping import ship
 
 WORD_END = "</w>"
 MAX_PAIRS = 1_000_000  # remembered answers of the merges
+MAX_STEPS = 400_000  # remembered steps from one prefix of a word to the next
 MEMO_ENTRIES = 250_000
 _CONTRACTIONS = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d"}
 _SPACE = re.compile(f"[{SPACES}]")
@@ -58,7 +59,11 @@ class PrefixTables:
         # whether the merges leave two tokens as they are, inside a word and at its end, by both tokens' numbers
         self.inside: dict[int, bool] = {}
         self.at_end: dict[int, bool] = {}
-        self.words = Memo(lambda words: [self.word(w) for w in words], MEMO_ENTRIES)
+        # steps from one prefix of a word to the next: by its last two tokens, by its last three
+        self.steps: dict[int, dict[str, tuple]] = {}
+        self.wide: dict[tuple, tuple] = {}
+        self.known = 0
+        self.words = Memo(self.word_tables, MEMO_ENTRIES)
         self.runs = Memo(self._runs, MEMO_ENTRIES)
 
     def fits_inside(self, key: int, first: int, token: str) -> bool:
@@ -77,47 +82,91 @@ class PrefixTables:
         return answer
 
     def word(self, word: str) -> tuple[int, ...]:
-        """Tokens of each prefix of a word in byte characters, taken as a word of its own.
+        return self.word_tables([word])[0]
 
-        Only one place can be where a prefix's last token begins. The likely ones are tried first: where the prefix
-        before has its last token or the one before that, and the prefix's last character alone.
+    def word_tables(self, words: list[str]) -> list[tuple[int, ...]]:
+        """For each word in byte characters, taken as a word of its own: the tokens of each of its prefixes.
+
+        Only one place can be where a prefix's last token begins. Mostly it is where the prefix before has its last
+        token or the one before that, or the prefix's last character alone; which of them follows from the last three
+        tokens of the prefix before and that character, mostly from the last two, so these steps are remembered. Words
+        are taken in order, so that those which begin alike share their first steps.
+        """
+        tables: list[tuple[int, ...]] = [()] * len(words)
+        counts, last, begin, out, path, previous = [0], [0], [0], [], [self._steps(0, 0)], ""
+        wide = self.wide
+        for number in sorted(range(len(words)), key=words.__getitem__):
+            word, same = words[number], 0
+            for ours, theirs in zip(word, previous):
+                if ours != theirs:
+                    break
+                same += 1
+            del counts[same + 1 :], last[same + 1 :], begin[same + 1 :], out[same:], path[same + 1 :]
+            count, start, steps, k = counts[same], begin[same], path[same], same
+            for character in word[same:]:
+                k += 1
+                step = steps.get(character)
+                if step is None:
+                    key = (last[begin[start]], last[start], last[k - 1], character)
+                    step = wide.get(key)
+                    if step is None:
+                        step = self._step(word, k, counts, last, begin, steps, key)
+                ended, own, back, token, steps = step
+                out.append(count + ended)
+                count += own
+                if back:
+                    start = k - back
+                counts.append(count)
+                last.append(token)
+                begin.append(start)
+                path.append(steps)
+            tables[number], previous = tuple(out), word
+        return tables
+
+    def _steps(self, before: int, token: int) -> dict[str, tuple]:
+        """Remembered steps after a prefix that ends in these two tokens."""
+        return self.steps.setdefault(before * self.width + token, {})
+
+    def _step(
+        self, word: str, k: int, counts: list[int], last: list[int], begin: list[int], steps: dict, key: tuple
+    ) -> tuple:
+        """How the prefix of ``k`` characters follows from the one before it.
+
+        (tokens more if the word ends here, tokens more if it goes on, characters of the last token or 0 if it begins
+        where the one before did, its number, the steps after it)
         """
         inner, final, inside, at_end = self.inner, self.final, self.inside, self.at_end
-        longest, width = self.longest, self.width
-        counts, last, begin, out = [0], [0], [0], []
-        size = len(word)
-        for k in range(1, size + 1):
-            near = begin[k - 1]
-            likely = (near, k - 1, begin[near])
-            for places in (likely, range(k - 1, -1 if k < longest else k - longest - 1, -1)):
-                for j in places:
-                    token = final.get(word[j:k])
-                    if token is not None:
-                        key = last[j] * width + token
-                        fits = at_end.get(key)
-                        if self.fits_at_end(key, last[j], word[j:k]) if fits is None else fits:
-                            out.append(counts[j] + 1)
-                            break
-                else:
-                    continue
-                break
-            if k == size:
-                break
-            for places in (likely, range(k - 1, -1 if k < longest else k - longest - 1, -1)):
-                for j in places:
-                    token = inner.get(word[j:k])
-                    if token is not None:
-                        key = last[j] * width + token
-                        fits = inside.get(key)
-                        if self.fits_inside(key, last[j], word[j:k]) if fits is None else fits:
-                            counts.append(counts[j] + 1)
-                            last.append(token)
-                            begin.append(j)
-                            break
-                else:
-                    continue
-                break
-        return tuple(out)
+        near = begin[k - 1]
+        likely = (near, k - 1, begin[near])
+        places = (*likely, *range(k - 1, -1 if k < self.longest else k - self.longest - 1, -1))
+        for end in places:
+            token = final.get(word[end:k])
+            if token is not None:
+                pair = last[end] * self.width + token
+                fits = at_end.get(pair)
+                if self.fits_at_end(pair, last[end], word[end:k]) if fits is None else fits:
+                    break
+        for at in places:
+            token = inner.get(word[at:k])
+            if token is not None:
+                pair = last[at] * self.width + token
+                fits = inside.get(pair)
+                if self.fits_inside(pair, last[at], word[at:k]) if fits is None else fits:
+                    break
+        count = counts[k - 1]
+        back = 0 if at == near else k - at
+        step = (counts[end] + 1 - count, counts[at] + 1 - count, back, token, self._steps(last[at], token))
+        if self.known >= MAX_STEPS:
+            self.known = 0
+            self.steps.clear()
+            self.wide.clear()
+        if {end, at} <= {near, k - 1}:
+            self.known += 1
+            steps[word[k - 1]] = step
+        elif {end, at} <= set(likely):
+            self.known += 1
+            self.wide[key] = step
+        return step
 
     def extend(self, out: list[int], word: str, shown: str, tables: dict) -> None:
         """Add the counts of each code point prefix of ``word``, whose bytes are ``shown``, after those in ``out``."""

@@ -1,6 +1,7 @@
 """Byte-level BPE, prefix counts and packing against the libraries."""
 
 import base64
+import random
 import struct
 import zlib
 
@@ -11,6 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from leadlift.llm import token_counts
 from leadlift.llm.byte_bpe import decode, encode
 from leadlift.llm.packing import pack_documents, plan_places
 from leadlift.llm.queries import RANKS, WORD_VOCABULARY
@@ -97,6 +99,23 @@ def test_counts_at_every_prefix(library):
         assert [int(table[k - 1]) for k in cuts] == [len(e.ids) for e in expected], text[:40]
 
 
+@pytest.mark.parametrize("most", [400_000, 50])
+def test_steps_between_prefixes_are_remembered(library, monkeypatch, most):
+    """Words that begin alike or are made of the same parts take few steps that have to be worked out."""
+    monkeypatch.setattr(token_counts, "MAX_STEPS", most)
+    tables, draw = PrefixTables(open(WORD_VOCABULARY, "rb").read()), random.Random(3)
+    parts = ["th", "er", "ion", "ing", "bl", "e", "sch", "ung", "qz", "xx"]
+    words = list({"".join(draw.choices(parts, k=draw.randrange(1, 7))) for _ in range(3000)})
+    worked_out, step = [], PrefixTables._step
+    monkeypatch.setattr(PrefixTables, "_step", lambda self, *a: worked_out.append(1) or step(self, *a))
+    found = dict(zip(words, tables.word_tables(words), strict=True))
+    assert most < 400_000 or len(worked_out) < sum(map(len, words)) / 5
+    for word in words[:300]:
+        cuts = library.encode_batch([word[:k] for k in range(1, len(word) + 1)], add_special_tokens=False)
+        assert found[word] == tuple(len(e.ids) for e in cuts) == tables.word(word), word
+    assert tables.known <= most
+
+
 def test_prefix_questions(docs, library):
     counted = prefix_counts(docs, WORD_VOCABULARY).select(
         "doc_id",

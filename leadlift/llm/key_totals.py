@@ -40,6 +40,34 @@ def unpack(content: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stable order, unsigned 64-bit ``keys`` in that order, where each distinct one begins)."""
+    n = len(keys)
+    if not n:
+        return np.zeros(0, np.int64), keys, np.zeros(0, np.int64)
+    vary = int(np.bitwise_or.reduce(keys ^ keys[0]))  # bits in which keys differ
+    high, low, room = vary.bit_length(), max((vary & -vary).bit_length() - 1, 0), n.bit_length()
+    if high - low + room <= 64:  # a key's place fits beside what it differs in, which is sorted faster than places are
+        own = keys & np.uint64((1 << high) - 1)
+        own >>= np.uint64(low)
+        own <<= np.uint64(room)
+        own |= np.arange(n, dtype=np.uint64)
+        own.sort()
+        own &= np.uint64((1 << room) - 1)
+        order = own.view(np.int64)
+    else:
+        order = np.argsort(keys, kind="stable")
+    ordered = keys.take(order)
+    return order, ordered, np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+
+
+def places(order: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """For each key its place among the distinct ones, given what ``grouped`` found."""
+    where = np.empty(len(order), np.int64)
+    where[order] = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, len(order))))
+    return where
+
+
 def ranges(keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(range numbers, bounds) of sorted keys cut by their first ``depth`` bits."""
     if not depth:
@@ -88,12 +116,17 @@ def totals(
 
     def merge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Distinct keys of a group, their sums, and where each row's keys are among them."""
-        rows = [unpack(k, "<u8") for k in table.column("keys").to_pylist()]
-        counts = np.concatenate([unpack(c, "<u8") for c in table.column("counts").to_pylist()])
-        distinct, where = np.unique(np.concatenate(rows), return_inverse=True)
-        sums = np.zeros(len(distinct), np.uint64)
-        np.add.at(sums, where, counts)
-        return distinct, sums, np.split(where, np.cumsum([len(r) for r in rows])[:-1])
+        rows = [unpack(k.as_py(), "<u8") for k in table.column("keys")]
+        bounds = np.cumsum([len(r) for r in rows])[:-1]
+        keys = np.concatenate(rows)
+        rows.clear()  # a range has millions of keys
+        order, keys, firsts = grouped(keys)
+        distinct = keys[firsts]
+        del keys
+        counts = np.concatenate([unpack(c.as_py(), "<u8") for c in table.column("counts")])
+        sums = np.add.reduceat(counts.take(order), firsts)
+        del counts
+        return distinct, sums, np.split(places(order, firsts), bounds)
 
     def answer(table: pa.Table, sums: np.ndarray, places: list[np.ndarray], known: int) -> pa.Table:
         size = table.num_rows

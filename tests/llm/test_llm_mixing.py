@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadlift.llm import mixing, queries
-from leadlift.llm.key_totals import ASKS, pack, totals, unpack
+from leadlift.llm.key_totals import ASKS, grouped, pack, places, totals, unpack
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -266,3 +266,135 @@ def test_query_on_the_table(spark, medium):
     check_base(found, rows)
     held = [r for r in found if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def blocks_of(texts, monkeypatch, chars=mixing.BLOCK_CHARS, most=mixing.BLOCK_TEXTS, sizes=(3, 1, 50)):
+    """Blocks made of one task's ``texts``, given in batches of these sizes."""
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 5)  # noqa: N815
+
+    monkeypatch.setattr(mixing, "TaskContext", Task)
+    rows = [(i, i % 3 == 0, t) for i, t in enumerate(texts)]
+    batches, start = [], 0
+    for size in sizes:
+        columns = list(zip(*rows[start : start + size])) or [(), (), ()]
+        arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.bool_(), pa.string()))]
+        batches.append(pa.RecordBatch.from_arrays(arrays, ["doc_id", "held", "text"]))
+        start += size
+    return list(mixing.make_blocks(iter(batches), chars, most))
+
+
+@pytest.mark.parametrize("chars, most", [(3_000_000, 40_000), (25, 40_000), (3_000_000, 4), (1, 1)])
+def test_blocks_have_the_words_of_plain_splitting(monkeypatch, chars, most):
+    texts = ["a  b A", " lead", "trail\n", None, "", " \t\x0b\x0c\r\n", "é\x85É \x1cx\xa0Y  z", "b" * 40, "a b", "\x0bA\x0c", "ß ẞ b"]
+    blocks = [mixing.Block(row) for row in mixing.rows_of(iter(blocks_of(texts, monkeypatch, chars, most)))]
+    found = []
+    for k, block in enumerate(blocks):
+        assert block.number == (k << 24) + 5 and block.words[0] == mixing.END and len(set(block.words)) == len(block.words)
+        assert len(block.lengths) <= most and sum(block.bytes[:-1]) < chars
+        words = iter(block.tokens.tolist())
+        for doc_id, held, n, size in zip(*block.ids.to_pydict().values(), block.lengths.tolist(), block.bytes.tolist()):
+            found.append((doc_id, held, [block.words[next(words)] for _ in range(n)], size))
+    plain = [(t or "").encode() for t in texts]
+    assert found == [(i, i % 3 == 0, [*t.lower().split(), b""], len(t)) for i, t in enumerate(plain)]
+
+
+@pytest.mark.parametrize("bits, shift", [(3, 0), (40, 24), (50, 5), (64, 0), (0, 9)])
+def test_grouped_keys(bits, shift):
+    draw = np.random.default_rng(bits)
+    keys = draw.integers(0, 2**bits - 1, 5000, np.uint64, endpoint=True) if bits else np.full(50, 7, np.uint64)
+    keys = np.concatenate([keys, keys[::3], keys[:9]]) << np.uint64(shift)
+    order, ordered, firsts = grouped(keys)
+    assert order.tolist() == np.argsort(keys, kind="stable").tolist() and (keys[order] == ordered).all()
+    distinct, where = np.unique(keys, return_inverse=True)
+    assert (ordered[firsts] == distinct).all() and (places(order, firsts) == where).all()
+    assert [len(a) for a in grouped(keys[:0])] == [0, 0, 0]
+
+
+def told_by(texts, monkeypatch):
+    """(block, row) of one block with its own totals as those of all texts."""
+    (batch,) = blocks_of(texts, monkeypatch, sizes=(len(texts),))
+    (row,) = batch.to_pylist()
+    block = mixing.Block(row)
+    block.flat()
+    for name, (keys, where) in (("word_sums", block.word_keys()), ("pair_sums", block.pair_keys(mixing.pair_bits(1000)))):
+        where = where if name == "pair_sums" else where[block.tokens]
+        row[name] = pack(np.bincount(where[block.learnt_tokens()], minlength=len(keys)).astype(np.uint64))
+    row["spelled"] = pack(np.array([-3.0 * len(w) - 1 for w in block.words], np.float32))
+    return block, row
+
+
+def odd_texts():
+    draw = random.Random(12)
+    words = ["".join(draw.choices("abcd", k=draw.randrange(1, 5))) for _ in range(60)]
+    texts = [" ".join(draw.choices(words, k=k)) for k in (0, 1, 31, 32, 33, 150, 70, 64, 5, 200)]
+    return [*texts, "z" * 90]  # spelled with less than 32-bit numbers hold
+
+
+def test_tables_of_decisions_are_sent_packed(monkeypatch):
+    """A task sends a row for a range of places, not one for each place; sums are those of plain counting."""
+    block, row = told_by(odd_texts(), monkeypatch)
+    sent = pa.Table.from_batches(mixing.learn_parts([pa.RecordBatch.from_pylist([row], mixing._COUNTED)], (1000, 900)))
+    assert sent.num_rows == mixing.RANGES
+    tables = np.zeros((mixing.RANGES, 2, mixing.PLACES))
+    for number in range(mixing.RANGES):
+        twice = pa.concat_tables([sent.filter(pa.compute.equal(sent["range"], number))] * 2)
+        (summed,) = mixing.sum_tables(twice).to_pylist()
+        assert summed["range"] == number
+        tables[number] = unpack(summed["counters"], "<f8").reshape(2, -1)
+    tables = tables.swapaxes(0, 1).reshape(2, -1)[:, : mixing.PARTS * mixing.OFFSETS[-1]].reshape(2, mixing.PARTS, -1)
+    told = mixing.Told(block, row, (1000, 900), without_own=True)
+    own = block.learnt_tokens()
+    cell = told.gate * 32 + told.contexts[0]
+    share, left = mixing.best_shares(told.parts[:, own], told.spelled[own], told.open[:, own], cell[own])
+    for part in range(mixing.PARTS):
+        for context, values in enumerate(told.contexts):
+            place = mixing.OFFSETS[context] + values[own]
+            for k, amount in enumerate((left, share)):
+                plain = np.bincount(place, amount[part] * told.open[part, own], mixing.OFFSETS[-1])
+                mine = slice(mixing.OFFSETS[context], mixing.OFFSETS[context + 1])
+                assert tables[k, part, mine] == pytest.approx(2 * plain[mine], rel=1e-5, abs=1e-6)
+
+
+@pytest.mark.parametrize("gathered", [1 << 16, 40])
+def test_mixing_follows_every_text_as_one_by_one(monkeypatch, gathered):
+    monkeypatch.setattr(mixing, "GATHERED", gathered)
+    block, row = told_by(odd_texts(), monkeypatch)
+    told = mixing.Told(block, row, (1000, 900), without_own=False)
+    odds = np.random.default_rng(2).normal(0, 2, (mixing.PARTS, mixing.OFFSETS[-1])).astype(np.float32)
+    found = mixing.TextMixer(len(block.lengths)).run(told, block.starts, block.lengths, odds)
+    expected = []
+    for start, length in zip(block.starts.tolist(), block.lengths.tolist()):
+        weights = np.full((4, mixing.PARTS, mixing.CONTEXTS), 1 / mixing.CONTEXTS)
+        refined = np.tile(mixing.squash(np.linspace(-8, 8, mixing.REFINED)), (mixing.PARTS, 1))
+        for at in range(0, length, mixing.STEP):
+            change, hit, often = np.zeros_like(weights), np.zeros_like(refined), np.zeros_like(refined)
+            for i in range(start + at, start + min(at + mixing.STEP, length)):
+                place = [o + c[i] for o, c in zip(mixing.OFFSETS, told.contexts)]
+                rest, logs, seen = 1.0, [], []
+                for part in range(mixing.PARTS):
+                    inputs = odds[part, place].astype(float)
+                    total = np.clip(weights[told.gate[i], part] @ inputs, -8, 8)
+                    step = (total + 8) * (mixing.REFINED - 1) / 16
+                    low = min(int(step), mixing.REFINED - 2)
+                    fine = refined[part, low] * (1 - step + low) + refined[part, low + 1] * (step - low)
+                    q = np.clip((3 * mixing.squash(total) + fine) / 4, mixing.LEAST, 1 - mixing.LEAST) * told.open[part, i]
+                    logs.append(rest * q * told.parts[part, i])
+                    rest *= 1 - q
+                    seen.append((inputs, mixing.squash(total), low + (step - low > 0.5)))
+                spelt = np.log(rest) + float(told.spelled[i])
+                log_p = np.logaddexp(np.log(sum(logs)), spelt) if sum(logs) else spelt
+                expected.append(log_p)
+                left = 1.0
+                for part, (inputs, mixed, near) in enumerate(seen):
+                    share = logs[part] / np.exp(log_p)
+                    weight = max(left, 0) * told.open[part, i]
+                    change[told.gate[i], part] += (share - weight * mixed) * inputs
+                    hit[part, near] += share
+                    often[part, near] += weight
+                    left -= share
+            weights += mixing.RATE * change
+            refined = np.clip((refined * 20 + hit) / (20 + often), mixing.LEAST, 1 - mixing.LEAST)
+    assert found == pytest.approx(expected, rel=2e-3)
